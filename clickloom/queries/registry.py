@@ -1,0 +1,25 @@
+"""Registry of queries and of their SQL text."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str) -> Callable[[Query], Query]:
+    """Register a query under ``name`` with the SQL that gives the same rows."""
+
+    def register(function: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"query {name} registered twice")
+        QUERIES[name] = function
+        SQL[name] = sql
+        return function
+
+    return register

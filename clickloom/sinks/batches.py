@@ -1,0 +1,73 @@
+"""Tables a stream writes batch by batch, one ``batch_id=<n>`` folder per micro-batch.
+
+A batch that is run again after a failure overwrites its own folder, so every batch
+counts once. A key written by several batches has its newest value.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BATCH_ID = "batch_id"
+_INITIAL = -1
+
+
+def _batch_path(path: str, batch_id: int) -> str:
+    return f"{path}/{BATCH_ID}={batch_id}"
+
+
+def create_store(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table, so that it can be read before the first batch; kept when it exists."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").parquet(_batch_path(path, _INITIAL))
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, files: int | None = None) -> None:
+    """Write or rewrite one batch, as at most ``files`` files when given."""
+    if files is not None:
+        rows = rows.repartition(files)
+    rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+
+
+def read_store(
+    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
+) -> DataFrame:
+    """All rows with their ``batch_id``, or those of batches earlier than ``before``."""
+    with_batch = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType(), True)])
+    rows = spark.read.schema(with_batch).parquet(path)
+    return rows if before is None else rows.where(F.col(BATCH_ID) < before)
+
+
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The rows of one batch; lists only its own folder."""
+    return spark.read.schema(schema).parquet(_batch_path(path, batch_id))
+
+
+def latest_by_key(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The value of the newest batch for each key."""
+    return rows.groupBy(*keys).agg(F.max_by(value, BATCH_ID).alias(value))
+
+
+def compact_store(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    value: str | None = None,
+) -> None:
+    """Fold the batches of ``source`` into one row per key in the new table ``target``.
+
+    For use between two runs of a stream: restart it with ``target``. The rows are
+    filed under the initial batch id, so whatever the stream writes next is newer, and a
+    last batch that runs again does not overwrite them.
+    """
+    rows = read_store(spark, source, schema)
+    folded = rows.select(*keys).distinct() if value is None else latest_by_key(rows, keys, value)
+    folded.select(*schema.names).write.mode("errorifexists").parquet(
+        _batch_path(target, _INITIAL)
+    )
