@@ -105,8 +105,8 @@ def ad_trend_last_hour(clicks: DataFrame, minutes: int = TREND_WINDOW_MINUTES) -
     The newest time comes from a one-column scan; the second scan reads only row groups
     at or after the first minute.
     """
-    newest = clicks.agg(F.max("ts")).scalar()
-    first = F.date_trunc("minute", newest) - F.make_dt_interval(mins=F.lit(minutes - 1))
+    reach = F.make_dt_interval(mins=F.lit(minutes - 1))
+    first = clicks.agg(F.date_trunc("minute", F.max("ts")) - reach).scalar()
     return ad_minute_clicks(clicks.where(F.col("ts") >= first))
 
 
@@ -206,9 +206,11 @@ def replayed_daily_clicks(
 ) -> DataFrame:
     """Day counts the stream ends with: clicks up to and including the listing batch."""
     counts = _counts_by_batch(clicks, batch_number() if batch is None else batch)
-    listed = _listed_since(counts, threshold)
+    listed = _listed_since(counts, threshold).withColumnRenamed("user_id", "_listed_user")
+    # the null-safe equality adds no null filter to one side only, so both sides stay the
+    # same aggregation and share one scan and one exchange
     return (
-        counts.join(listed, "user_id", "left")
+        counts.join(listed, F.col("user_id").eqNullSafe(F.col("_listed_user")), "left")
         .where(F.col("listed_in").isNull() | (F.col("batch") <= F.col("listed_in")))
         .groupBy(*_DAY_KEY)
         .agg(F.sum("click_count").alias("click_count"))

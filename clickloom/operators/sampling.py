@@ -53,7 +53,9 @@ def sample_quota(per_hour: DataFrame, total: int = SAMPLE_TOTAL) -> DataFrame:
     ``total`` is spread evenly over the days, a day's share over its hours by their
     sessions; both are cut to whole numbers, so thin hours get none.
     """
-    days = F.count_distinct(F.col("date"))
+    # counting the days through session_count (never 0) keeps this subquery the same
+    # aggregation as the main branch, so its exchange is reused
+    days = F.count_distinct(F.when(F.col("session_count") > 0, F.col("date")))
     day_quota = per_hour.agg(
         F.call_function(
             "div", F.lit(total).cast("bigint"), F.nullif(days, F.lit(0).cast("bigint"))

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import pytest
+
+from clickloom.operators.sampling import (
+    extracted_session_detail,
+    random_extract_sessions,
+    sample_quota,
+    sample_sessions,
+    sessions_per_hour,
+)
+from clickloom.operators.sessions import session_metrics
+
+
+@pytest.fixture
+def sessions_at(spark):
+    """Sessions from (hour text, how many)."""
+
+    def make(*hours: tuple[str, int]):
+        rows = [(f"{at}-{i}", at + ":00:00") for at, n in hours for i in range(n)]
+        raw = spark.createDataFrame(rows, "session_id string, at string")
+        return raw.selectExpr("session_id", "cast(at AS timestamp) AS start_ts")
+
+    return make
+
+
+TWO_DAYS = [
+    ("2024-01-01 01", 10),
+    ("2024-01-01 02", 30),
+    ("2024-01-02 05", 200),
+    ("2024-01-02 06", 3),
+]
+
+
+def _quotas(sessions, total):
+    rows = sample_quota(sessions_per_hour(sessions), total).collect()
+    return {(r.date[-2:], r.hour): r.quota for r in rows}
+
+
+def test_quota(sessions_at):
+    assert _quotas(sessions_at(*TWO_DAYS), 100) == {
+        ("01", "01"): 10,
+        ("01", "02"): 30,
+        ("02", "05"): 49,
+        ("02", "06"): 0,
+    }
+
+
+def test_quota_cut_to_nothing(sessions_at):
+    thin = sessions_at(*[(f"2024-01-{d:02d} {h:02d}", 1) for d in range(1, 31) for h in range(24)])
+    assert set(_quotas(thin, 100).values()) == {0}
+    assert sample_sessions(thin, 100).count() == 0
+
+
+def test_empty(sessions_at):
+    assert sample_sessions(sessions_at(), 100).count() == 0
+
+
+def _ids(sample):
+    return sorted(r.session_id for r in sample.collect())
+
+
+@pytest.mark.parametrize("total", [100, 5000])
+def test_sample_fills_the_quota(sessions_at, total):
+    sessions = sessions_at(*TWO_DAYS)
+    sample = sample_sessions(sessions, total, seed=3).collect()
+    drawn: dict = {}
+    for row in sample:
+        drawn[row.date[-2:], row.hour] = drawn.get((row.date[-2:], row.hour), 0) + 1
+    assert drawn == {k: q for k, q in _quotas(sessions, total).items() if q}
+    assert len({r.session_id for r in sample}) == len(sample)
+
+
+def test_sample_depends_on_seed_only(sessions_at):
+    sessions = sessions_at(*TWO_DAYS)
+    first = _ids(sample_sessions(sessions, 60, seed=1))
+    assert _ids(sample_sessions(sessions.repartition(5), 60, seed=1)) == first
+    assert _ids(sample_sessions(sessions, 60, seed=1, buckets=1)) == first
+    assert _ids(sample_sessions(sessions, 60, seed=2)) != first
+
+
+def test_sessions_without_start_are_left_out(action_rows):
+    sessions = session_metrics(
+        action_rows(
+            {"session_id": "s", "action_time": None},
+            {"session_id": "t", "action_time": "2024-01-01 1:00:00"},
+        )
+    )
+    assert _ids(sample_sessions(sessions, 100)) == ["t"]
+
+
+def test_extract_and_detail(action_rows):
+    actions = action_rows(
+        *[
+            {
+                "session_id": f"s{i % 6}",
+                "action_time": f"2024-01-01 7:0{i % 5}:00",
+                "search_keyword": f"w{i}" if i % 2 else None,
+                "click_category_id": str(i),
+                "order_product_ids": "5,6",
+            }
+            for i in range(24)
+        ]
+    )
+    sample = sample_sessions(session_metrics(actions), 4)
+    extract = random_extract_sessions(actions, sample, 5, 4).collect()
+    assert len(extract) == 4
+    for row in extract:
+        number = int(row.session_id[1:])
+        ids = sorted(str(i) for i in range(24) if i % 6 == number)
+        assert (row.task_id, row.start_time[:14]) == (5, "2024-01-01 07:")
+        assert row.click_category_ids == ",".join(ids)
+        words = ",".join(sorted(f"w{i}" for i in range(24) if i % 6 == number and i % 2))
+        assert row.search_keywords == (words or None)
+    detail = extracted_session_detail(actions, sample, 5, 4).collect()
+    assert len(detail) == 16
+    assert {r.session_id for r in detail} == {r.session_id for r in extract}
+    assert {(r.action_time[:13], r.order_product_ids) for r in detail} == {("2024-01-01 7:", "5,6")}
+    unhinted = extracted_session_detail(actions, sample, 5, 10**9)
+    assert sorted(map(repr, unhinted.collect())) == sorted(map(repr, detail))
