@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions import format_date, minute_key
+from clickloom.operators.joins import SALTS, keep_or_drop
 from clickloom.schemas import (
     BATCH_SECONDS,
     BLACKLIST_THRESHOLD,
@@ -69,13 +70,11 @@ def blacklist_users(counts: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
     return over_threshold(counts, threshold).select("user_id").distinct()
 
 
-def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Clicks of users who are not on the list.
-
-    The list is broadcast only when the optimizer knows it to be small; otherwise the
-    adaptive skew join splits the clicks of a hot user.
-    """
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
+def without_blacklisted(
+    clicks: DataFrame, blacklist: DataFrame, salts: int = SALTS
+) -> DataFrame:
+    """Clicks of users who are not on the list; a hot user is spread over ``salts`` keys."""
+    return keep_or_drop(clicks, blacklist, "user_id", "left_anti", salts)
 
 
 def accumulated_counts(batch_counts: DataFrame, totals: DataFrame) -> DataFrame:

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import is_not_empty, split_list
+from clickloom.operators.joins import SALTS, keep_or_drop
 from clickloom.schemas import TOP_CATEGORIES
 
 _FIELDS = ("click_category_id", "order_category_ids", "pay_category_ids")
+_KINDS = ("click", "order", "pay")
+_COUNTS = ("click_count", "order_count", "pay_count")
 
 
 def actions_with_category(actions: DataFrame) -> DataFrame:
@@ -66,26 +69,36 @@ def _counted(ids: DataFrame, name: str) -> DataFrame:
     return ids.groupBy("category_id").agg(F.count(F.lit(1)).alias(name))
 
 
-def filtered_session_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions that belong to the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+def filtered_session_actions(
+    actions: DataFrame, sessions: DataFrame, salts: int = SALTS
+) -> DataFrame:
+    """Actions that belong to the given sessions; a hot session is spread over ``salts`` keys."""
+    return keep_or_drop(actions, sessions, "session_id", "left_semi", salts)
 
 
-def distinct_categories(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Categories touched by the given sessions.
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """Click, order and pay counts per session and category.
 
-    Only session id and category columns of actions that have a category are shuffled.
+    This comes before any join by session: the partial aggregation shrinks a hot session
+    to one row per category in each map task, and its categories go to different reducers.
     """
-    narrow = actions_with_category(actions).select("session_id", *_FIELDS)
-    touches = category_touches(filtered_session_actions(narrow, sessions))
-    return touches.select("category_id").distinct()
+    return (
+        category_touches(actions, "session_id")
+        .groupBy("session_id", "category_id")
+        .agg(
+            *[
+                F.count_if(F.col("kind") == kind).alias(name)
+                for kind, name in zip(_KINDS, _COUNTS, strict=True)
+            ]
+        )
+    )
 
 
-def _kind_counts() -> list[Column]:
-    return [
-        F.count_if(F.col("kind") == kind).alias(f"{kind}_count")
-        for kind in ("click", "order", "pay")
-    ]
+def distinct_categories(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Categories touched by the given sessions."""
+    pairs = category_touches(actions, "session_id").select("session_id", "category_id").distinct()
+    own = pairs.join(sessions.select("session_id"), "session_id", "left_semi")
+    return own.select("category_id").distinct()
 
 
 def category_counts(
@@ -94,26 +107,24 @@ def category_counts(
     """Click, order and pay counts of the categories the given sessions touch.
 
     ``count_scope="all"`` counts over all ``actions``, ``"filtered"`` over those of the
-    given sessions. Either way one pass: the actions are marked by a join with the
-    session ids, then one aggregation counts the three kinds.
+    given sessions. Either way the actions are read once: their counts per session and
+    category are marked by a join with the session ids and added up per category.
     """
-    narrow = actions_with_category(actions).select("session_id", *_FIELDS)
+    per_session = session_category_counts(actions)
+    ids = sessions.select("session_id")
+    sums = [F.sum(name).alias(name) for name in _COUNTS]
     if count_scope == "filtered":
-        touches = category_touches(filtered_session_actions(narrow, sessions))
-        return touches.groupBy("category_id").agg(*_kind_counts())
+        own = per_session.join(ids, "session_id", "left_semi")
+        return own.groupBy("category_id").agg(*sums)
     if count_scope != "all":
         raise ValueError("count_scope is 'all' or 'filtered'")
-    ids = (
-        sessions.select("session_id")
-        .where(F.col("session_id").isNotNull())
-        .distinct()
-        .withColumn("_given", F.lit(True))
+    given = (
+        ids.where(F.col("session_id").isNotNull()).distinct().withColumn("_given", F.lit(True))
     )
-    marked = narrow.join(ids, "session_id", "left")
     return (
-        category_touches(marked, "_given")
+        per_session.join(given, "session_id", "left")
         .groupBy("category_id")
-        .agg(*_kind_counts(), F.bool_or("_given").alias("_given"))
+        .agg(*sums, F.bool_or("_given").alias("_given"))
         .where("_given")
         .drop("_given")
     )

@@ -69,7 +69,9 @@ def start_filtered_clicks(
 
     def keep_unlisted(batch: DataFrame, batch_id: int) -> None:
         listed = read_store(batch.sparkSession, blacklist_path, AD_BLACKLIST)
-        write_batch(without_blacklisted(batch, listed), path, batch_id, files)
+        # the list comes straight from its files, so the adaptive skew join splits a hot
+        # user without repeating the whole list for every batch
+        write_batch(without_blacklisted(batch, listed, salts=1), path, batch_id, files)
 
     return _writer(clicks, checkpoint, trigger).foreachBatch(keep_unlisted).start()
 
@@ -116,7 +118,9 @@ def start_daily_counts(
     def apply_batch(updates: DataFrame, batch_id: int) -> None:
         session = updates.sparkSession
         listed = read_store(session, blacklist_path, AD_BLACKLIST, before=batch_id)
-        write_batch(without_blacklisted(updates, listed), counts_path, batch_id, files)
+        # counts, not clicks: a user has one row per day and ad here
+        kept = without_blacklisted(updates, listed, salts=1)
+        write_batch(kept, counts_path, batch_id, files)
         written = read_batch(session, counts_path, AD_USER_CLICK_COUNT, batch_id)
         write_batch(blacklist_users(written, threshold), blacklist_path, batch_id, files)
 
