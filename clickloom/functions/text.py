@@ -1,5 +1,6 @@
 """Text expressions. All are built-in, so they stay inside the JVM."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -40,34 +41,29 @@ def lists_overlap(c: Column, wanted: Sequence[str]) -> Column:
     )
 
 
-def _parts(c: Column) -> Column:
-    # trailing empty parts are not parts
-    return F.split(F.regexp_replace(c, r"[|]+\z", ""), "[|]")
-
-
 def packed_get(c: Column, field: str) -> Column:
     """Value of ``field`` in a ``k=v|k=v`` record.
 
     The first part that is exactly a name and a value counts; trailing ``=`` are not
     part of it. ``a=`` and ``a=b=c`` have no value, ``a=b=`` has ``b``.
     """
-    pairs = F.transform(_parts(c), lambda p: F.split(F.regexp_replace(p, r"=+\z", ""), "="))
-    hits = F.filter(pairs, lambda a: (F.size(a) == 2) & (F.get(a, F.lit(0)) == F.lit(field)))
-    return F.get(F.get(hits, F.lit(0)), F.lit(1))
+    part = rf"(?:^|[|]){re.escape(field)}=([^=|]+)=*(?=[|]|\z)"
+    return F.nullif(F.regexp_extract(c, part, 1), F.lit(""))
 
 
 def packed_set(c: Column, field: str, value: Column | str) -> Column:
-    """Replace the value of the first part named ``field``; other parts and their order stay."""
+    """Replace the value of the first part named ``field``; other parts and their order stay.
+
+    Trailing empty parts are dropped.
+    """
     value = F.lit(value) if isinstance(value, str) else value
-    parts = _parts(c)
-    names = F.transform(parts, lambda p: F.get(F.split(p, "="), F.lit(0)))
-    position = F.array_position(names, field) - 1
-    return F.array_join(
-        F.transform(
-            parts,
-            lambda p, i: F.when(
-                i == position, F.concat(F.lit(field), F.lit("="), value)
-            ).otherwise(p),
-        ),
-        "|",
+    record = F.regexp_replace(c, r"[|]+\z", "")
+    # what comes before the part, and what comes after it
+    split = rf"(?s)^((?:[^|]*[|])*?){re.escape(field)}(?:=[^|]*)?((?:[|].*)?)\z"
+    replaced = F.concat(
+        F.regexp_extract(record, split, 1),
+        F.lit(f"{field}="),
+        value,
+        F.regexp_extract(record, split, 2),
     )
+    return F.when(F.regexp_like(record, F.lit(split)), replaced).otherwise(record)

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions import format_date, minute_key
-from clickloom.operators.joins import SALTS, keep_or_drop
+from clickloom.operators.joins import keep_or_drop
 from clickloom.schemas import (
     BATCH_SECONDS,
     BLACKLIST_THRESHOLD,
@@ -71,9 +71,9 @@ def blacklist_users(counts: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
 
 
 def without_blacklisted(
-    clicks: DataFrame, blacklist: DataFrame, salts: int = SALTS
+    clicks: DataFrame, blacklist: DataFrame, salts: int = 1
 ) -> DataFrame:
-    """Clicks of users who are not on the list; a hot user is spread over ``salts`` keys."""
+    """Clicks of users who are not on the list; a hot user is split."""
     return keep_or_drop(clicks, blacklist, "user_id", "left_anti", salts)
 
 

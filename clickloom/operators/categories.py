@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import is_not_empty, split_list
-from clickloom.operators.joins import SALTS, keep_or_drop
+from clickloom.operators.joins import keep_or_drop
 from clickloom.schemas import TOP_CATEGORIES
 
 _FIELDS = ("click_category_id", "order_category_ids", "pay_category_ids")
@@ -70,9 +70,9 @@ def _counted(ids: DataFrame, name: str) -> DataFrame:
 
 
 def filtered_session_actions(
-    actions: DataFrame, sessions: DataFrame, salts: int = SALTS
+    actions: DataFrame, sessions: DataFrame, salts: int = 1
 ) -> DataFrame:
-    """Actions that belong to the given sessions; a hot session is spread over ``salts`` keys."""
+    """Actions that belong to the given sessions; a hot session is split."""
     return keep_or_drop(actions, sessions, "session_id", "left_semi", salts)
 
 

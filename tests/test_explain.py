@@ -198,9 +198,9 @@ def test_hot_user_is_split_in_the_user_join(spark, stored):
 def test_hot_user_is_split_in_the_blacklist_join(spark, stored):
     # a list that is already partitioned by user
     listed = spark.range(100, 9000).selectExpr("id % 4000 AS user_id").distinct()
-    expected = without_blacklisted(stored["clicks"], listed, salts=1).count()
+    expected = without_blacklisted(stored["clicks"], listed, salts=3).count()
     with _settings(spark, HOT):
-        kept = without_blacklisted(stored["clicks"], listed, salts=2)
+        kept = without_blacklisted(stored["clicks"], listed)
         rows = kept.collect()
         assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == expected
@@ -228,7 +228,7 @@ def test_hot_session_is_split_in_the_action_join(spark, stored, hot_session):
     with _settings(spark, HOT):
         # users by broadcast: the sessions stay partitioned by session
         sessions = _filtered(hot_session, stored["users"].hint("broadcast"))
-        kept = filtered_session_actions(hot_session, sessions, salts=2)
+        kept = filtered_session_actions(hot_session, sessions)
         rows = kept.collect()
         assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == expected

@@ -57,6 +57,10 @@ def test_packed_set(evaluate):
         "b=9|a=1",
         "a=b",
     ]
+    odd = lambda c: fn.packed_set(c, "b", F.lit("$1\\x"))
+    assert evaluate(odd, "bb=1|b=2=3|c=", None) == ["bb=1|b=$1\\x|c=", None]
+    dotted = lambda c: fn.packed_get(c, "a.b")
+    assert evaluate(dotted, "axb=1|a.b=2|a.b=3") == ["2"]
 
 
 def test_split_list(evaluate):
