@@ -16,7 +16,7 @@ from clickloom.operators.stats import session_stats_counts, session_stats_ratios
 from clickloom.params import TaskParams
 from clickloom.schemas import SAMPLE_TOTAL, TOP_CATEGORIES
 from clickloom.session import new_work_dir
-from clickloom.sinks import append_table
+from clickloom.sinks import ResultWriter
 from clickloom.sources.tables import scan_actions
 
 
@@ -49,12 +49,12 @@ def run_session_analysis(
     actions: DataFrame,
     users: DataFrame,
     params: TaskParams,
-    output: str,
+    write: ResultWriter,
     sample_total: int = SAMPLE_TOTAL,
     seed: int = 0,
     count_scope: str = "all",
 ) -> None:
-    """Run a task and append its four results below ``output``.
+    """Run a task and append its four results.
 
     ``session_aggr_stat``, ``session_random_extract``, ``session_detail`` and
     ``top10_category``. The roll-up is by far the largest shuffle and feeds all four, so
@@ -64,29 +64,20 @@ def run_session_analysis(
     """
     spark = actions.sparkSession
     work = new_work_dir(spark, "session-analysis")
+    task_id = params.task_id
     scanned = scan_actions(actions, params.start_date, params.end_date)
 
     analysed_sessions(actions, users, params).write.parquet(f"{work}/sessions")
     sessions = spark.read.parquet(f"{work}/sessions")
     filtered = filter_sessions(sessions, params)
 
-    append_table(
-        session_stats_ratios(session_stats_counts(filtered), params.task_id),
-        f"{output}/session_aggr_stat",
-    )
+    write(session_stats_ratios(session_stats_counts(filtered), task_id), "session_aggr_stat")
 
     sample_sessions(sessions, sample_total, seed).write.parquet(f"{work}/sample")
     sample = spark.read.parquet(f"{work}/sample")
-    append_table(
-        random_extract_sessions(scanned, sample, params.task_id, sample_total),
-        f"{output}/session_random_extract",
-    )
-    append_table(
-        extracted_session_detail(scanned, sample, params.task_id, sample_total),
-        f"{output}/session_detail",
-    )
-
-    append_table(
-        top_categories(category_counts(scanned, filtered, count_scope), params.task_id),
-        f"{output}/top10_category",
-    )
+    extract = random_extract_sessions(scanned, sample, task_id, sample_total)
+    write(extract, "session_random_extract")
+    write(extracted_session_detail(scanned, sample, task_id, sample_total), "session_detail")
+
+    counts = category_counts(scanned, filtered, count_scope)
+    write(top_categories(counts, task_id), "top10_category")

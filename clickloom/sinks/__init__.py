@@ -1,6 +1,12 @@
 """Writers: appended result tables, and tables written per micro-batch."""
 
-from clickloom.sinks.append import append_jdbc, append_table
+from clickloom.sinks.append import (
+    ResultWriter,
+    append_jdbc,
+    append_table,
+    jdbc_results,
+    parquet_results,
+)
 from clickloom.sinks.batches import (
     compact_store,
     create_store,
@@ -11,11 +17,14 @@ from clickloom.sinks.batches import (
 )
 
 __all__ = [
+    "ResultWriter",
     "append_jdbc",
     "append_table",
     "compact_store",
     "create_store",
+    "jdbc_results",
     "latest_by_key",
+    "parquet_results",
     "read_batch",
     "read_store",
     "write_batch",

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from clickloom.sources.jdbc import jdbc_options
 
+# Takes the rows of a result and the name of its table.
+ResultWriter = Callable[[DataFrame, str], None]
+
 
 def append_table(rows: DataFrame, path: str) -> None:
     """Append to a Parquet table. Running a task twice appends its rows twice."""
@@ -20,3 +25,13 @@ def append_jdbc(
     if connections is not None:
         options["numPartitions"] = str(connections)
     rows.write.format("jdbc").options(**options).mode("append").save()
+
+
+def parquet_results(folder: str) -> ResultWriter:
+    """Results as Parquet tables below ``folder``."""
+    return lambda rows, table: append_table(rows, f"{folder}/{table}")
+
+
+def jdbc_results(url: str, connections: int | None = None, **extra: str) -> ResultWriter:
+    """Results as tables of a database."""
+    return lambda rows, table: append_jdbc(rows, url, table, connections, **extra)

@@ -119,7 +119,10 @@ def start_daily_counts(
         # counts, not clicks: a user has one row per day and ad here
         write_batch(without_blacklisted(updates, listed), counts_path, batch_id, files)
         written = read_batch(session, counts_path, AD_USER_CLICK_COUNT, batch_id)
-        write_batch(blacklist_users(written, threshold), blacklist_path, batch_id, files)
+        new = blacklist_users(written, threshold)
+        # most batches list nobody; they leave no folder to be read by every later batch
+        if not new.isEmpty():
+            write_batch(new, blacklist_path, batch_id, files)
 
     return (
         _writer(running, checkpoint, trigger)

@@ -6,13 +6,16 @@ import pytest
 
 from clickloom.operators.filters import filter_sessions
 from clickloom.params import TaskParams
+from clickloom.__main__ import main
 from clickloom.plans import (
+    AdMonitor,
     analysed_sessions,
     run_session_analysis,
     session_statistics,
     top_categories_of_task,
 )
-from clickloom.schemas import VISIT_COLUMNS
+from clickloom.schemas import TASK, VISIT_COLUMNS
+from clickloom.sinks import parquet_results
 
 
 @pytest.fixture
@@ -61,7 +64,9 @@ def _rows(frame):
 
 def test_whole_task(spark, tmp_path, actions, users):
     out = str(tmp_path / "out")
-    run_session_analysis(actions, users, PARAMS, out, sample_total=30, seed=2)
+    run_session_analysis(
+        actions, users, PARAMS, parquet_results(out), sample_total=30, seed=2
+    )
     stats = spark.read.parquet(f"{out}/session_aggr_stat")
     assert _rows(stats) == _rows(session_statistics(actions, users, PARAMS))
     top = spark.read.parquet(f"{out}/top10_category")
@@ -109,3 +114,43 @@ def test_no_match(actions, users):
     assert (row.session_count, row.visit_length_30m_ratio) == (0, None)
     assert top_categories_of_task(actions, users, params).count() == 0
     assert filter_sessions(analysed_sessions(actions, users, params), params).count() == 0
+
+
+def test_command_line(spark, tmp_path, actions, users):
+    tables = {}
+    for name, rows in (("actions", actions), ("users", users)):
+        tables[name] = f"{tmp_path}/{name}"
+        rows.write.parquet(tables[name])
+    spark.createDataFrame(
+        [(4, "t", None, None, None, "session", "new", '{"startAge":["22"],"endAge":["30"]}')], TASK
+    ).write.parquet(f"{tmp_path}/tasks")
+    main(
+        [
+            "session",
+            "--task-id=4",
+            f"--tasks={tmp_path}/tasks",
+            f"--actions={tables['actions']}",
+            f"--users={tables['users']}",
+            f"--output={tmp_path}/out",
+        ],
+        spark,
+    )
+    stats = spark.read.parquet(f"{tmp_path}/out/session_aggr_stat").collect()
+    expected = session_statistics(actions, users, TaskParams(4, start_age=22, end_age=30))
+    assert stats == expected.collect()
+
+
+def test_command_line_monitor(spark, tmp_path):
+    lines = spark.createDataFrame([(f"1704067200000 p c {u} 1",) for u in (1, 1, 2)], "value string")
+    lines.write.text(f"{tmp_path}/lines")
+    main(
+        [
+            "monitor",
+            f"--lines={tmp_path}/lines",
+            f"--root={tmp_path}/monitor",
+            "--threshold=2",
+            "--available-now",
+        ],
+        spark,
+    )
+    assert [r.user_id for r in AdMonitor(spark, f"{tmp_path}/monitor").blacklist().collect()] == [1]
