@@ -33,12 +33,16 @@ def split_list(c: Column) -> Column:
 
 
 def lists_overlap(c: Column, wanted: Sequence[str]) -> Column:
-    """True when the comma list ``c`` holds any of ``wanted``; false for null."""
+    """True when the comma list ``c`` holds any of ``wanted``; false for null.
+
+    Most values are single elements; only those with a comma are split.
+    """
+    # no element of a list is empty or has a comma
+    wanted = [w for w in wanted if w and "," not in w]
     if not wanted:
         return F.lit(False)
-    return F.coalesce(
-        F.arrays_overlap(split_list(c), F.array(*[F.lit(w) for w in wanted])), F.lit(False)
-    )
+    in_list = F.arrays_overlap(split_list(c), F.array(*[F.lit(w) for w in wanted]))
+    return F.coalesce(c.isin(wanted) | (c.contains(",") & in_list), F.lit(False))
 
 
 def packed_get(c: Column, field: str) -> Column:

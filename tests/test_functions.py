@@ -78,6 +78,8 @@ def test_lists_overlap(evaluate):
     overlap = lambda c: fn.lists_overlap(c, ["a", "b"])
     assert evaluate(overlap, "b,c", "c", "", None, "ab") == [True, False, False, False, False]
     assert evaluate(lambda c: fn.lists_overlap(c, []), "a") == [False]
+    odd = lambda c: fn.lists_overlap(c, ["", "a,b", "c"])
+    assert evaluate(odd, "", "a,b", ",", "b,c,", "c") == [False, False, False, True, True]
 
 
 def test_parse_and_format_time(evaluate):
