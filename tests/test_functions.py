@@ -159,3 +159,38 @@ def test_round_half_up_is_exact(evaluate):
     ]
     assert evaluate(lambda c: fn.round_half_up(c, 2), *values, kind="double") == expected
     assert evaluate(lambda c: fn.round_half_up(c, 2), 0.285, kind="double") == [0.28]
+
+
+def _pieces(text: str, separator: str) -> list[str]:
+    """Pieces without the empty ones at the end."""
+    pieces = text.split(separator)
+    while len(pieces) > 1 and not pieces[-1]:
+        pieces.pop()
+    return pieces
+
+
+def _get(record: str, field: str) -> str | None:
+    for part in _pieces(record, "|"):
+        pieces = _pieces(part, "=")
+        if len(pieces) == 2 and pieces[0] == field:
+            return pieces[1]
+    return None
+
+
+def _set(record: str, field: str, value: str) -> str:
+    parts = _pieces(record, "|")
+    for i, part in enumerate(parts):
+        if part.split("=")[0] == field:
+            parts[i] = f"{field}={value}"
+            break
+    return "|".join(parts)
+
+
+def test_packed_records_against_plain_python(evaluate):
+    draw = random.Random(4)
+    records = ["".join(draw.choices("ab=|,", k=draw.randrange(14))) for _ in range(3000)]
+    got = evaluate(lambda c: fn.packed_get(c, "a"), *records)
+    assert got == [_get(r, "a") for r in records]
+    assert len(set(got)) > 20
+    got = evaluate(lambda c: fn.packed_set(c, "a", "9"), *records)
+    assert got == [_set(r, "a", "9") for r in records]

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import hashlib
+import random
+
 import pytest
 
 from clickloom.operators.sampling import (
@@ -71,6 +74,23 @@ def test_sample_fills_the_quota(sessions_at, total):
     assert len({r.session_id for r in sample}) == len(sample)
 
 
+def test_sample_against_plain_python(sessions_at):
+    draw = random.Random(8)
+    hours = [
+        (f"2024-01-{day:02d} {hour:02d}", draw.randrange(1, 60))
+        for day in range(1, 5)
+        for hour in draw.sample(range(24), 5)
+    ]
+    expected = []
+    for at, n in hours:
+        in_day = sum(m for other, m in hours if other[:10] == at[:10])
+        quota = min(int(n / in_day * (90 // 4)), n)
+        ids = [f"{at}-{i}" for i in range(n)]
+        ids.sort(key=lambda i: hashlib.md5(f"5{i}".encode()).hexdigest())
+        expected += ids[:quota]
+    assert _ids(sample_sessions(sessions_at(*hours), 90, seed=5)) == sorted(expected)
+
+
 def test_sample_depends_on_seed_only(sessions_at):
     sessions = sessions_at(*TWO_DAYS)
     first = _ids(sample_sessions(sessions, 60, seed=1))

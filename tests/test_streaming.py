@@ -19,6 +19,7 @@ from clickloom.sources import parse_ad_log, read_file_lines, valid_clicks
 from clickloom.streaming import (
     AVAILABLE_NOW,
     start_ad_trend,
+    start_click_copy,
     start_daily_counts,
     start_filtered_clicks,
 )
@@ -243,6 +244,22 @@ def test_monitor_runs_all_jobs(spark, feed):
     assert [r.value for r in rejected.collect()] == ["broken"]
 
 
+def test_micro_batches_run_until_stopped(spark, feed):
+    feed.add(*_lines(3))
+    path = f"{feed.root}/copy"
+    job = start_click_copy(feed.clicks(), path, f"{feed.root}/checkpoint")
+    try:
+        job.processAllAvailable()
+        assert spark.read.parquet(path).count() == 3
+        feed.add(*_lines(2))
+        job.processAllAvailable()
+        assert spark.read.parquet(path).count() == 5
+        assert job.isActive
+        assert [p["batchId"] for p in job.recentProgress if p["numInputRows"]] == [0, 1]
+    finally:
+        job.stop()
+
+
 def test_days_have_to_be_utc_days(spark, feed):
     feed.add(*_lines(1))
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
