@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,26 +18,34 @@ BROADCAST_SAMPLE_ROWS = 100_000
 RANK_BUCKETS = 64
 
 
+def _start_hour() -> Column:
+    """Hour of the session start on the clock of the session time zone, as one number.
+
+    Cheaper to group and sort by than the two texts it stands for.
+    """
+    return F.date_trunc("hour", "start_ts").cast("timestamp_ntz")
+
+
+def _date_and_hour(at: str) -> list[Column]:
+    return [format_date(F.col(at)).alias("date"), F.date_format(at, "HH").alias("hour")]
+
+
 def session_hour_key(sessions: DataFrame) -> DataFrame:
     """Adds the ``date`` and ``hour`` of the session start.
 
     Sessions without any readable action time have no start and are left out.
     """
-    start = F.col("start_ts")
-    return (
-        sessions.where(start.isNotNull())
-        .withColumn("date", format_date(start))
-        .withColumn("hour", F.date_format(start, "HH"))
-    )
+    return sessions.where(F.col("start_ts").isNotNull()).select("*", *_date_and_hour("start_ts"))
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
     """Sessions by date and hour of their start."""
-    return (
-        session_hour_key(sessions)
-        .groupBy("date", "hour")
+    counts = (
+        sessions.where(F.col("start_ts").isNotNull())
+        .groupBy(_start_hour().alias("_hour"))
         .agg(F.count(F.lit(1)).alias("session_count"))
     )
+    return counts.select(*_date_and_hour("_hour"), "session_count")
 
 
 def sessions_per_day(per_hour: DataFrame) -> DataFrame:
@@ -83,21 +91,26 @@ def sample_sessions(
     ever sorts a whole hour.
     """
     order = [F.col("_key"), F.col("session_id")]
-    keyed = session_hour_key(sessions).select(
+    keyed = sessions.where(F.col("start_ts").isNotNull()).select(
         "session_id",
         "start_ts",
-        "date",
-        "hour",
+        _start_hour().alias("_hour"),
         F.md5(F.concat(F.lit(str(seed)), F.coalesce("session_id", F.lit("")))).alias("_key"),
-        F.pmod(F.xxhash64("session_id"), F.lit(buckets)).alias("_bucket"),
+        # hour and bucket as one number: Spark sorts by the first column's value and looks
+        # at the texts only where it is equal
+        (
+            F.unix_seconds(F.date_trunc("hour", "start_ts")) * buckets
+            + F.pmod(F.xxhash64("session_id"), F.lit(buckets))
+        ).alias("_slot"),
     )
-    first = W.partitionBy("date", "hour", "_bucket").orderBy(*order)
-    second = W.partitionBy("date", "hour").orderBy(*order)
+    first = W.partitionBy("_slot").orderBy(*order)
+    second = W.partitionBy("_hour").orderBy(*order)
     ranked = (
         keyed.withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") <= total)
         .withColumn("_rank", F.row_number().over(second))
         .where(F.col("_rank") <= total)
+        .select("session_id", "start_ts", *_date_and_hour("_hour"), "_rank")
     )
     quotas = sample_quota(sessions_per_hour(sessions), total).where("quota > 0")
     return (
