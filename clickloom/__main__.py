@@ -48,7 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     monitor.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
     monitor.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
     monitor.add_argument("--files", type=int, default=8, help="files per table and micro-batch")
-    monitor.add_argument("--available-now", action="store_true", help="stop at the end of the input")
+    monitor.add_argument("--available-now", action="store_true", help="stop at the input's end")
     return parser
 
 

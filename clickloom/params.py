@@ -50,14 +50,14 @@ class TaskParams:
         """From a task's JSON object of arrays; the first element of each array counts."""
         raw = json.loads(text)
         first = {
-            _field(key): value[0]
+            field_of_key(key): value[0]
             for key, value in raw.items()
-            if isinstance(value, list) and value and _field(key) in _FIELDS
+            if isinstance(value, list) and value and field_of_key(key) in _FIELDS
         }
         return cls.from_values(task_id, **first)
 
 
-def _field(key: str) -> str:
+def field_of_key(key: str) -> str:
     """``startDate`` to ``start_date``."""
     return "".join(f"_{ch.lower()}" if ch.isupper() else ch for ch in key)
 

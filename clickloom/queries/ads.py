@@ -20,7 +20,7 @@ from clickloom.sources import format_ad_log, parse_ad_log, rejected_lines, valid
 
 THRESHOLD = 2
 
-_BASE = with_sql(
+BASE_SQL = with_sql(
     EVENTS_SQL,
     CLICKS_SQL,
     """
@@ -39,7 +39,7 @@ minutely AS (
 )
 
 _DAILY = "SELECT date, user_id, ad_id, click_count FROM daily"
-_MINUTELY = "SELECT date, hour, minute, ad_id, click_count FROM minutely"
+MINUTELY_SQL = "SELECT date, hour, minute, ad_id, click_count FROM minutely"
 _CLICK = "epoch_us(ts) // 1000 AS at_millis, province, city, user_id, ad_id"
 
 
@@ -109,7 +109,7 @@ def format_ad_log_query(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "ad_day_key",
-    _BASE + "SELECT strftime(ts, '%Y-%m-%d') AS date, user_id, ad_id FROM ad_click",
+    BASE_SQL + "SELECT strftime(ts, '%Y-%m-%d') AS date, user_id, ad_id FROM ad_click",
 )
 def ad_day_key(spark: SparkSession, folder: str) -> DataFrame:
     return ops.ad_day_key(model.clicks(spark, folder))
@@ -117,7 +117,7 @@ def ad_day_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "ad_minute_key",
-    _BASE + "SELECT strftime(ts, '%Y%m%d%H%M') AS minute_key, ad_id FROM ad_click",
+    BASE_SQL + "SELECT strftime(ts, '%Y%m%d%H%M') AS minute_key, ad_id FROM ad_click",
 )
 def ad_minute_key(spark: SparkSession, folder: str) -> DataFrame:
     return ops.ad_minute_key(model.clicks(spark, folder)).select(
@@ -127,7 +127,7 @@ def ad_minute_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "trend_key_split",
-    _BASE + "SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,"
+    BASE_SQL + "SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,"
     " strftime(ts, '%M') AS minute, ad_id FROM ad_click",
 )
 def trend_key_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,36 +138,36 @@ def trend_key_split(spark: SparkSession, folder: str) -> DataFrame:
 # ---- counts and blacklist ----
 
 
-@query("daily_user_ad_clicks", _BASE + _DAILY)
+@query("daily_user_ad_clicks", BASE_SQL + _DAILY)
 def daily_user_ad_clicks(spark: SparkSession, folder: str) -> DataFrame:
     return ops.daily_user_ad_clicks(model.clicks(spark, folder))
 
 
-@query("ad_minute_clicks", _BASE + _MINUTELY)
+@query("ad_minute_clicks", BASE_SQL + MINUTELY_SQL)
 def ad_minute_clicks(spark: SparkSession, folder: str) -> DataFrame:
     return ops.ad_minute_clicks(model.clicks(spark, folder))
 
 
-@query("blacklist_threshold", _BASE + _DAILY + f" WHERE click_count >= {THRESHOLD}")
+@query("blacklist_threshold", BASE_SQL + _DAILY + f" WHERE click_count >= {THRESHOLD}")
 def blacklist_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return ops.over_threshold(daily_user_ad_clicks(spark, folder), THRESHOLD)
 
 
-@query("distinct_blacklist_users", _BASE + "SELECT user_id FROM listed")
+@query("distinct_blacklist_users", BASE_SQL + "SELECT user_id FROM listed")
 def distinct_blacklist_users(spark: SparkSession, folder: str) -> DataFrame:
     return ops.blacklist_users(daily_user_ad_clicks(spark, folder), THRESHOLD)
 
 
 @query(
     "blacklist_filter",
-    _BASE + f"SELECT {_CLICK} FROM ad_click WHERE user_id NOT IN (SELECT user_id FROM listed)",
+    BASE_SQL + f"SELECT {_CLICK} FROM ad_click WHERE user_id NOT IN (SELECT user_id FROM listed)",
 )
 def blacklist_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = distinct_blacklist_users(spark, folder)
     return _with_millis(ops.without_blacklisted(model.clicks(spark, folder), listed))
 
 
-@query("blacklist_snapshot", _BASE + "SELECT user_id FROM listed")
+@query("blacklist_snapshot", BASE_SQL + "SELECT user_id FROM listed")
 def blacklist_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The list as written by one batch and read by the next."""
     path = new_work_dir(spark, "ad_blacklist")
@@ -176,7 +176,7 @@ def blacklist_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return read_store(spark, path, AD_BLACKLIST, before=1).select("user_id")
 
 
-@query("append_blacklist", _BASE + "SELECT user_id FROM listed")
+@query("append_blacklist", BASE_SQL + "SELECT user_id FROM listed")
 def append_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches: the users of the mornings' clicks, then those not yet listed of all."""
     path = new_work_dir(spark, "ad_blacklist")
@@ -209,7 +209,7 @@ def _stored_counts(spark: SparkSession, path: str) -> DataFrame:
     return latest_by_key(rows, ["date", "user_id", "ad_id"], "click_count")
 
 
-@query("upsert_user_click_count", _BASE + _DAILY)
+@query("upsert_user_click_count", BASE_SQL + _DAILY)
 def upsert_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
     path = new_work_dir(spark, "ad_user_click_count")
     _half_day_counts(spark, folder, path)
@@ -218,7 +218,7 @@ def upsert_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "lookup_user_click_count",
-    _BASE + _DAILY + " WHERE (date, user_id, ad_id) IN (SELECT strftime(ts, '%Y-%m-%d'),"
+    BASE_SQL + _DAILY + " WHERE (date, user_id, ad_id) IN (SELECT strftime(ts, '%Y-%m-%d'),"
     " user_id, ad_id FROM ad_click WHERE hour(ts) >= 12)",
 )
 def lookup_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,7 +230,7 @@ def lookup_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
     return ops.lookup_user_click_count(keys, _stored_counts(spark, path))
 
 
-@query("upsert_ad_click_trend", _BASE + _MINUTELY)
+@query("upsert_ad_click_trend", BASE_SQL + MINUTELY_SQL)
 def upsert_ad_click_trend(spark: SparkSession, folder: str) -> DataFrame:
     """First the counts of some of the clicks, then the full ones, which replace them."""
     path = new_work_dir(spark, "ad_click_trend")
@@ -247,8 +247,8 @@ def upsert_ad_click_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "ad_trend_last_hour",
-    _BASE
-    + _MINUTELY
+    BASE_SQL
+    + MINUTELY_SQL
     + " WHERE CAST(date || ' ' || hour || ':' || minute || ':00' AS TIMESTAMP) >"
     " (SELECT max(ts) FROM ad_click) - INTERVAL 60 MINUTE",
 )
@@ -258,14 +258,14 @@ def ad_trend_last_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "ad_trend_sliding",
-    _BASE
+    BASE_SQL
     + """
 SELECT window_end, minute_key, ad_id, count(*) AS click_count
 FROM (
   SELECT unnest(generate_series((step + 1) * 10, step * 10 + 3600, 10)) AS window_end,
          minute_key, ad_id
-  FROM (SELECT epoch_us(ts) // 1000 // 10000 AS step, strftime(ts, '%Y%m%d%H%M') AS minute_key, ad_id
-        FROM ad_click)
+  FROM (SELECT epoch_us(ts) // 10000000 AS step, strftime(ts, '%Y%m%d%H%M') AS minute_key,
+               ad_id FROM ad_click)
 )
 GROUP BY ALL""",
 )

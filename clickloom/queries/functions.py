@@ -15,7 +15,7 @@ _EV = with_sql(EVENTS_SQL)
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return model._events(spark, folder)
+    return model.events(spark, folder)
 
 
 def _k() -> Column:

@@ -19,16 +19,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _events(
+def events(
     spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    events = table(spark, folder, "events")
+    """The events with ``k``, optionally of the days from ``start`` to ``end``."""
+    rows = table(spark, folder, "events")
     if start is not None:
-        events = events.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        rows = rows.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         day_after = F.date_add(F.lit(end).cast("date"), 1)
-        events = events.where(F.col("ts") < day_after.cast("timestamp_ntz"))
-    return events.select(
+        rows = rows.where(F.col("ts") < day_after.cast("timestamp_ntz"))
+    return rows.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
@@ -61,7 +62,7 @@ def actions(
         return F.concat(text, F.lit(","), other.cast("string"))
 
     session_part = F.date_format("ts", "yyyyMMddHH") if hourly else day_key(F.col("ts"))
-    return _events(spark, folder, *dates).select(
+    return events(spark, folder, *dates).select(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         "user_id",
         F.concat_ws("_", F.col("user_id").cast("string"), session_part).alias("session_id"),
@@ -142,7 +143,7 @@ def tasks(spark: SparkSession, folder: str) -> DataFrame:
 def clicks(spark: SparkSession, folder: str) -> DataFrame:
     """Ad clicks."""
     return (
-        _events(spark, folder)
+        events(spark, folder)
         .where(F.col("event_type") == "click")
         .select(
             "ts",
@@ -164,7 +165,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     user = F.col("user_id")
     return (
-        _events(spark, folder)
+        events(spark, folder)
         .where(F.col("event_type").isin("click", "error"))
         .select(
             "ts",

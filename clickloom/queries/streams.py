@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.operators.adclicks import blacklist_users, daily_user_ad_clicks
 from clickloom.plans.ad_monitoring import AdMonitor
 from clickloom.queries import model
-from clickloom.queries.ads import _BASE, _MINUTELY, THRESHOLD, replay_sql
+from clickloom.queries.ads import BASE_SQL, MINUTELY_SQL, THRESHOLD, replay_sql
 from clickloom.queries.model import CLICKS_SQL, EVENTS_SQL, LINES_SQL, with_sql
 from clickloom.queries.registry import query
 from clickloom.schemas import AD_BLACKLIST
@@ -138,7 +138,7 @@ def stream_micro_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "stream_blacklist_filter",
-    _BASE + _CLICK + " WHERE user_id NOT IN (SELECT user_id FROM listed)",
+    BASE_SQL + _CLICK + " WHERE user_id NOT IN (SELECT user_id FROM listed)",
 )
 def stream_blacklist_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = blacklist_users(daily_user_ad_clicks(model.clicks(spark, folder)), THRESHOLD)
@@ -179,7 +179,7 @@ def stream_generate_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     return _monitored(spark, folder).blacklist()
 
 
-@query("stream_ad_trend", _BASE + _MINUTELY)
+@query("stream_ad_trend", BASE_SQL + MINUTELY_SQL)
 def stream_ad_trend(spark: SparkSession, folder: str) -> DataFrame:
     work = new_work_dir(spark, "stream_ad_trend")
     monitor = AdMonitor(spark, work)

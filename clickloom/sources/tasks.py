@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.params import TaskParams, _field
+from clickloom.params import TaskParams, field_of_key
 from clickloom.schemas import TASK_PARAM_KEYS
 
 _PARAM_SCHEMA = T.StructType(
@@ -27,7 +27,7 @@ def parse_task_params(tasks: DataFrame) -> DataFrame:
     return parsed.select(
         "task_id",
         *[
-            F.try_element_at(F.col(f"p.{key}"), F.lit(1)).alias(_field(key))
+            F.try_element_at(F.col(f"p.{key}"), F.lit(1)).alias(field_of_key(key))
             for key in TASK_PARAM_KEYS
         ],
     )

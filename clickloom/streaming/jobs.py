@@ -16,6 +16,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from clickloom.functions import format_date
 from clickloom.operators.adclicks import (
     blacklist_users,
+    over_threshold,
     trend_columns,
     without_blacklisted,
 )
@@ -119,10 +120,9 @@ def start_daily_counts(
         # counts, not clicks: a user has one row per day and ad here
         write_batch(without_blacklisted(updates, listed), counts_path, batch_id, files)
         written = read_batch(session, counts_path, AD_USER_CLICK_COUNT, batch_id)
-        new = blacklist_users(written, threshold)
         # most batches list nobody; they leave no folder to be read by every later batch
-        if not new.isEmpty():
-            write_batch(new, blacklist_path, batch_id, files)
+        if not over_threshold(written, threshold).isEmpty():
+            write_batch(blacklist_users(written, threshold), blacklist_path, batch_id, files)
 
     return (
         _writer(running, checkpoint, trigger)

@@ -35,7 +35,9 @@ def test_day_counts(click_rows):
 
 
 def test_minute_counts(click_rows):
-    clicks = click_rows((f"{DAY} 05:06:00", 1, 7), (f"{DAY} 05:06:59", 2, 7), (f"{DAY} 05:07:00", 2, 7))
+    clicks = click_rows(
+        (f"{DAY} 05:06:00", 1, 7), (f"{DAY} 05:06:59", 2, 7), (f"{DAY} 05:07:00", 2, 7)
+    )
     assert _rows(ad_minute_clicks(clicks)) == [
         (DAY, "05", "06", 7, 2),
         (DAY, "05", "07", 7, 1),

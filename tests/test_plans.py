@@ -44,7 +44,9 @@ def actions(action_rows):
 @pytest.fixture
 def users(user_rows):
     # user 11 is not known
-    return user_rows(*[(u, 20 + u, "IT,Law" if u % 2 else "Art", "Rome", "male") for u in range(11)])
+    return user_rows(
+        *[(u, 20 + u, "IT,Law" if u % 2 else "Art", "Rome", "male") for u in range(11)]
+    )
 
 
 PARAMS = TaskParams(
@@ -141,7 +143,8 @@ def test_command_line(spark, tmp_path, actions, users):
 
 
 def test_command_line_monitor(spark, tmp_path):
-    lines = spark.createDataFrame([(f"1704067200000 p c {u} 1",) for u in (1, 1, 2)], "value string")
+    rows = [(f"1704067200000 p c {u} 1",) for u in (1, 1, 2)]
+    lines = spark.createDataFrame(rows, "value string")
     lines.write.text(f"{tmp_path}/lines")
     main(
         [

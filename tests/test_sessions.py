@@ -40,7 +40,8 @@ def test_values_contained_in_others_are_kept(action_rows):
 
 def test_stored_timestamps_and_milliseconds(spark):
     actions = spark.sql(
-        """SELECT 's' AS session_id, 1L AS user_id, timestamp'2024-01-01 00:00:00.900' AS action_time
+        """SELECT 's' AS session_id, 1L AS user_id,
+                  timestamp'2024-01-01 00:00:00.900' AS action_time
            UNION ALL SELECT 's', 1L, timestamp'2024-01-01 00:00:03.100'"""
     )
     assert session_metrics(actions).first().visit_length == 2

@@ -206,7 +206,11 @@ def test_trend_equals_batch(spark, feed):
     everything = []
     for number in range(3):
         clicks = [
-            (START + timedelta(minutes=20 * number, seconds=draw.randrange(0, 1500)), 1, draw.randrange(3))
+            (
+                START + timedelta(minutes=20 * number, seconds=draw.randrange(0, 1500)),
+                1,
+                draw.randrange(3),
+            )
             for _ in range(100)
         ]
         everything += clicks
