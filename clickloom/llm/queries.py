@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.exact_dedup import exact_dedup
+from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, scan_licences
+from clickloom.llm.line_dedup import dedup_lines
 from clickloom.llm.registry import QUERIES, SQL, query
+from clickloom.llm.secret_scan import (
+    FIRST_LOOK,
+    KINDS,
+    PATTERNS,
+    REACH,
+    base_spans,
+    listed,
+    scan_secrets,
+)
 from clickloom.llm.warc import read_archive, write_archive
 from clickloom.session import new_work_dir
 
@@ -66,3 +77,147 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type",
         "refers_to",
     )
+
+
+@query(
+    "op1_line_dedup",
+    """
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+    w AS (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS p FROM d),
+    k AS (SELECT doc_id, p, [l[p], l[p + 1], l[p + 2]] AS lines FROM w),
+    f AS (SELECT lines, min((doc_id, p)) AS first FROM k GROUP BY lines HAVING count(*) > 1),
+    late AS (SELECT doc_id, p FROM k JOIN f USING (lines) WHERE (doc_id, p) <> first),
+    covered AS (SELECT DISTINCT doc_id, unnest([p, p + 1, p + 2]) AS i FROM late),
+    runs AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run
+             FROM covered),
+    spans AS (SELECT doc_id, min(i) - 1 AS a, max(i) AS b, count(*) AS n
+              FROM runs GROUP BY doc_id, run),
+    gone AS (SELECT doc_id, string_agg(a || ':' || b, ',' ORDER BY a) AS spans,
+                    sum(n)::BIGINT AS n FROM spans GROUP BY doc_id),
+    lines AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d),
+    clean AS (SELECT doc_id, string_agg(l[i], chr(10) ORDER BY i) AS t
+              FROM lines ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(l) AS n_lines, coalesce(n, 0) AS n_removed,
+           coalesce(spans, '') AS removed_spans, sha256(coalesce(t, '')) AS clean_sha256
+    FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN clean USING (doc_id)
+    """,
+)
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    spans = F.transform("removed_spans", lambda x: F.concat_ws(":", x["start"], x["end"]))
+    return dedup_lines(_documents(spark, folder)).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.array_join(spans, ",").alias("removed_spans"),
+        F.sha2("clean", 256).alias("clean_sha256"),
+    )
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _licence_sql() -> str:
+    known = ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in letters().items())
+    names = ", ".join(f"{_quoted(seq)}: {_quoted(name)}" for name, seq in RULES)
+    clean = "trim(regexp_replace({}, '[^a-z0-9]+', ' ', 'g'))"
+    return f"""
+    WITH m AS (SELECT MAP {{{known}}} AS known, MAP {{{names}}} AS names),
+    d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                   'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    cut AS (SELECT doc_id, flatten(list_transform(
+                regexp_split_to_array(
+                    t, '[.!?]+[ \\t\\r\\n]+|[.!?]+\\z|\\n[ \\t\\r]*\\n'),
+                lambda s: CASE WHEN known[{clean.format('s')}] IS NOT NULL THEN [{clean.format('s')}]
+                     ELSE list_transform(string_split(s, chr(10)), lambda x: {clean.format('x')})
+                     END)) AS s
+            FROM d, m WHERE regexp_matches(t, {_quoted('|'.join(ANCHORS))})),
+    sentences AS (SELECT doc_id, list_filter(s, lambda x: x <> '') AS s FROM cut),
+    placed AS (SELECT doc_id, s, unnest(range(len(s))) AS i FROM sentences),
+    found AS (SELECT doc_id, i, known[s[i + 1]] AS letter FROM placed, m
+              WHERE known[s[i + 1]] IS NOT NULL),
+    gaps AS (SELECT doc_id, i, letter,
+                    CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 1
+                         THEN '-' ELSE '' END AS gap FROM found),
+    spelled AS (SELECT doc_id, string_agg(i || ':' || letter, ',' ORDER BY i) AS sentences,
+                       string_agg(gap || letter, '' ORDER BY i) AS seq
+                FROM gaps GROUP BY doc_id)
+    SELECT doc_id, coalesce(sentences, '') AS licence_sentences,
+           coalesce(array_to_string(list_transform(
+               regexp_extract_all(seq, {_quoted(licence_rules())}), lambda x: names[x]), ','), '')
+           AS licences
+    FROM documents LEFT JOIN spelled USING (doc_id), m
+    """
+
+
+@query("op4_license_scan", _licence_sql())
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    sentences = F.transform(
+        "licence_sentences", lambda x: F.concat_ws(":", x["position"], x["letter"])
+    )
+    return scan_licences(_documents(spark, folder)).select(
+        "doc_id",
+        F.array_join(sentences, ",").alias("licence_sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+def _secret_sql() -> str:
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {_quoted(name)} AS name,"
+        f" regexp_split_to_array(t, {_quoted(pattern)}) AS gaps,"
+        f" regexp_extract_all(t, {_quoted(pattern)}, 0) AS hits,"
+        f" regexp_extract_all(t, {_quoted(pattern)}, {group}) AS counted"
+        f" FROM flagged WHERE regexp_matches(t, {_quoted(pattern)})"
+        for name, (pattern, group) in PATTERNS.items()
+    )
+    kinds = ", ".join(
+        f"({_quoted(kind)}, {rank}, {_quoted(name)}, {least}, {most or 2**31 - 1},"
+        f" {_quoted(side)}, {weak})"
+        for rank, (kind, (name, least, most, side, weak)) in enumerate(KINDS.items())
+    )
+    return f"""
+    WITH flagged AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+                     WHERE regexp_matches(coalesce(text, ''), {_quoted(FIRST_LOOK)})),
+    found AS ({found}),
+    one AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found),
+    placed AS (SELECT doc_id, name, length(counted[i]) AS counted, length(hits[i]) AS size,
+                      list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                      + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)
+                      AS start FROM one),
+    kinds(kind, rank, name, least, most, side, weak) AS (VALUES {kinds}),
+    parts AS (SELECT doc_id, kind, rank, side, weak, start::BIGINT AS s,
+                     (start + size)::BIGINT AS e
+              FROM placed JOIN kinds USING (name) WHERE counted BETWEEN least AND most),
+    shown AS (SELECT * FROM parts p WHERE NOT weak OR EXISTS (
+                  SELECT 1 FROM parts q WHERE q.doc_id = p.doc_id AND q.side <> p.side
+                  AND q.s < p.e + {REACH} AND q.e > p.s - {REACH})),
+    listed AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+                      count(*) FILTER (kind = 'access') AS n_access,
+                      count(*) FILTER (kind = 'hex') AS n_hex,
+                      string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank)
+                      FILTER (NOT weak) AS base,
+                      string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+               FROM shown GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+           coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN listed USING (doc_id)
+    """
+
+
+@query("op5_secret_scan", _secret_sql())
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    spans = F.col("secret_spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+
+    return scan_secrets(_documents(spark, folder)).select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(base_spans(spans)), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )
