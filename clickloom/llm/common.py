@@ -43,6 +43,22 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def join_hot(left: DataFrame, right: DataFrame, *key: str, how: str = "inner") -> DataFrame:
+    """Join with a table of one row per key where one key may hold most of the left rows.
+
+    The adaptive skew join splits such a key only if both sides were shuffled for the join.
+    A table aggregated by the key is not, its partitioning is used again. The join is
+    therefore on the key and a number made from it, which no side is partitioned by.
+    """
+    (part,) = fresh(left, "part")
+    number = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(2))
+    return (
+        left.withColumn(part, number)
+        .join(right.withColumn(part, number), [*key, part], how)
+        .drop(part)
+    )
+
+
 def byte_chunks(
     column: pa.Array | pa.ChunkedArray, most: int = 1 << 22
 ) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import fresh, full_text, put
+from clickloom.llm.common import fresh, full_text, join_hot, put
 
 WINDOW = 3
 SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -57,7 +57,7 @@ def later_windows(docs: DataFrame, text: Column, ident: Column, lines: int) -> D
         .drop("n")
     )
     return (
-        windows.join(repeated, ["h1", "h2"])
+        join_hot(windows, repeated, "h1", "h2")
         .where(F.struct("doc", "position") != F.col("first"))
         .groupBy("doc")
         .agg(F.collect_set("position").alias("positions"))

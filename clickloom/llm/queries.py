@@ -18,6 +18,7 @@ from clickloom.llm.secret_scan import (
     listed,
     scan_secrets,
 )
+from clickloom.llm.simhash import with_components, with_fingerprints
 from clickloom.llm.warc import read_archive, write_archive
 from clickloom.session import new_work_dir
 
@@ -221,3 +222,8 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base_spans(spans)), 256).alias("base_sha256"),
         listed(spans).alias("spans"),
     )
+
+
+@query("op6_simhash_dedup")
+def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return with_components(with_fingerprints(_documents(spark, folder)).drop("text"))
