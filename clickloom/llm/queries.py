@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.bytebpe import round_trips
 from clickloom.llm.exact_dedup import exact_dedup
 from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
+from clickloom.llm.packing import pack_documents
 from clickloom.llm.registry import QUERIES, SQL, query
 from clickloom.llm.secret_scan import (
     FIRST_LOOK,
@@ -227,3 +230,14 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_simhash_dedup")
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return with_components(with_fingerprints(_documents(spark, folder)).drop("text"))
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_documents(spark, folder))
+
+
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return round_trips(_documents(spark, folder), path).drop("text")

@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from clickloom.llm.packing import (
+    best_fit_decreasing,
+    lower_bound,
+    pack_documents,
+    pack_pieces,
+)
+from clickloom.llm.queries import QUERIES
+
+COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def _gapless(rows, capacity):
+    """Sequences filled from 0 without gaps; their number."""
+    at: dict[int, int] = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == at.get(r.sequence_id, 0)
+        at[r.sequence_id] = r.offset + r.length
+    assert all(n <= capacity for n in at.values())
+    return len(at)
+
+
+def _fewest(lengths, capacity):
+    """Fewest bins, by trying everything."""
+    best = len(lengths)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(lengths):
+            best = len(bins)
+            return
+        for b in range(len(bins)):
+            if bins[b] + lengths[i] <= capacity:
+                bins[b] += lengths[i]
+                place(i + 1, bins)
+                bins[b] -= lengths[i]
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def test_bound_is_never_above_the_fewest_bins():
+    rng = np.random.default_rng(5)
+    reached = 0
+    for _ in range(150):
+        lengths = rng.integers(1, 21, rng.integers(1, 9))
+        bound, fewest = lower_bound(lengths, 20), _fewest(sorted(lengths, reverse=True), 20)
+        assert bound <= fewest
+        reached += bound == fewest
+    assert reached > 120
+
+
+def test_best_fit_takes_the_fullest_bin():
+    bins, offsets = best_fit_decreasing(np.array([7, 6, 3, 4, 3]), 10)
+    assert bins.tolist() == [0, 1, 0, 1, 2] and offsets.tolist() == [0, 0, 7, 6, 0]
+
+
+def test_exchange_never_needs_more_and_stays_whole(spark):
+    rng = np.random.default_rng(6)
+    lengths = rng.integers(1, 100, 3000)
+    rows = spark.createDataFrame(list(enumerate(lengths.tolist())), "place long, length long")
+    used = {}
+    for rounds in (0, 3):
+        got = pack_pieces(rows, 100, 100, rounds).join(rows, "place").collect()
+        assert len(got) == 3000
+        used[rounds] = _gapless(got, 100)
+    assert used[3] <= used[0]
+    assert lower_bound(lengths, 100) <= used[3] <= lower_bound(lengths, 100) * 1.015
+
+
+def test_whole_query_against_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for r in docs:
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]
+        first = len(ids) % 2048 or 2048
+        edges = [0, *range(first, len(ids) + 1, 2048)]
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            want[r.doc_id, i] = (a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))
+    got = QUERIES["op3_best_fit_packing"](spark, folder)
+    assert got.columns == COLUMNS
+    rows = got.collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want
+    assert len(rows) == len(want)
+    lengths = np.array([r.length for r in rows])
+    assert _gapless(rows, 2048) <= lower_bound(lengths, 2048) + 1
+
+
+def test_odd_rows(spark):
+    long = "word " * 5000
+    docs = spark.createDataFrame(
+        [(None, None, 1), (2, "", 2), (2, "", 2), (3, long, 3)],
+        "doc_id long, text string, place int",
+    )
+    rows = pack_documents(docs).collect()
+    assert [r.length for r in rows if r.doc_id != 3] == [1, 1, 1]
+    pieces = sorted((r.piece, r.start, r.length) for r in rows if r.doc_id == 3)
+    assert [n for *_, n in pieces][1:] == [2048] * (len(pieces) - 1)
+    assert all(r.place is not None for r in rows)
+    _gapless(rows, 2048)
+
+
+@pytest.mark.parametrize("schema", ["doc_id long, text string, length string"])
+def test_empty_table(spark, schema):
+    got = pack_documents(spark.createDataFrame([], schema))
+    assert got.columns == COLUMNS and got.count() == 0
