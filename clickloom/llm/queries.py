@@ -10,6 +10,7 @@ from clickloom.llm.bytebpe import round_trips
 from clickloom.llm.exact_dedup import exact_dedup
 from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
+from clickloom.llm.merkle import edited_rows, map_with_next
 from clickloom.llm.packing import pack_documents
 from clickloom.llm.registry import QUERIES, SQL, query
 from clickloom.llm.secret_scan import (
@@ -241,3 +242,12 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return round_trips(_documents(spark, folder), path).drop("text")
+
+
+@query("op8_document_fingerprints")
+def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    schema = (
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
+        " edited_fingerprint string, near_edited double, near_next double"
+    )
+    return map_with_next(_documents(spark, folder), edited_rows, schema)
