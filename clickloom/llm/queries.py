@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.bytebpe import round_trips
 from clickloom.llm.exact_dedup import exact_dedup
+from clickloom.llm.language_id import identify_languages, train
 from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
 from clickloom.llm.merkle import edited_rows, map_with_next
@@ -251,3 +252,14 @@ def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         " edited_fingerprint string, near_edited double, near_next double"
     )
     return map_with_next(_documents(spark, folder), edited_rows, schema)
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder, "lang").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    )
+    model = train(docs.where(~F.col("held_out")))
+    return identify_languages(docs.drop("lang"), model).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
