@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 from xxhash import xxh64_intdigest
@@ -35,3 +36,49 @@ def components(items: list, linked) -> dict:
             a, b = sorted((find(a), find(b)))
             root[b] = a
     return {x: find(x) for x in items}
+
+
+_WORDS = "(password|passwd|secret|token|api_?key)"
+_IS = r"""["']?\x20*[:=]\x20*["']?"""
+_PARTS = {
+    "assign": (re.compile(f"(?ai:{_WORDS}){_IS}([A-Za-z0-9+/_.=-]+)"), 2),
+    "access": (re.compile("AKIA[A-Z0-9]+"), 0),
+    "hex": (re.compile("[0-9a-f]+"), 0),
+    "login": (
+        re.compile(f"(?ai:(username|user|login|client_id|account_id)){_IS}([A-Za-z0-9@._-]{{3,}})"),
+        2,
+    ),
+    "endpoint": (
+        re.compile(
+            "(?:https?|ftps?|sftp|ssh|jdbc|postgres(?:ql)?|mysql|redis|mongodb|amqps?|s3)"
+            "://[^\x00-\x20\"'<>]{4,}"
+        ),
+        0,
+    ),
+}
+_KINDS = [
+    ("assign", "assign", 8, 10**9, "secret", False),
+    ("access", "access", 16, 10**9, "partner", False),
+    ("hex", "hex", 32, 10**9, "secret", False),
+    ("short", "assign", 4, 7, "secret", True),
+    ("run", "hex", 16, 31, "secret", True),
+    ("login", "login", 3, 10**9, "partner", True),
+    ("endpoint", "endpoint", 4, 10**9, "partner", True),
+]
+
+
+def secrets(text: str | None, reach: int = 200) -> list[tuple[int, str, int]]:
+    """(start, kind, end) of all reported spans."""
+    found = []
+    for rank, (kind, name, least, most, side, weak) in enumerate(_KINDS):
+        pattern, group = _PARTS[name]
+        for m in pattern.finditer(text or ""):
+            if least <= len(m[group]) <= most:
+                found.append((m.start(), rank, kind, m.end(), side, weak))
+    shown = [
+        (s, rank, kind, e)
+        for s, rank, kind, e, side, weak in found
+        if not weak
+        or any(x[4] != side and x[0] < e + reach and x[3] > s - reach for x in found)
+    ]
+    return [(s, kind, e) for s, _, kind, e in sorted(shown)]
