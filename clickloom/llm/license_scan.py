@@ -147,7 +147,7 @@ def scan_licences(docs: DataFrame, text: str = "text") -> DataFrame:
         docs,
         {"licence_sentences": F.when(low.rlike("|".join(ANCHORS)), named).otherwise(empty)},
     )
-    return found.withColumn("licences", matched_rules(F.col("licence_sentences")))
+    return put(found, {"licences": matched_rules(F.col("licence_sentences"))})
 
 
 def matched_rules(sentences: Column) -> Column:
