@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.plans import run_session_analysis, start_ad_monitor
 from clickloom.schemas import BLACKLIST_THRESHOLD, SAMPLE_TOTAL
-from clickloom.session import STREAM_SETTINGS, build_session
-from clickloom.sinks import jdbc_results, parquet_results
+from clickloom.session import build_session
+from clickloom.sinks import FOLD_EVERY, jdbc_results, parquet_results
 from clickloom.sources import load_task, read_file_lines, read_jdbc, read_kafka_lines
+from clickloom.sources.adlog import AHEAD
 from clickloom.streaming import AVAILABLE_NOW
 
 
@@ -37,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     session.add_argument("--output", required=True, help="folder, or jdbc:<url>")
     session.add_argument("--sample-total", type=int, default=SAMPLE_TOTAL)
     session.add_argument("--seed", type=int, default=0)
+    session.add_argument("--connections", type=int, help="database connections at a time")
     session.add_argument("--count-scope", choices=("all", "filtered"), default="all")
     session.add_argument("--hive", action="store_true", help="tables are in a Hive metastore")
 
@@ -47,7 +49,10 @@ def _parser() -> argparse.ArgumentParser:
     monitor.add_argument("--topics", help="comma list of Kafka topics")
     monitor.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
     monitor.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
-    monitor.add_argument("--files", type=int, default=8, help="files per table and micro-batch")
+    monitor.add_argument("--ahead", default=AHEAD, help="how far a click may be in the future")
+    monitor.add_argument(
+        "--fold-every", type=int, default=FOLD_EVERY, help="micro-batches between folds"
+    )
     monitor.add_argument("--available-now", action="store_true", help="stop at the input's end")
     return parser
 
@@ -68,13 +73,15 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             _table(spark, args.actions),
             _table(spark, args.users),
             load_task(_table(spark, args.tasks), args.task_id),
-            jdbc_results(args.output) if to_database else parquet_results(args.output),
+            jdbc_results(args.output, args.connections)
+            if to_database
+            else parquet_results(args.output),
             args.sample_total,
             args.seed,
             args.count_scope,
         )
         return
-    spark = spark or build_session("clickloom monitor", settings=STREAM_SETTINGS)
+    spark = spark or build_session("clickloom monitor")
     lines = (
         read_kafka_lines(spark, args.servers, args.topics)
         if args.servers
@@ -82,7 +89,13 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     )
     trigger = AVAILABLE_NOW if args.available_now else None
     queries = start_ad_monitor(
-        lines, args.root, args.threshold, trigger=trigger, files=args.files
+        lines,
+        args.root,
+        args.threshold,
+        args.ahead,
+        "timestamp" if args.servers else None,
+        trigger,
+        args.fold_every,
     )
     if args.available_now:
         for query in queries:

@@ -13,14 +13,9 @@ from clickloom.schemas import (
     AD_USER_CLICK_COUNT,
     BLACKLIST_THRESHOLD,
 )
-from clickloom.sinks import latest_by_key, read_store
-from clickloom.sources.adlog import parse_ad_log, rejected_lines, valid_clicks
-from clickloom.streaming.jobs import (
-    LATENESS,
-    start_ad_trend,
-    start_daily_counts,
-    start_rejected_copy,
-)
+from clickloom.sinks import FOLD_EVERY, BatchStore
+from clickloom.sources.adlog import AHEAD, parse_ad_log, rejected_lines, valid_clicks
+from clickloom.streaming.jobs import start_ad_trend, start_daily_counts, start_rejected_copy
 
 
 @dataclass(frozen=True)
@@ -31,16 +26,16 @@ class AdMonitor:
     root: str
 
     @property
-    def counts_path(self) -> str:
-        return f"{self.root}/ad_user_click_count"
+    def counts(self) -> BatchStore:
+        return click_count_store(self.spark, f"{self.root}/ad_user_click_count")
 
     @property
-    def blacklist_path(self) -> str:
-        return f"{self.root}/ad_blacklist"
+    def listed(self) -> BatchStore:
+        return blacklist_store(self.spark, f"{self.root}/ad_blacklist")
 
     @property
-    def trend_path(self) -> str:
-        return f"{self.root}/ad_click_trend"
+    def trend(self) -> BatchStore:
+        return trend_store(self.spark, f"{self.root}/ad_click_trend")
 
     @property
     def rejected_path(self) -> str:
@@ -49,52 +44,61 @@ class AdMonitor:
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
-    def user_click_counts(self) -> DataFrame:
-        """Clicks per day, user and ad."""
-        rows = read_store(self.spark, self.counts_path, AD_USER_CLICK_COUNT)
-        return latest_by_key(rows, ["date", "user_id", "ad_id"], "click_count")
+    def user_click_counts(self, dates: list[str] | None = None) -> DataFrame:
+        """Clicks per day, user and ad; with ``dates`` only their files are opened."""
+        return self.counts.table(dates=dates)
 
     def blacklist(self) -> DataFrame:
         """Listed users."""
-        rows = read_store(self.spark, self.blacklist_path, AD_BLACKLIST)
-        return rows.select("user_id").distinct()
+        return self.listed.table()
 
-    def click_trend(self) -> DataFrame:
+    def click_trend(self, dates: list[str] | None = None) -> DataFrame:
         """Clicks per minute and ad."""
-        rows = read_store(self.spark, self.trend_path, AD_CLICK_TREND)
-        return latest_by_key(rows, ["date", "hour", "minute", "ad_id"], "click_count")
+        return self.trend.table(dates=dates)
+
+
+def click_count_store(spark: SparkSession, path: str) -> BatchStore:
+    keys = ("date", "user_id", "ad_id")
+    return BatchStore(spark, path, AD_USER_CLICK_COUNT, keys, "click_count", "date")
+
+
+def blacklist_store(spark: SparkSession, path: str) -> BatchStore:
+    return BatchStore(spark, path, AD_BLACKLIST, ("user_id",))
+
+
+def trend_store(spark: SparkSession, path: str) -> BatchStore:
+    keys = ("date", "hour", "minute", "ad_id")
+    return BatchStore(spark, path, AD_CLICK_TREND, keys, "click_count", "date")
 
 
 def start_ad_monitor(
     lines: DataFrame,
     root: str,
     threshold: int = BLACKLIST_THRESHOLD,
-    lateness: str | None = LATENESS,
+    ahead: str = AHEAD,
+    arrival: str | None = None,
     trigger: dict | None = None,
-    files: int | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> list[StreamingQuery]:
-    """Start the day counts with blacklist, the trend over all clicks, and the rejects."""
+    """Start the day counts with blacklist, the trend over all clicks, and the rejects.
+
+    ``arrival`` and ``ahead`` bound a click's time, see :func:`parse_ad_log`.
+    """
     monitor = AdMonitor(lines.sparkSession, root)
-    parsed = parse_ad_log(lines)
+    parsed = parse_ad_log(lines, arrival=arrival, ahead=ahead)
     clicks = valid_clicks(parsed)
     return [
         start_daily_counts(
             clicks,
-            monitor.counts_path,
-            monitor.blacklist_path,
+            monitor.counts,
+            monitor.listed,
             monitor.checkpoint("daily_counts"),
             threshold,
-            lateness,
             trigger,
-            files,
+            fold_every,
         ),
         start_ad_trend(
-            clicks,
-            monitor.trend_path,
-            monitor.checkpoint("ad_trend"),
-            lateness,
-            trigger,
-            files,
+            clicks, monitor.trend, monitor.checkpoint("ad_trend"), trigger, fold_every
         ),
         start_rejected_copy(
             rejected_lines(parsed),

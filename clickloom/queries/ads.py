@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.operators import adclicks as ops
+from clickloom.plans.ad_monitoring import blacklist_store, click_count_store, trend_store
 from clickloom.queries import model
 from clickloom.queries.model import CLICKS_SQL, EVENTS_SQL, LINES_SQL, with_sql
 from clickloom.queries.registry import query
-from clickloom.schemas import AD_BLACKLIST, AD_CLICK_TREND, AD_USER_CLICK_COUNT
 from clickloom.session import new_work_dir
-from clickloom.sinks import create_store, latest_by_key, read_store, write_batch
+from clickloom.sinks import BatchStore
 from clickloom.sources import format_ad_log, parse_ad_log, rejected_lines, valid_clicks
 
 THRESHOLD = 2
@@ -90,7 +90,7 @@ def parse_ad_log_query(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "rejected_ad_log",
-    with_sql(EVENTS_SQL, LINES_SQL) + "SELECT value AS line FROM ad_log WHERE value LIKE 'x%'",
+    with_sql(EVENTS_SQL, LINES_SQL) + "SELECT value AS line FROM ad_log WHERE event_type = 'error'",
 )
 def rejected_ad_log(spark: SparkSession, folder: str) -> DataFrame:
     return rejected_lines(parse_ad_log(model.log_lines(spark, folder)))
@@ -98,7 +98,7 @@ def rejected_ad_log(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "format_ad_log",
-    with_sql(EVENTS_SQL, LINES_SQL) + "SELECT value FROM ad_log WHERE value NOT LIKE 'x%'",
+    with_sql(EVENTS_SQL, LINES_SQL) + "SELECT value FROM ad_log WHERE event_type = 'click'",
 )
 def format_ad_log_query(spark: SparkSession, folder: str) -> DataFrame:
     return format_ad_log(model.clicks(spark, folder))
@@ -170,76 +170,72 @@ def blacklist_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query("blacklist_snapshot", BASE_SQL + "SELECT user_id FROM listed")
 def blacklist_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The list as written by one batch and read by the next."""
-    path = new_work_dir(spark, "ad_blacklist")
-    create_store(spark, path, AD_BLACKLIST)
-    write_batch(distinct_blacklist_users(spark, folder), path, 0)
-    return read_store(spark, path, AD_BLACKLIST, before=1).select("user_id")
+    listed = blacklist_store(spark, new_work_dir(spark, "ad_blacklist"))
+    listed.write(distinct_blacklist_users(spark, folder), 0)
+    return listed.table(before=1)
 
 
 @query("append_blacklist", BASE_SQL + "SELECT user_id FROM listed")
 def append_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches: the users of the mornings' clicks, then those not yet listed of all."""
-    path = new_work_dir(spark, "ad_blacklist")
-    create_store(spark, path, AD_BLACKLIST)
+    listed = blacklist_store(spark, new_work_dir(spark, "ad_blacklist"))
     clicks = model.clicks(spark, folder)
     mornings = ops.daily_user_ad_clicks(clicks.where(F.hour("ts") < 12))
-    write_batch(ops.blacklist_users(mornings, THRESHOLD), path, 0)
-    listed = read_store(spark, path, AD_BLACKLIST, before=1)
+    listed.write(ops.blacklist_users(mornings, THRESHOLD), 0)
     everyone = ops.blacklist_users(ops.daily_user_ad_clicks(clicks), THRESHOLD)
-    write_batch(ops.without_blacklisted(everyone, listed), path, 1)
-    return read_store(spark, path, AD_BLACKLIST).select("user_id")
+    listed.write(ops.without_blacklisted(everyone, listed.table(before=1)), 1)
+    return listed.read().select("user_id")
 
 
 # ---- keyed tables ----
 
 
-def _half_day_counts(spark: SparkSession, folder: str, path: str) -> None:
-    """Day counts kept over two batches, the mornings' clicks and the rest."""
-    create_store(spark, path, AD_USER_CLICK_COUNT)
+def _half_day_counts(spark: SparkSession, folder: str) -> BatchStore:
+    """Day counts added by two batches, the mornings' clicks and the rest."""
+    counts = click_count_store(spark, new_work_dir(spark, "ad_user_click_count"))
     clicks = model.clicks(spark, folder)
     for batch_id, part in enumerate((F.hour("ts") < 12, F.hour("ts") >= 12)):
-        stored = read_store(spark, path, AD_USER_CLICK_COUNT, before=batch_id)
-        totals = latest_by_key(stored, ["date", "user_id", "ad_id"], "click_count")
-        batch_counts = ops.daily_user_ad_clicks(clicks.where(part))
-        write_batch(ops.accumulated_counts(batch_counts, totals), path, batch_id)
-
-
-def _stored_counts(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_store(spark, path, AD_USER_CLICK_COUNT)
-    return latest_by_key(rows, ["date", "user_id", "ad_id"], "click_count")
+        counts.write(ops.daily_user_ad_clicks(clicks.where(part)), batch_id)
+    return counts
 
 
 @query("upsert_user_click_count", BASE_SQL + _DAILY)
 def upsert_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_work_dir(spark, "ad_user_click_count")
-    _half_day_counts(spark, folder, path)
-    return _stored_counts(spark, path)
+    return _half_day_counts(spark, folder).table()
+
+
+@query("folded_user_click_count", BASE_SQL + _DAILY)
+def folded_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
+    """The first batch folded, the second not, then both."""
+    counts = _half_day_counts(spark, folder)
+    counts.fold(before=1)
+    counts.fold(before=2)
+    return counts.table()
 
 
 @query(
     "lookup_user_click_count",
-    BASE_SQL + _DAILY + " WHERE (date, user_id, ad_id) IN (SELECT strftime(ts, '%Y-%m-%d'),"
-    " user_id, ad_id FROM ad_click WHERE hour(ts) >= 12)",
+    BASE_SQL + _DAILY + " WHERE date BETWEEN '2024-01-10' AND '2024-01-12' AND"
+    " (date, user_id, ad_id) IN (SELECT strftime(ts, '%Y-%m-%d'), user_id, ad_id"
+    " FROM ad_click WHERE hour(ts) >= 12)",
 )
 def lookup_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored counts of the keys the afternoons' clicks touch."""
-    path = new_work_dir(spark, "ad_user_click_count")
-    _half_day_counts(spark, folder, path)
-    afternoons = model.clicks(spark, folder).where(F.hour("ts") >= 12)
-    keys = ops.ad_day_key(afternoons).distinct()
-    return ops.lookup_user_click_count(keys, _stored_counts(spark, path))
+    """Stored counts of the keys the afternoons' clicks of three days touch."""
+    counts = _half_day_counts(spark, folder)
+    dates = ["2024-01-10", "2024-01-11", "2024-01-12"]
+    clicks = model.clicks(spark, folder, dates[0], dates[-1])
+    keys = ops.ad_day_key(clicks.where(F.hour("ts") >= 12)).distinct()
+    return ops.lookup_user_click_count(keys, counts.table(dates=dates))
 
 
 @query("upsert_ad_click_trend", BASE_SQL + MINUTELY_SQL)
 def upsert_ad_click_trend(spark: SparkSession, folder: str) -> DataFrame:
-    """First the counts of some of the clicks, then the full ones, which replace them."""
-    path = new_work_dir(spark, "ad_click_trend")
-    create_store(spark, path, AD_CLICK_TREND)
+    """Minutes whose clicks come in two batches."""
+    trend = trend_store(spark, new_work_dir(spark, "ad_click_trend"))
     clicks = model.clicks(spark, folder)
-    write_batch(ops.ad_minute_clicks(clicks.where(F.second("ts") < 30)), path, 0)
-    write_batch(ops.ad_minute_clicks(clicks), path, 1)
-    rows = read_store(spark, path, AD_CLICK_TREND)
-    return latest_by_key(rows, ["date", "hour", "minute", "ad_id"], "click_count")
+    for batch_id, part in enumerate((F.second("ts") < 30, F.second("ts") >= 30)):
+        trend.write(ops.ad_minute_clicks(clicks.where(part)), batch_id)
+    return trend.table()
 
 
 # ---- trend ----

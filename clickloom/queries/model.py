@@ -140,10 +140,12 @@ def tasks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def clicks(spark: SparkSession, folder: str) -> DataFrame:
-    """Ad clicks."""
+def clicks(
+    spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Ad clicks, optionally of the days from ``start`` to ``end``."""
     return (
-        events(spark, folder)
+        events(spark, folder, start, end)
         .where(F.col("event_type") == "click")
         .select(
             "ts",
@@ -158,11 +160,16 @@ def clicks(spark: SparkSession, folder: str) -> DataFrame:
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Ad click log lines (``value``) with the time they were made.
 
-    Events that are errors give lines without a readable time.
+    Events that are errors give lines without a usable time: no number, one that no
+    calendar has, or one in the year 2200.
     """
-    first = F.when(F.col("event_type") == "click", F.unix_millis("ts").cast("string")).otherwise(
-        F.concat(F.lit("x"), F.col("event_id").cast("string"))
+    broken = (
+        F.when(F.col("event_id") % 3 == 0, "9223372036854775807")
+        .when(F.col("event_id") % 3 == 1, "7258118400000")
+        .otherwise(F.concat(F.lit("x"), F.col("event_id").cast("string")))
     )
+    made = F.unix_millis("ts").cast("string")
+    first = F.when(F.col("event_type") == "click", made).otherwise(broken)
     user = F.col("user_id")
     return (
         events(spark, folder)
@@ -259,9 +266,11 @@ ad_click AS (
 LINES_SQL = """
 ad_log AS (
   SELECT CASE WHEN event_type = 'click' THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
+              WHEN event_id % 3 = 0 THEN '9223372036854775807'
+              WHEN event_id % 3 = 1 THEN '7258118400000'
               ELSE 'x' || event_id END
          || ' ' || (user_id % 5) || ' ' || (user_id % 25) || ' ' || user_id
-         || ' ' || (k % 10) AS value, ts
+         || ' ' || (k % 10) AS value, ts, event_type
   FROM ev WHERE event_type IN ('click', 'error')
 )"""
 

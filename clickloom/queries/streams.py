@@ -14,14 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.adclicks import blacklist_users, daily_user_ad_clicks
-from clickloom.plans.ad_monitoring import AdMonitor
+from clickloom.plans.ad_monitoring import AdMonitor, blacklist_store
 from clickloom.queries import model
 from clickloom.queries.ads import BASE_SQL, MINUTELY_SQL, THRESHOLD, replay_sql
 from clickloom.queries.model import CLICKS_SQL, EVENTS_SQL, LINES_SQL, with_sql
 from clickloom.queries.registry import query
-from clickloom.schemas import AD_BLACKLIST
 from clickloom.session import new_work_dir
-from clickloom.sinks import create_store, read_store, write_batch
+from clickloom.sinks import BatchStore
 from clickloom.sources import parse_ad_log, read_file_lines, rejected_lines, valid_clicks
 from clickloom.streaming import (
     AVAILABLE_NOW,
@@ -32,7 +31,6 @@ from clickloom.streaming import (
     start_rejected_copy,
 )
 
-FILES = 4
 PARTS = 3
 
 
@@ -52,11 +50,14 @@ def _run_parts(
     work: str,
     part: Column,
     start: Callable[[DataFrame], StreamingQuery],
+    apart: bool = False,
 ) -> None:
+    """Feed the parts one after the other; ``apart`` from folders of their own."""
     lines = model.log_lines(spark, folder)
     for number in range(PARTS):
-        lines.where(part == number).select("value").write.mode("append").text(f"{work}/lines")
-        start(read_file_lines(spark, f"{work}/lines")).awaitTermination()
+        place = f"{work}/lines{number if apart else ''}"
+        lines.where(part == number).select("value").write.mode("append").text(place)
+        start(read_file_lines(spark, place)).awaitTermination()
 
 
 _CLICK = (
@@ -84,7 +85,7 @@ def stream_ad_clicks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "stream_rejected_lines",
-    with_sql(EVENTS_SQL, LINES_SQL) + "SELECT value AS line FROM ad_log WHERE value LIKE 'x%'",
+    with_sql(EVENTS_SQL, LINES_SQL) + "SELECT value AS line FROM ad_log WHERE event_type = 'error'",
 )
 def stream_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
     work = new_work_dir(spark, "stream_rejected_lines")
@@ -103,25 +104,20 @@ def _filtered_store(
     spark: SparkSession, folder: str, part: Column, listed: DataFrame | None
 ) -> DataFrame:
     work = new_work_dir(spark, "stream_filtered_clicks")
-    create_store(spark, f"{work}/blacklist", AD_BLACKLIST)
+    blacklist = blacklist_store(spark, f"{work}/blacklist")
     if listed is not None:
-        write_batch(listed, f"{work}/blacklist", 0)
-    schemas = []
+        blacklist.write(listed, 0)
+    stores = []
 
     def start(lines: DataFrame) -> StreamingQuery:
         clicks = valid_clicks(parse_ad_log(lines))
-        schemas.append(clicks.schema)
+        stores.append(BatchStore(spark, f"{work}/clicks", clicks.schema))
         return start_filtered_clicks(
-            clicks,
-            f"{work}/blacklist",
-            f"{work}/clicks",
-            f"{work}/checkpoint",
-            AVAILABLE_NOW,
-            FILES,
+            clicks, blacklist, stores[-1], f"{work}/checkpoint", AVAILABLE_NOW
         )
 
     _run_parts(spark, folder, work, part, start)
-    return read_store(spark, f"{work}/clicks", schemas[0])
+    return stores[-1].read()
 
 
 @query(
@@ -146,23 +142,31 @@ def stream_blacklist_filter(spark: SparkSession, folder: str) -> DataFrame:
     return _with_millis(rows).drop("batch_id")
 
 
-def _monitored(spark: SparkSession, folder: str) -> AdMonitor:
+def _monitored(
+    spark: SparkSession,
+    folder: str,
+    part: Column,
+    threshold: int = THRESHOLD,
+    restart: bool = False,
+) -> AdMonitor:
+    """Day counts over the parts; with ``restart`` each part has a new checkpoint."""
     work = new_work_dir(spark, "stream_daily_counts")
     monitor = AdMonitor(spark, work)
+    starts = []
 
     def start(lines: DataFrame) -> StreamingQuery:
+        starts.append(f"daily_counts_{len(starts)}" if restart else "daily_counts")
         return start_daily_counts(
             valid_clicks(parse_ad_log(lines)),
-            monitor.counts_path,
-            monitor.blacklist_path,
-            monitor.checkpoint("daily_counts"),
-            THRESHOLD,
-            None,
+            monitor.counts,
+            monitor.listed,
+            monitor.checkpoint(starts[-1]),
+            threshold,
             AVAILABLE_NOW,
-            FILES,
+            fold_every=2,
         )
 
-    _run_parts(spark, folder, work, by_hours(), start)
+    _run_parts(spark, folder, work, part, start, apart=restart)
     return monitor
 
 
@@ -171,12 +175,25 @@ _REPLAY = replay_sql("hour(ts) // 8")
 
 @query("stream_daily_clicks", _REPLAY + "SELECT * FROM remaining")
 def stream_daily_clicks(spark: SparkSession, folder: str) -> DataFrame:
-    return _monitored(spark, folder).user_click_counts()
+    return _monitored(spark, folder, by_hours()).user_click_counts()
 
 
 @query("stream_generate_blacklist", _REPLAY + "SELECT user_id FROM listed")
 def stream_generate_blacklist(spark: SparkSession, folder: str) -> DataFrame:
-    return _monitored(spark, folder).blacklist()
+    return _monitored(spark, folder, by_hours()).blacklist()
+
+
+@query("restarted_daily_clicks", _REPLAY + "SELECT * FROM remaining")
+def restarted_daily_clicks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same tables go on when every part is read by a query with a new checkpoint."""
+    return _monitored(spark, folder, by_hours(), restart=True).user_click_counts()
+
+
+@query("stream_late_clicks", BASE_SQL + "SELECT date, user_id, ad_id, click_count FROM daily")
+def stream_late_clicks(spark: SparkSession, folder: str) -> DataFrame:
+    """The end of the month comes first; clicks of weeks ago still count."""
+    late_first = (PARTS - 1 - by_days()).cast("int")
+    return _monitored(spark, folder, late_first, threshold=2**31).user_click_counts()
 
 
 @query("stream_ad_trend", BASE_SQL + MINUTELY_SQL)
@@ -187,10 +204,10 @@ def stream_ad_trend(spark: SparkSession, folder: str) -> DataFrame:
     def start(lines: DataFrame) -> StreamingQuery:
         return start_ad_trend(
             valid_clicks(parse_ad_log(lines)),
-            monitor.trend_path,
+            monitor.trend,
             monitor.checkpoint("ad_trend"),
-            trigger=AVAILABLE_NOW,
-            files=FILES,
+            AVAILABLE_NOW,
+            fold_every=2,
         )
 
     _run_parts(spark, folder, work, by_days(), start)

@@ -7,25 +7,14 @@ from clickloom.sinks.append import (
     jdbc_results,
     parquet_results,
 )
-from clickloom.sinks.batches import (
-    compact_store,
-    create_store,
-    latest_by_key,
-    read_batch,
-    read_store,
-    write_batch,
-)
+from clickloom.sinks.batches import FOLD_EVERY, BatchStore
 
 __all__ = [
+    "FOLD_EVERY",
+    "BatchStore",
     "ResultWriter",
     "append_jdbc",
     "append_table",
-    "compact_store",
-    "create_store",
     "jdbc_results",
-    "latest_by_key",
     "parquet_results",
-    "read_batch",
-    "read_store",
-    "write_batch",
 ]

@@ -1,73 +1,176 @@
-"""Tables a stream writes batch by batch, one ``batch_id=<n>`` folder per micro-batch.
-
-A batch that is run again after a failure overwrites its own folder, so every batch
-counts once. A key written by several batches has its newest value.
+"""Tables a stream writes batch by batch, for as long as it runs.
+
+Below the table's folder lie
+
+- ``batches/batch_id=<n>``: what batch ``n`` added, by ``date`` if the table has one;
+- ``folds/fold=<n>/date=<d>``: all that was added for a date up to batch ``n``, one row per
+  key;
+- ``manifests/<n>.json``: up to which batch rows are folded, and the newest fold of each
+  date; the one of the highest number counts;
+- ``queries/<id>``: the number that is added to the batch numbers of a streaming query.
+
+A folder appears complete, under its final name, or not at all. A batch that runs again
+finds its folder and leaves it, so it counts once. A query that starts with a new checkpoint
+counts its batches from 0 again; its number puts them after all that is stored, so nothing
+stored is replaced. A fold writes the dates its batches touched and no others, and what it
+replaces is removed one fold later, when no reader that began before can still need it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_ID = "batch_id"
-_INITIAL = -1
-
-
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/{BATCH_ID}={batch_id}"
-
-
-def create_store(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """An empty table, so that it can be read before the first batch; kept when it exists."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(_batch_path(path, _INITIAL))
-
-
-def write_batch(rows: DataFrame, path: str, batch_id: int, files: int | None = None) -> None:
-    """Write or rewrite one batch, as at most ``files`` files when given."""
-    if files is not None:
-        rows = rows.repartition(files)
-    rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
-
+from clickloom.sinks import files
 
-def read_store(
-    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
-) -> DataFrame:
-    """All rows with their ``batch_id``, or those of batches earlier than ``before``."""
-    with_batch = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType(), True)])
-    rows = spark.read.schema(with_batch).parquet(path)
-    return rows if before is None else rows.where(F.col(BATCH_ID) < before)
-
-
-def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """The rows of one batch; lists only its own folder."""
-    return spark.read.schema(schema).parquet(_batch_path(path, batch_id))
-
-
-def latest_by_key(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """The value of the newest batch for each key."""
-    return rows.groupBy(*keys).agg(F.max_by(value, BATCH_ID).alias(value))
-
-
-def compact_store(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    schema: T.StructType,
-    keys: Sequence[str],
-    value: str | None = None,
-) -> None:
-    """Fold the batches of ``source`` into one row per key in the new table ``target``.
-
-    For use between two runs of a stream: restart it with ``target``. The rows are
-    filed under the initial batch id, so whatever the stream writes next is newer, and a
-    last batch that runs again does not overwrite them.
-    """
-    rows = read_store(spark, source, schema)
-    folded = rows.select(*keys).distinct() if value is None else latest_by_key(rows, keys, value)
-    folded.select(*schema.names).write.mode("errorifexists").parquet(
-        _batch_path(target, _INITIAL)
-    )
+BATCH_ID = "batch_id"
+FOLD_EVERY = 64
+_ALL = "all"
+
+
+@dataclass(frozen=True)
+class BatchStore:
+    """A table of added rows: ``value`` is summed per key, or keys are kept once without it."""
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keys: Sequence[str] = ()
+    value: str | None = None
+    date: str | None = None
+
+    # ---- numbers of batches ----
+
+    def _manifest(self, back: int = 0) -> dict:
+        known = [n for n in files.names(self.spark, f"{self.path}/manifests") if n[0] != "."]
+        if len(known) <= back:
+            return {"through": -1, "folds": {}}
+        return json.loads(files.read_text(self.spark, f"{self.path}/manifests/{known[-1 - back]}"))
+
+    def batches(self) -> list[int]:
+        """Numbers of the batches that lie there, folded or not."""
+        found = files.names(self.spark, f"{self.path}/batches")
+        return sorted(int(n.partition("=")[2]) for n in found if n.startswith(BATCH_ID))
+
+    def last(self) -> int:
+        """The highest number of a stored batch, -1 in an empty table."""
+        return max([self._manifest()["through"], *self.batches()])
+
+    def first_of_query(self, query_id: str, *others: BatchStore) -> int:
+        """What to add to the batch numbers of a query, the same at each of its starts.
+
+        ``others`` are further tables the query writes; the number is after theirs too.
+        """
+        place = f"{self.path}/queries/{query_id}"
+        if not files.exists(self.spark, place):
+            first = 1 + max(store.last() for store in (self, *others))
+            draft = f"{self.path}/drafts/{uuid.uuid4().hex}"
+            files.write_text(self.spark, draft, str(first))
+            files.move(self.spark, draft, place)
+        return int(files.read_text(self.spark, place))
+
+    # ---- writing ----
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """Add the rows of a batch, once; files get the size adaptive execution aims at."""
+        target = f"{self.path}/batches/{BATCH_ID}={batch_id}"
+        if not files.exists(self.spark, target):
+            self._put(rows, target)
+
+    def _put(self, rows: DataFrame, target: str) -> None:
+        by = [self.date] if self.date else []
+        draft = f"{self.path}/drafts/{uuid.uuid4().hex}"
+        rows = rows.select(*self.schema.names).hint("rebalance", *by)
+        rows.write.partitionBy(*by).parquet(draft)
+        files.move(self.spark, draft, target)
+
+    def fold(self, before: int) -> None:
+        """Fold the batches below ``before`` into the dates they touch."""
+        manifest, older = self._manifest(), self._manifest(1)
+        through = manifest["through"]
+        new = [n for n in self.batches() if through < n < before]
+        if not new:
+            return
+        fresh = self._added(new)
+        dates = [r[0] for r in fresh.select(self.date).distinct().collect()] if self.date else None
+        self._put(self._summed(self._all(manifest, new, dates)), f"{self.path}/folds/fold={new[-1]}")
+        folds = manifest["folds"] | {d: new[-1] for d in dates or [_ALL]}
+        draft = f"{self.path}/drafts/{uuid.uuid4().hex}"
+        files.write_text(
+            self.spark, draft, json.dumps({"through": new[-1], "folds": folds}, sort_keys=True)
+        )
+        files.move(self.spark, draft, f"{self.path}/manifests/{new[-1]:012d}.json")
+        # what only manifests before the last used to name
+        for n in self.batches():
+            if n <= through:
+                files.remove(self.spark, f"{self.path}/batches/{BATCH_ID}={n}")
+        for day, n in older["folds"].items():
+            if manifest["folds"].get(day) != n:
+                files.remove(self.spark, self._fold_path(day, n))
+        for name in files.names(self.spark, f"{self.path}/manifests")[:-2]:
+            files.remove(self.spark, f"{self.path}/manifests/{name}")
+
+    def fold_if_due(self, before: int, every: int = FOLD_EVERY) -> None:
+        """Fold once ``every`` batches have come since the last fold."""
+        through = self._manifest()["through"]
+        if sum(through < n < before for n in self.batches()) >= every:
+            self.fold(before)
+
+    # ---- reading ----
+
+    def _fold_path(self, day: str, fold: int) -> str:
+        folder = f"{self.path}/folds/fold={fold}"
+        return f"{folder}/{self.date}={day}" if self.date else folder
+
+    def _read(self, base: str, paths: list[str], column: str) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(column, T.LongType(), True)])
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def _added(self, numbers: Iterable[int]) -> DataFrame:
+        base = f"{self.path}/batches"
+        return self._read(base, [f"{base}/{BATCH_ID}={n}" for n in numbers], BATCH_ID)
+
+    def _all(self, manifest: dict, numbers: Iterable[int], dates: list[str] | None) -> DataFrame:
+        folds = {
+            day: n
+            for day, n in manifest["folds"].items()
+            if dates is None or day in dates or not self.date
+        }
+        base = f"{self.path}/folds"
+        folded = self._read(base, [self._fold_path(d, n) for d, n in folds.items()], "fold")
+        added = self._added(numbers)
+        if dates is not None and self.date:
+            added = added.where(F.col(self.date).isin(dates))
+        return folded.withColumnRenamed("fold", BATCH_ID).unionByName(added)
+
+    def read(self, before: int | None = None, dates: list[str] | None = None) -> DataFrame:
+        """Rows with ``batch_id``, of batches below ``before``; only ``dates`` are opened.
+
+        Rows of a key may be several; a folded row has the number of its fold.
+        """
+        manifest = self._manifest()
+        numbers = [
+            n for n in self.batches() if n > manifest["through"] and (before is None or n < before)
+        ]
+        return self._all(manifest, numbers, dates)
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows one batch added."""
+        return self._added([batch_id]).drop(BATCH_ID)
+
+    def _summed(self, rows: DataFrame) -> DataFrame:
+        if self.value is None:
+            return rows.select(*self.keys).distinct()
+        return rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
+
+    def table(self, before: int | None = None, dates: list[str] | None = None) -> DataFrame:
+        """One row per key."""
+        return self._summed(self.read(before, dates))

@@ -9,16 +9,36 @@ from pyspark.sql import functions as F
 
 _KEYS = ("ts", "user_id", "ad_id")
 
+# Years 1 to 9999.
+_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
 
-def parse_ad_log(lines: DataFrame, column: str = "value") -> DataFrame:
+# How far a click's time may lie after its arrival: clocks differ by less.
+AHEAD = "1 DAY"
+
+
+def parse_ad_log(
+    lines: DataFrame,
+    column: str = "value",
+    arrival: str | None = None,
+    ahead: str = AHEAD,
+) -> DataFrame:
     """Adds typed columns to the lines; a field that cannot be read is null.
 
-    Works on batch and streaming input. The line itself stays, for rejected rows.
+    A time that no calendar has, or that lies more than ``ahead`` after the line's arrival,
+    cannot be read either. ``arrival`` names the column with the time a line arrived;
+    without it that is the time of the query or micro-batch. Works on batch and streaming
+    input. The line itself stays, for rejected rows.
     """
     fields = F.split(F.col(column).cast("string"), " ")
+    millis = F.get(fields, F.lit(0)).try_cast("bigint")
+    arrived = F.current_timestamp() if arrival is None else F.col(arrival)
+    readable = millis.between(*_MILLIS) & (
+        F.timestamp_millis(F.when(millis.between(*_MILLIS), millis))
+        <= arrived + F.expr(f"INTERVAL {ahead}")
+    )
     return lines.select(
         F.col(column).cast("string").alias("line"),
-        F.timestamp_millis(F.get(fields, F.lit(0)).try_cast("bigint")).alias("ts"),
+        F.timestamp_millis(F.when(readable, millis)).alias("ts"),
         F.get(fields, F.lit(1)).alias("province"),
         F.get(fields, F.lit(2)).alias("city"),
         F.get(fields, F.lit(3)).try_cast("bigint").alias("user_id"),
@@ -67,9 +87,14 @@ def kafka_options(servers: str, topics: Iterable[str] | str, **extra: str) -> di
 def read_kafka_lines(
     spark: SparkSession, servers: str, topics: Iterable[str] | str, **extra: str
 ) -> DataFrame:
-    """Streaming log lines of the topics. Needs the Kafka connector on the class path."""
+    """Streaming log lines of the topics, with the time Kafka took each in ``timestamp``.
+
+    Needs the Kafka connector on the class path.
+    """
     reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics, **extra))
-    return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"))
+    return reader.load().select(
+        F.col("key").cast("string"), F.col("value").cast("string"), "timestamp"
+    )
 
 
 def read_file_lines(

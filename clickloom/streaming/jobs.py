@@ -1,39 +1,34 @@
 """The streaming jobs: clicks in, tables written per micro-batch out.
 
-Counts live in the state store: each micro-batch costs what its own clicks cost, however
-large the tables have become. Clicks are partially counted before they are shuffled to
-the state, so a hot user or ad is one row per task. The number of state partitions is
-``spark.sql.shuffle.partitions`` at the first start of a checkpoint.
+Each micro-batch counts its own clicks and adds them to its tables, whatever their time, so
+no click is too late. The totals of the keys a batch touched are read from the tables, from
+the dates of the batch only. Clicks are partially counted before they are shuffled, so a hot
+user or ad is one row per task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import Event
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from clickloom.functions import format_date
 from clickloom.operators.adclicks import (
+    accumulated_counts,
+    ad_minute_clicks,
     blacklist_users,
-    over_threshold,
-    trend_columns,
+    daily_user_ad_clicks,
     without_blacklisted,
 )
-from clickloom.schemas import (
-    AD_BLACKLIST,
-    AD_CLICK_TREND,
-    AD_USER_CLICK_COUNT,
-    BATCH_SECONDS,
-    BLACKLIST_THRESHOLD,
-)
-from clickloom.sinks import create_store, read_batch, read_store, write_batch
+from clickloom.schemas import BATCH_SECONDS, BLACKLIST_THRESHOLD
+from clickloom.sinks import FOLD_EVERY, BatchStore
 
 EVERY_BATCH = {"processingTime": f"{BATCH_SECONDS} seconds"}
 AVAILABLE_NOW = {"availableNow": True}
 
-LATENESS = "60 minutes"
-
 
 def _writer(rows: DataFrame, checkpoint: str, trigger: dict | None) -> DataStreamWriter:
     return rows.writeStream.option("checkpointLocation", checkpoint).trigger(
@@ -41,6 +36,25 @@ def _writer(rows: DataFrame, checkpoint: str, trigger: dict | None) -> DataStrea
     )
 
 
+def _start(
+    rows: DataFrame,
+    checkpoint: str,
+    trigger: dict | None,
+    apply: Callable[[DataFrame, int], None],
+    *stores: BatchStore,
+) -> StreamingQuery:
+    """Start ``apply`` per micro-batch, with batch numbers that go on after what is stored."""
+    started, query = Event(), []
+
+    def numbered(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        apply(batch, stores[0].first_of_query(query[0].id, *stores[1:]) + batch_id)
+
+    query.append(_writer(rows, checkpoint, trigger).foreachBatch(numbered).start())
+    started.set()
+    return query[0]
+
+
 def start_click_copy(
     clicks: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -57,115 +71,83 @@ def start_rejected_copy(
 
 def start_filtered_clicks(
     clicks: DataFrame,
-    blacklist_path: str,
-    path: str,
+    blacklist: BatchStore,
+    target: BatchStore,
     checkpoint: str,
     trigger: dict | None = None,
-    files: int | None = None,
 ) -> StreamingQuery:
-    """Write the clicks of users who are not listed, against the list as it is at each batch."""
-    spark = clicks.sparkSession
-    create_store(spark, blacklist_path, AD_BLACKLIST)
-    create_store(spark, path, clicks.schema)
+    """Write the clicks of users who are not listed, against the list as it is at each batch.
+
+    A batch that runs again after it was written keeps what its first attempt wrote.
+    """
 
     def keep_unlisted(batch: DataFrame, batch_id: int) -> None:
-        listed = read_store(batch.sparkSession, blacklist_path, AD_BLACKLIST)
-        write_batch(without_blacklisted(batch, listed), path, batch_id, files)
+        target.write(without_blacklisted(batch, blacklist.table()), batch_id)
 
-    return _writer(clicks, checkpoint, trigger).foreachBatch(keep_unlisted).start()
+    return _start(clicks, checkpoint, trigger, keep_unlisted, target)
 
 
 def start_daily_counts(
     clicks: DataFrame,
-    counts_path: str,
-    blacklist_path: str,
+    counts: BatchStore,
+    blacklist: BatchStore,
     checkpoint: str,
     threshold: int = BLACKLIST_THRESHOLD,
-    lateness: str | None = LATENESS,
     trigger: dict | None = None,
-    files: int | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Keep clicks per day, user and ad, and the blacklist fed by them.
 
-    Each micro-batch, in this order: takes the running day counts of the keys it
-    touched; drops those of users listed by earlier batches; writes the rest as the new
-    values of the count table; lists users whose count reached the threshold. A listed
-    user's clicks stop counting from the next batch on.
-
-    The running counts come from the state and include clicks of listed users, but
-    those rows are dropped here; a user who is not listed never had a click dropped, so
-    what is written equals counting the filtered clicks. Batch ``n`` reads only the list
-    of batches before ``n`` and overwrites what an earlier attempt of ``n`` wrote, so it
-    can run again.
+    Each micro-batch, in this order: drops the clicks of users listed by earlier batches;
+    adds its counts to the count table; lists users one of whose totals reached the
+    threshold. A listed user's clicks stop counting from the next batch on.
 
-    A day's state is removed once the newest click is ``lateness`` past the end of the
-    day; clicks older than that are dropped and reported in the query progress. ``None``
-    keeps all days.
+    Batch ``n`` reads only what batches before ``n`` wrote, and leaves what an earlier
+    attempt of ``n`` wrote, so it can run again. Every click counts for its own day,
+    however late it comes.
     """
-    spark = clicks.sparkSession
-    _require_utc(clicks)
-    create_store(spark, counts_path, AD_USER_CLICK_COUNT)
-    create_store(spark, blacklist_path, AD_BLACKLIST)
-
-    timed = clicks if lateness is None else clicks.withWatermark("ts", lateness)
-    running = (
-        timed.groupBy(F.window("ts", "1 day").alias("day"), "user_id", "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(format_date(F.col("day.start")).alias("date"), "user_id", "ad_id", "click_count")
-    )
 
-    def apply_batch(updates: DataFrame, batch_id: int) -> None:
-        session = updates.sparkSession
-        listed = read_store(session, blacklist_path, AD_BLACKLIST, before=batch_id)
+    def apply_batch(batch: DataFrame, batch_id: int) -> None:
+        for store in (counts, blacklist):
+            store.fold_if_due(batch_id, fold_every)
+        listed = blacklist.table(before=batch_id)
         # counts, not clicks: a user has one row per day and ad here
-        write_batch(without_blacklisted(updates, listed), counts_path, batch_id, files)
-        written = read_batch(session, counts_path, AD_USER_CLICK_COUNT, batch_id)
+        counts.write(without_blacklisted(daily_user_ad_clicks(batch), listed), batch_id)
+        own = counts.batch(batch_id)
+        dates = [r.date for r in own.select("date").distinct().collect()]
+        if not dates:
+            return
+        keys = own.select("date", "user_id", "ad_id")
+        stored = counts.read(batch_id, dates).join(keys, keys.columns, "left_semi")
+        totals = stored.groupBy(*keys.columns).agg(F.sum("click_count").alias("click_count"))
+        found = blacklist_users(accumulated_counts(own, totals), threshold)
         # most batches list nobody; they leave no folder to be read by every later batch
-        if not over_threshold(written, threshold).isEmpty():
-            write_batch(blacklist_users(written, threshold), blacklist_path, batch_id, files)
-
-    return (
-        _writer(running, checkpoint, trigger)
-        .outputMode("update")
-        .foreachBatch(apply_batch)
-        .start()
-    )
+        if not found.isEmpty():
+            blacklist.write(found, batch_id)
+
+    _require_utc(clicks)
+    return _start(clicks, checkpoint, trigger, apply_batch, counts, blacklist)
 
 
 def start_ad_trend(
     clicks: DataFrame,
-    trend_path: str,
+    trend: BatchStore,
     checkpoint: str,
-    lateness: str | None = LATENESS,
     trigger: dict | None = None,
-    files: int | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    """Keep clicks per minute and ad; each micro-batch writes the minutes it changed.
+    """Keep clicks per minute and ad; each micro-batch adds what it has for its minutes."""
 
-    ``lateness`` is how long a minute stays open for late clicks.
-    """
-    _require_utc(clicks)
-    create_store(clicks.sparkSession, trend_path, AD_CLICK_TREND)
-    timed = clicks if lateness is None else clicks.withWatermark("ts", lateness)
-    counts = (
-        timed.groupBy(F.window("ts", "1 minute").alias("at"), "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(F.col("at.start").alias("minute_ts"), "ad_id", "click_count")
-    )
-
-    def write_minutes(updates: DataFrame, batch_id: int) -> None:
-        write_batch(updates, trend_path, batch_id, files)
+    def add_minutes(batch: DataFrame, batch_id: int) -> None:
+        trend.fold_if_due(batch_id, fold_every)
+        trend.write(ad_minute_clicks(batch), batch_id)
 
-    return (
-        _writer(trend_columns(counts), checkpoint, trigger)
-        .outputMode("update")
-        .foreachBatch(write_minutes)
-        .start()
-    )
+    _require_utc(clicks)
+    return _start(clicks, checkpoint, trigger, add_minutes, trend)
 
 
 def _require_utc(clicks: DataFrame) -> None:
-    """Day windows start at midnight UTC, so days have to be UTC days."""
+    """Days are UTC days; another time zone would file clicks under other dates."""
     zone = clicks.sparkSession.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
         raise ValueError(f"set spark.sql.session.timeZone to UTC, it is {zone}")

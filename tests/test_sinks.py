@@ -1,20 +1,13 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
+from clickloom.plans.ad_monitoring import blacklist_store, click_count_store
 from clickloom.schemas import AD_BLACKLIST, AD_USER_CLICK_COUNT
 from clickloom.session import new_work_dir
-from clickloom.sinks import (
-    append_table,
-    compact_store,
-    create_store,
-    latest_by_key,
-    read_batch,
-    read_store,
-    write_batch,
-)
-
-KEY = ["date", "user_id", "ad_id"]
+from clickloom.sinks import append_table
 
 
 @pytest.fixture
@@ -22,9 +15,13 @@ def counts(spark):
     return lambda *rows: spark.createDataFrame(list(rows), AD_USER_CLICK_COUNT)
 
 
-def _latest(spark, path):
-    rows = latest_by_key(read_store(spark, path, AD_USER_CLICK_COUNT), KEY, "click_count")
-    return sorted(tuple(r) for r in rows.collect())
+@pytest.fixture
+def store(spark, tmp_path):
+    return click_count_store(spark, str(tmp_path / "t"))
+
+
+def _table(store, **bounds):
+    return sorted(tuple(r) for r in store.table(**bounds).collect())
 
 
 def test_append(spark, tmp_path, counts):
@@ -34,45 +31,95 @@ def test_append(spark, tmp_path, counts):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_newest_batch_wins_and_repeats_count_once(spark, tmp_path, counts):
-    path = str(tmp_path / "t")
-    create_store(spark, path, AD_USER_CLICK_COUNT)
-    assert _latest(spark, path) == []
-    write_batch(counts(("d", 1, 1, 60), ("d", 2, 1, 1)), path, 9)
-    write_batch(counts(("d", 1, 1, 100)), path, 10, files=2)
-    write_batch(counts(("d", 1, 1, 100)), path, 10, files=2)
-    create_store(spark, path, AD_USER_CLICK_COUNT)
-    assert _latest(spark, path) == [("d", 1, 1, 100), ("d", 2, 1, 1)]
-    assert read_store(spark, path, AD_USER_CLICK_COUNT, before=10).count() == 2
-    assert read_batch(spark, path, AD_USER_CLICK_COUNT, 10).count() == 1
-
-
-def test_values_may_fall(spark, tmp_path, counts):
-    path = str(tmp_path / "t")
-    write_batch(counts(("d", 1, 1, 60)), path, 0)
-    write_batch(counts(("d", 1, 1, 7)), path, 1)
-    assert _latest(spark, path) == [("d", 1, 1, 7)]
-
-
-def test_compaction(spark, tmp_path, counts):
-    path, target = str(tmp_path / "t"), str(tmp_path / "u")
-    create_store(spark, path, AD_USER_CLICK_COUNT)
-    write_batch(counts(("d", 1, 1, 60), ("d", 2, 1, 1)), path, 0)
-    write_batch(counts(("d", 1, 1, 61)), path, 1)
-    compact_store(spark, path, target, AD_USER_CLICK_COUNT, KEY, "click_count")
-    assert _latest(spark, target) == _latest(spark, path)
-    assert read_store(spark, target, AD_USER_CLICK_COUNT).count() == 2
-    write_batch(counts(("d", 1, 1, 62)), target, 1)
-    assert _latest(spark, target) == [("d", 1, 1, 62), ("d", 2, 1, 1)]
-
-
-def test_blacklist_compaction(spark, tmp_path):
-    path, target = str(tmp_path / "t"), str(tmp_path / "u")
+def test_batches_add_up_and_repeats_count_once(store, counts):
+    assert _table(store) == [] and store.last() == -1
+    store.write(counts(("d", 1, 1, 60), ("d", 2, 1, 1)), 9)
+    store.write(counts(("d", 1, 1, 40)), 10)
+    store.write(counts(("d", 1, 1, 40)), 10)
+    assert _table(store) == [("d", 1, 1, 100), ("d", 2, 1, 1)]
+    assert _table(store, before=10) == [("d", 1, 1, 60), ("d", 2, 1, 1)]
+    assert store.batch(10).count() == 1 and store.batches() == [9, 10]
+
+
+def test_folding_changes_no_total(store, counts):
+    everything = {}
+    for n in range(12):
+        day = f"2024-01-0{1 + n // 4}"
+        store.write(counts((day, n % 2, 1, 1), (day, 7, 1, 2)), n)
+        for user, more in ((n % 2, 1), (7, 2)):
+            everything[day, user, 1] = everything.get((day, user, 1), 0) + more
+        store.fold_if_due(n, every=3)
+        assert _table(store) == sorted((*k, v) for k, v in everything.items())
+    store.fold(before=12)
+    assert store.read().count() == len(everything)
+    assert _table(store, dates=["2024-01-02"]) == [
+        (*k, v) for k, v in sorted(everything.items()) if k[0] == "2024-01-02"
+    ]
+
+
+def test_folds_leave_other_dates_and_old_readers_alone(store, counts):
+    store.write(counts(("a", 1, 1, 1)), 0)
+    store.fold(before=1)
+    before = store.read()
+    store.write(counts(("b", 1, 1, 1)), 1)
+    store.fold(before=2)
+    assert store._manifest()["folds"] == {"a": 0, "b": 1}
+    # a reader that planned before the fold still finds its files
+    assert before.count() == 1
+
+
+def test_interrupted_writes_leave_no_trace(store, counts):
+    store.write(counts(("a", 1, 1, 1)), 0)
+    # a draft that was never renamed, a fold without its manifest
+    counts(("a", 1, 1, 5)).write.parquet(f"{store.path}/drafts/x")
+    counts(("a", 1, 1, 5)).write.partitionBy("date").parquet(f"{store.path}/folds/fold=7")
+    assert _table(store) == [("a", 1, 1, 1)]
+
+
+def test_folders_do_not_pile_up(store, counts):
+    rows = counts(("a", 1, 1, 1))
+    for n in range(200):
+        folder = Path(store.path) / f"batches/batch_id={n}/date=a"
+        if n == 0:
+            store.write(rows, 0)
+            model = next((Path(store.path) / "batches/batch_id=0/date=a").glob("*.parquet"))
+            kept = model.read_bytes()
+        else:
+            folder.mkdir(parents=True)
+            (folder / "part-0.parquet").write_bytes(kept)
+        store.fold_if_due(n + 1, every=20)
+        assert len(store.batches()) <= 41
+        assert len(list(Path(store.path).glob("folds/*/date=*"))) <= 3
+        assert len(list(Path(store.path).glob("manifests/*.json"))) <= 2
+    assert _table(store) == [("a", 1, 1, 200)]
+
+
+def test_dates_are_pruned(store, counts):
+    store.write(counts(("a", 1, 1, 1), ("b", 1, 1, 1)), 0)
+    store.fold(before=1)
+    store.write(counts(("a", 1, 1, 1), ("b", 1, 1, 1)), 1)
+    frame = store.table(dates=["b"])
+    assert frame.collect()[0].click_count == 2
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters", 1)[1]
+    assert not any("/folds/" in f and "date=a" in f for f in frame.inputFiles())
+
+
+def test_users_are_kept_once(spark, tmp_path):
+    store = blacklist_store(spark, str(tmp_path / "t"))
     for batch, users in enumerate(([1, 2], [2], [])):
-        write_batch(spark.createDataFrame([(u,) for u in users], AD_BLACKLIST), path, batch)
-    compact_store(spark, path, target, AD_BLACKLIST, ["user_id"])
-    rows = read_store(spark, target, AD_BLACKLIST, before=0)
-    assert sorted(r.user_id for r in rows.collect()) == [1, 2]
+        store.write(spark.createDataFrame([(u,) for u in users], AD_BLACKLIST), batch)
+    store.fold(before=2)
+    assert sorted(r.user_id for r in store.table().collect()) == [1, 2]
+    assert sorted(r.user_id for r in store.read().collect()) == [1, 2]
+
+
+def test_a_new_query_goes_on_after_what_is_stored(store, counts):
+    assert store.first_of_query("one") == 0
+    store.write(counts(("a", 1, 1, 1)), 0)
+    store.write(counts(("a", 1, 1, 1)), 1)
+    assert store.first_of_query("two") == 2
+    assert store.first_of_query("one") == 0 and store.first_of_query("two") == 2
 
 
 def test_work_dir(spark):

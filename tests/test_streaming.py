@@ -13,8 +13,9 @@ from clickloom.operators.adclicks import (
     replayed_daily_clicks,
 )
 from clickloom.plans import AdMonitor, start_ad_monitor
+from clickloom.plans.ad_monitoring import blacklist_store
 from clickloom.schemas import AD_BLACKLIST
-from clickloom.sinks import create_store, read_store, write_batch
+from clickloom.sinks import BatchStore
 from clickloom.sources import parse_ad_log, read_file_lines, valid_clicks
 from clickloom.streaming import (
     AVAILABLE_NOW,
@@ -34,24 +35,23 @@ class Feed:
         self.spark, self.root, self.parts = spark, str(root), 0
         self.monitor = AdMonitor(spark, f"{self.root}/monitor")
 
-    def add(self, *lines: str) -> None:
-        folder = f"{self.root}/lines"
+    def add(self, *lines: str, folder: str = "lines") -> None:
+        folder = f"{self.root}/{folder}"
         rows = self.spark.createDataFrame([(v,) for v in lines], "value string")
         rows.coalesce(1).write.mode("append").text(folder)
 
-    def clicks(self):
-        return valid_clicks(parse_ad_log(read_file_lines(self.spark, f"{self.root}/lines")))
+    def clicks(self, folder: str = "lines"):
+        return valid_clicks(parse_ad_log(read_file_lines(self.spark, f"{self.root}/{folder}")))
 
-    def count(self, threshold=100, lateness=None) -> None:
+    def count(self, threshold=100, checkpoint="daily_counts", folder="lines", fold=2) -> None:
         start_daily_counts(
-            self.clicks(),
-            self.monitor.counts_path,
-            self.monitor.blacklist_path,
-            self.monitor.checkpoint("daily_counts"),
+            self.clicks(folder),
+            self.monitor.counts,
+            self.monitor.listed,
+            self.monitor.checkpoint(checkpoint),
             threshold,
-            lateness,
             AVAILABLE_NOW,
-            2,
+            fold,
         ).awaitTermination()
 
     def counts(self) -> dict:
@@ -104,7 +104,7 @@ def test_user_is_listed_once(spark, feed):
     feed.count(threshold=3)
     feed.add(*_lines(3, ad=3))
     feed.count(threshold=3)
-    rows = read_store(spark, feed.monitor.blacklist_path, AD_BLACKLIST).collect()
+    rows = feed.monitor.listed.read().collect()
     assert [r.user_id for r in rows] == [1]
 
 
@@ -168,35 +168,73 @@ def test_batch_that_runs_again_gives_the_same(spark, feed):
     assert feed.counts() == {("2024-01-01", 1, 1): 100, ("2024-01-01", 2, 1): 3}
 
 
-def test_late_clicks(feed):
+def test_late_clicks_count_for_their_day(feed):
     feed.add(*_lines(2))
-    feed.count(lateness="60 minutes")
-    # still within the lateness of the first day
-    feed.add(*_lines(1, at=START + timedelta(days=1, minutes=59)), *_lines(1))
-    feed.count(lateness="60 minutes")
-    assert feed.counts()["2024-01-01", 1, 1] == 3
-    feed.add(*_lines(1, at=START + timedelta(days=3)))
-    feed.count(lateness="60 minutes")
-    feed.add(*_lines(1))
-    feed.count(lateness="60 minutes")
-    assert feed.counts()["2024-01-01", 1, 1] == 3
+    feed.count()
+    feed.add(*_lines(1, at=START + timedelta(days=300)))
+    feed.count()
+    feed.add(*_lines(1), *_lines(1, at=START - timedelta(days=300)))
+    feed.count()
+    assert feed.counts() == {
+        ("2024-01-01", 1, 1): 3,
+        ("2024-10-27", 1, 1): 1,
+        ("2023-03-07", 1, 1): 1,
+    }
+
+
+@pytest.mark.parametrize("poison", ["7258118400000", "9223372036854775807", "-99999999999999999"])
+def test_impossible_times_are_rejected_and_change_nothing(spark, feed, poison):
+    for part in (_lines(5, user=7), [f"{poison} 1 1 7 1"], _lines(5, user=7)):
+        feed.add(*part)
+        for job in start_ad_monitor(
+            read_file_lines(spark, f"{feed.root}/lines"), feed.monitor.root, trigger=AVAILABLE_NOW
+        ):
+            job.awaitTermination()
+    assert feed.counts() == {("2024-01-01", 7, 1): 10}
+    assert [r.click_count for r in feed.monitor.click_trend().collect()] == [10]
+    rejected = spark.read.text(feed.monitor.rejected_path).collect()
+    assert [r.value for r in rejected] == [f"{poison} 1 1 7 1"]
+
+
+def test_bound_of_the_future_is_taken_from_the_arrival(spark):
+    lines = spark.createDataFrame(
+        [(_line(START, 1, 1), START - timedelta(hours=23)),
+         (_line(START, 2, 1), START - timedelta(hours=25))],
+        "value string, arrived timestamp",
+    )
+    users = lambda **more: [
+        r.user_id for r in valid_clicks(parse_ad_log(lines, arrival="arrived", **more)).collect()
+    ]
+    assert users() == [1]
+    assert users(ahead="2 DAYS") == [1, 2]
+
+
+def test_a_new_checkpoint_goes_on(feed):
+    feed.add(*_lines(5, user=7), *_lines(3, user=8))
+    feed.count(threshold=5)
+    assert feed.listed() == [7]
+    feed.add(*_lines(1, user=7), *_lines(1, user=8), folder="more")
+    feed.count(threshold=5, checkpoint="new", folder="more")
+    assert feed.counts() == {("2024-01-01", 7, 1): 5, ("2024-01-01", 8, 1): 4}
+    feed.add(*_lines(1, user=8), folder="more")
+    feed.count(threshold=5, checkpoint="new", folder="more")
+    assert feed.counts()["2024-01-01", 8, 1] == 5 and feed.listed() == [7, 8]
 
 
 def test_filtered_clicks_see_the_list_of_each_batch(spark, feed):
-    path, list_path = f"{feed.root}/clicks", f"{feed.root}/list"
-    create_store(spark, list_path, AD_BLACKLIST)
+    listed = blacklist_store(spark, f"{feed.root}/list")
 
     def run():
         clicks = feed.clicks()
+        target = BatchStore(spark, f"{feed.root}/clicks", clicks.schema)
         start_filtered_clicks(
-            clicks, list_path, path, f"{feed.root}/checkpoint", AVAILABLE_NOW
+            clicks, listed, target, f"{feed.root}/checkpoint", AVAILABLE_NOW
         ).awaitTermination()
-        rows = read_store(spark, path, clicks.schema).collect()
-        return sorted((r.batch_id, r.user_id) for r in rows)
+        return sorted((r.batch_id, r.user_id) for r in target.read().collect())
 
     feed.add(*_lines(1, user=1), *_lines(1, user=2))
     assert run() == [(0, 1), (0, 2)]
-    write_batch(spark.createDataFrame([(2,)], AD_BLACKLIST), list_path, 5)
+    listed.write(spark.createDataFrame([(2,)], AD_BLACKLIST), 5)
     feed.add(*_lines(1, user=1), *_lines(1, user=2))
     assert run() == [(0, 1), (0, 2), (1, 1)]
 
@@ -217,10 +255,10 @@ def test_trend_equals_batch(spark, feed):
         feed.add(*[_line(*c) for c in clicks])
         start_ad_trend(
             feed.clicks(),
-            feed.monitor.trend_path,
+            feed.monitor.trend,
             feed.monitor.checkpoint("ad_trend"),
-            trigger=AVAILABLE_NOW,
-            files=2,
+            AVAILABLE_NOW,
+            fold_every=1,
         ).awaitTermination()
     batch = spark.createDataFrame(
         [(at.timestamp(), u, a) for at, u, a in everything], "at double, user_id long, ad_id long"
@@ -236,7 +274,6 @@ def test_monitor_runs_all_jobs(spark, feed):
         feed.monitor.root,
         threshold=3,
         trigger=AVAILABLE_NOW,
-        files=2,
     )
     for job in jobs:
         job.awaitTermination()
