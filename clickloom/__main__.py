@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     session.add_argument("--seed", type=int, default=0)
     session.add_argument("--connections", type=int, help="database connections at a time")
     session.add_argument("--count-scope", choices=("all", "filtered"), default="all")
+    session.add_argument("--input-gb", type=float, help="size of the actions, for the shuffles")
     session.add_argument("--hive", action="store_true", help="tables are in a Hive metastore")
 
     monitor = jobs.add_parser("monitor", help="run the ad click streams")
@@ -67,7 +68,8 @@ def _table(spark: SparkSession, name: str) -> DataFrame:
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(arguments)
     if args.job == "session":
-        spark = spark or build_session("clickloom session", hive=args.hive)
+        size = None if args.input_gb is None else int(args.input_gb * 2**30)
+        spark = spark or build_session("clickloom session", hive=args.hive, input_bytes=size)
         to_database = args.output.startswith("jdbc:")
         run_session_analysis(
             _table(spark, args.actions),

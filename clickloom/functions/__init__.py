@@ -39,7 +39,6 @@ __all__ = [
     "is_empty",
     "is_not_empty",
     "lists_overlap",
-    "is_not_empty",
     "minute_key",
     "packed_get",
     "packed_set",

@@ -21,7 +21,8 @@ def round_half_up(c: Column, scale: int) -> Column:
     """A double rounded half up (away from zero) at ``scale`` decimals by its exact value.
 
     0.285 is stored a little below 0.285, so it gives 0.28. ``F.round`` decides on the
-    shortest decimal notation instead and gives 0.29.
+    shortest decimal notation instead and gives 0.29. A value that has no digit beyond
+    ``scale`` decimals, an infinity and NaN stay as they are.
     """
     unit = float(10**scale)
     size = F.abs(c.cast("double"))
@@ -34,9 +35,15 @@ def round_half_up(c: Column, scale: int) -> Column:
     ) + low * unit_low
     whole = F.floor(scaled).cast("double")
     fraction = scaled - whole
-    up = (fraction > 0.5) | ((fraction == 0.5) & (missed >= 0.0))
+    # from 2^52 on the product is stored as a whole number and only the miss has a half
+    up = (fraction > 0.5) | ((fraction == 0.5) & (missed >= 0.0)) | (missed >= 0.5)
     rounded = (whole + up.cast("int")) / unit
-    return F.when(c < 0, -rounded).otherwise(rounded)
+    # from 2^53 on the nearest double to the result is the value; NaN is above every number
+    return (
+        F.when(scaled >= 2.0**53, c.cast("double"))
+        .when(c < 0, -rounded)
+        .otherwise(rounded)
+    )
 
 
 def _halves(c: Column) -> tuple[Column, Column]:

@@ -102,10 +102,12 @@ def ad_trend_last_hour(clicks: DataFrame, minutes: int = TREND_WINDOW_MINUTES) -
     """Clicks per ad and minute over the last ``minutes`` minutes up to the newest click.
 
     The newest time comes from a one-column scan; the second scan reads only row groups
-    at or after the first minute.
+    at or after the first minute. For that ``ts`` has to be a stored column, with or
+    without a time zone, and no expression.
     """
     reach = F.make_dt_interval(mins=F.lit(minutes - 1))
-    first = clicks.agg(F.date_trunc("minute", F.max("ts")) - reach).scalar()
+    kind = clicks.schema["ts"].dataType
+    first = clicks.agg((F.date_trunc("minute", F.max("ts")) - reach).cast(kind)).scalar()
     return ad_minute_clicks(clicks.where(F.col("ts") >= first))
 
 

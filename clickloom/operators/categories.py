@@ -26,7 +26,8 @@ def category_touches(actions: DataFrame, *keep: str) -> DataFrame:
     """One row per category an action touches: ``kind`` is click, order or pay.
 
     The click is a single value, order and pay are comma lists; empty elements are
-    dropped and repeats stay. ``keep`` names action columns to carry along.
+    dropped and repeats stay. Ids of the same number are one category: ``007`` is ``7``.
+    ``keep`` names action columns to carry along.
     """
     click, order, pay = (F.col(name) for name in _FIELDS)
     by_kind = actions_with_category(actions).select(
@@ -39,9 +40,15 @@ def category_touches(actions: DataFrame, *keep: str) -> DataFrame:
     return (
         by_kind.where(is_not_empty(F.col("_ids")))
         .select(*keep, "kind", F.explode(ids).alias("category_id"))
+        .withColumn("category_id", _same_number("category_id"))
     )
 
 
+def _same_number(category: str) -> Column:
+    """The id as its number is written; an id that is no number stays as it is."""
+    return F.coalesce(F.col(category).try_cast("bigint").cast("string"), F.col(category))
+
+
 def click_count_by_category(actions: DataFrame) -> DataFrame:
     """Actions per clicked category."""
     return _counted(actions.where(is_not_empty(F.col("click_category_id"))).select(
@@ -66,7 +73,8 @@ def _elements(actions: DataFrame, name: str) -> DataFrame:
 
 
 def _counted(ids: DataFrame, name: str) -> DataFrame:
-    return ids.groupBy("category_id").agg(F.count(F.lit(1)).alias(name))
+    same = _same_number("category_id").alias("category_id")
+    return ids.groupBy(same).agg(F.count(F.lit(1)).alias(name))
 
 
 def filtered_session_actions(
@@ -140,11 +148,19 @@ def _order() -> list[Column]:
 
 
 def _numbered(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("category_id", F.col("category_id").try_cast("bigint"))
+    number = F.col("category_id").try_cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit("category id is no number: "), F.col("category_id")))
+    return counts.withColumn(
+        "category_id",
+        F.when(number.isNull() & F.col("category_id").isNotNull(), wrong).otherwise(number),
+    )
 
 
 def category_sort(counts: DataFrame) -> DataFrame:
-    """By click, order and pay count, all descending; ties by category id."""
+    """By click, order and pay count, all descending; ties by category id, a number.
+
+    An id that is no number is an error that names it, not a row without a category.
+    """
     return _numbered(counts).orderBy(*_order())
 
 

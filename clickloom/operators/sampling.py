@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import format_date, format_time
+from clickloom.operators.joins import keep_or_drop
 from clickloom.operators.sessions import session_texts
 from clickloom.schemas import SAMPLE_TOTAL, SESSION_DETAIL_COLUMNS
 
-# A sample never has more rows than its total, so up to this total its ids are broadcast.
-BROADCAST_SAMPLE_ROWS = 100_000
-
 # Hash buckets an hour is split into for the first ranking.
 RANK_BUCKETS = 64
 
@@ -85,56 +83,58 @@ def sample_sessions(
 ) -> DataFrame:
     """Draws each hour's quota of sessions without replacement, reproducibly.
 
-    An hour's sessions are ranked by ``md5(seed, session id)``. The first ranking is
-    per (hour, hash bucket) and keeps ``total`` rows of each, which is more than any
-    quota; the second ranks what is left of an hour. So the result is exact and no task
-    ever sorts a whole hour.
+    An hour's sessions are ranked by ``md5(seed, session id)``. Each gets its hour's quota
+    first, a row per hour of the data; sessions of hours without one are not ranked. The
+    first ranking is per (hour, hash bucket) and keeps a quota of each, the second ranks
+    what is left of an hour. So the result is exact and no task ever sorts a whole hour.
     """
+    quotas = sample_quota(sessions_per_hour(sessions), total).where("quota > 0")
     order = [F.col("_key"), F.col("session_id")]
-    keyed = sessions.where(F.col("start_ts").isNotNull()).select(
-        "session_id",
-        "start_ts",
-        _start_hour().alias("_hour"),
-        F.md5(F.concat(F.lit(str(seed)), F.coalesce("session_id", F.lit("")))).alias("_key"),
-        # hour and bucket as one number: Spark sorts by the first column's value and looks
-        # at the texts only where it is equal
-        (
-            F.unix_seconds(F.date_trunc("hour", "start_ts")) * buckets
-            + F.pmod(F.xxhash64("session_id"), F.lit(buckets))
-        ).alias("_slot"),
-    )
-    first = W.partitionBy("_slot").orderBy(*order)
-    second = W.partitionBy("_hour").orderBy(*order)
-    ranked = (
-        keyed.withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= total)
-        .withColumn("_rank", F.row_number().over(second))
-        .where(F.col("_rank") <= total)
-        .select("session_id", "start_ts", *_date_and_hour("_hour"), "_rank")
+    keyed = (
+        sessions.where(F.col("start_ts").isNotNull())
+        .select(
+            "session_id",
+            "start_ts",
+            *_date_and_hour("start_ts"),
+            F.md5(F.concat(F.lit(str(seed)), F.coalesce("session_id", F.lit("")))).alias("_key"),
+            # hour and bucket as one number: Spark sorts by the first column's value and
+            # looks at the texts only where it is equal
+            (
+                F.unix_seconds(F.date_trunc("hour", "start_ts")) * buckets
+                + F.pmod(F.xxhash64("session_id"), F.lit(buckets))
+            ).alias("_slot"),
+        )
+        .join(quotas.select("date", "hour", "quota"), ["date", "hour"])
     )
-    quotas = sample_quota(sessions_per_hour(sessions), total).where("quota > 0")
+    rank = F.col("_rank")
     return (
-        ranked.join(quotas.select("date", "hour", "quota"), ["date", "hour"])
-        .where(F.col("_rank") <= F.col("quota"))
+        keyed.withColumn("_rank", F.row_number().over(W.partitionBy("_slot").orderBy(*order)))
+        .where((rank <= total) & (rank <= F.col("quota")))
+        .withColumn(
+            "_rank", F.row_number().over(W.partitionBy("date", "hour").orderBy(*order))
+        )
+        .where((rank <= total) & (rank <= F.col("quota")))
         .select("session_id", "start_ts", "date", "hour")
     )
 
 
-def _sampled_actions(actions: DataFrame, sample: DataFrame, total: int) -> DataFrame:
-    ids = sample.select("session_id")
-    if total <= BROADCAST_SAMPLE_ROWS:
-        ids = F.broadcast(ids)
-    return actions.join(ids, "session_id", "left_semi")
+def sampled_actions(actions: DataFrame, sample: DataFrame) -> DataFrame:
+    """The actions of the sampled sessions; a hot session is split.
+
+    The ids are broadcast when the optimizer knows them to be few, as it does for a sample
+    that was written and read back.
+    """
+    return keep_or_drop(actions, sample, "session_id", "left_semi")
 
 
 def random_extract_sessions(
-    actions: DataFrame, sample: DataFrame, task_id: int, total: int = SAMPLE_TOTAL
+    actions: DataFrame, sample: DataFrame, task_id: int
 ) -> DataFrame:
     """The sampled sessions with their keywords and clicked categories.
 
     The texts are built for sampled sessions only.
     """
-    texts = session_texts(_sampled_actions(actions, sample, total))
+    texts = session_texts(sampled_actions(actions, sample))
     return sample.join(texts, "session_id", "left").select(
         F.lit(task_id).cast("bigint").alias("task_id"),
         "session_id",
@@ -155,7 +155,7 @@ def session_detail(actions: DataFrame, task_id: int) -> DataFrame:
 
 
 def extracted_session_detail(
-    actions: DataFrame, sample: DataFrame, task_id: int, total: int = SAMPLE_TOTAL
+    actions: DataFrame, sample: DataFrame, task_id: int
 ) -> DataFrame:
     """All actions of the sampled sessions."""
-    return session_detail(_sampled_actions(actions, sample, total), task_id)
+    return session_detail(sampled_actions(actions, sample), task_id)

@@ -82,8 +82,12 @@ def session_click_categories(actions: DataFrame) -> DataFrame:
 
 
 def session_texts(actions: DataFrame) -> DataFrame:
-    """Keywords and clicked categories of each session."""
-    return actions.groupBy("session_id").agg(
+    """Keywords and clicked categories of each session.
+
+    Actions without a session are left out: their texts belong to no session, and would be
+    one group of any size.
+    """
+    return actions.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(
         _distinct_text("search_keyword").alias("search_keywords"),
         _distinct_text("click_category_id").alias("click_category_ids"),
     )

@@ -47,13 +47,18 @@ class TaskParams:
 
     @classmethod
     def from_json(cls, text: str, task_id: int | None = None) -> TaskParams:
-        """From a task's JSON object of arrays; the first element of each array counts."""
+        """From a task's JSON object of arrays; the first element of each array counts.
+
+        Raises ValueError for anything else.
+        """
         raw = json.loads(text)
-        first = {
-            field_of_key(key): value[0]
-            for key, value in raw.items()
-            if isinstance(value, list) and value and field_of_key(key) in _FIELDS
-        }
+        if not isinstance(raw, dict):
+            raise ValueError("task parameters are no JSON object")
+        known = {field_of_key(key): value for key, value in raw.items()}
+        known = {name: value for name, value in known.items() if name in _FIELDS}
+        if wrong := [n for n, v in known.items() if not (v is None or isinstance(v, list))]:
+            raise ValueError(f"task parameters that are no arrays: {wrong}")
+        first = {name: value[0] for name, value in known.items() if value}
         return cls.from_values(task_id, **first)
 
 

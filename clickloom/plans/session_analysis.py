@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from clickloom.operators.categories import category_counts, top_categories
 from clickloom.operators.filters import filter_sessions
 from clickloom.operators.sampling import (
-    extracted_session_detail,
     random_extract_sessions,
     sample_sessions,
+    sampled_actions,
+    session_detail,
 )
 from clickloom.operators.sessions import session_metrics, with_user
 from clickloom.operators.stats import session_stats_counts, session_stats_ratios
@@ -17,6 +18,7 @@ from clickloom.params import TaskParams
 from clickloom.schemas import SAMPLE_TOTAL, TOP_CATEGORIES
 from clickloom.session import new_work_dir
 from clickloom.sinks import ResultWriter
+from clickloom.sinks.files import remove
 from clickloom.sources.tables import scan_actions
 
 
@@ -54,30 +56,36 @@ def run_session_analysis(
     seed: int = 0,
     count_scope: str = "all",
 ) -> None:
-    """Run a task and append its four results.
+    """Run a task and write its four results.
 
     ``session_aggr_stat``, ``session_random_extract``, ``session_detail`` and
     ``top10_category``. The roll-up is by far the largest shuffle and feeds all four, so
     it is written once to the shared work folder and read from there: the later steps
     read only the columns they need and do not depend on the executors that wrote it.
-    The sample is written likewise because two results must agree on it.
+    The sample and its actions are written likewise because two results are made of
+    them. The work folder goes when the job ends, also with an error.
     """
     spark = actions.sparkSession
     work = new_work_dir(spark, "session-analysis")
     task_id = params.task_id
-    scanned = scan_actions(actions, params.start_date, params.end_date)
-
-    analysed_sessions(actions, users, params).write.parquet(f"{work}/sessions")
-    sessions = spark.read.parquet(f"{work}/sessions")
-    filtered = filter_sessions(sessions, params)
-
-    write(session_stats_ratios(session_stats_counts(filtered), task_id), "session_aggr_stat")
-
-    sample_sessions(sessions, sample_total, seed).write.parquet(f"{work}/sample")
-    sample = spark.read.parquet(f"{work}/sample")
-    extract = random_extract_sessions(scanned, sample, task_id, sample_total)
-    write(extract, "session_random_extract")
-    write(extracted_session_detail(scanned, sample, task_id, sample_total), "session_detail")
 
-    counts = category_counts(scanned, filtered, count_scope)
-    write(top_categories(counts, task_id), "top10_category")
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{work}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
+
+    try:
+        scanned = scan_actions(actions, params.start_date, params.end_date)
+        sessions = stored(analysed_sessions(actions, users, params), "sessions")
+        filtered = filter_sessions(sessions, params)
+        stats = session_stats_ratios(session_stats_counts(filtered), task_id)
+        write(stats, "session_aggr_stat", task_id)
+
+        sample = stored(sample_sessions(sessions, sample_total, seed), "sample")
+        drawn = stored(sampled_actions(scanned, sample), "actions")
+        write(random_extract_sessions(drawn, sample, task_id), "session_random_extract", task_id)
+        write(session_detail(drawn, task_id), "session_detail", task_id)
+
+        counts = category_counts(scanned, filtered, count_scope)
+        write(top_categories(counts, task_id), "top10_category", task_id)
+    finally:
+        remove(spark, work)

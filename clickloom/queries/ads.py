@@ -249,7 +249,7 @@ def upsert_ad_click_trend(spark: SparkSession, folder: str) -> DataFrame:
     " (SELECT max(ts) FROM ad_click) - INTERVAL 60 MINUTE",
 )
 def ad_trend_last_hour(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.ad_trend_last_hour(model.clicks(spark, folder))
+    return ops.ad_trend_last_hour(model.clicks(spark, folder, stored_time=True))
 
 
 @query(

@@ -20,9 +20,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def events(
-    spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
+    spark: SparkSession,
+    folder: str,
+    start: str | None = None,
+    end: str | None = None,
+    stored_time: bool = False,
 ) -> DataFrame:
-    """The events with ``k``, optionally of the days from ``start`` to ``end``."""
+    """The events with ``k``, optionally of the days from ``start`` to ``end``.
+
+    With ``stored_time`` the time stays the stored column, so conditions on it reach the scan.
+    """
     rows = table(spark, folder, "events")
     if start is not None:
         rows = rows.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
@@ -31,7 +38,7 @@ def events(
         rows = rows.where(F.col("ts") < day_after.cast("timestamp_ntz"))
     return rows.select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts" if stored_time else F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
         "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -141,11 +148,15 @@ def tasks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clicks(
-    spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
+    spark: SparkSession,
+    folder: str,
+    start: str | None = None,
+    end: str | None = None,
+    stored_time: bool = False,
 ) -> DataFrame:
-    """Ad clicks, optionally of the days from ``start`` to ``end``."""
+    """Ad clicks, optionally of the days from ``start`` to ``end``; see :func:`events`."""
     return (
-        events(spark, folder, start, end)
+        events(spark, folder, start, end, stored_time)
         .where(F.col("event_type") == "click")
         .select(
             "ts",

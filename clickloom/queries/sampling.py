@@ -77,7 +77,10 @@ def _sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.sample_sessions(_sessions(spark, folder), TOTAL, SEED)
+    """The sample, drawn once: written and read back."""
+    path = new_work_dir(spark, "sample")
+    ops.sample_sessions(_sessions(spark, folder), TOTAL, SEED).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("session_hour_key", _SAMPLE + "SELECT session_id, date, hour FROM keyed")
@@ -105,25 +108,22 @@ def sample_quota(spark: SparkSession, folder: str) -> DataFrame:
 @query("random_extract_sessions", _SAMPLE + _EXTRACT)
 def random_extract_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return ops.random_extract_sessions(
-        model.actions(spark, folder), _sample(spark, folder), TASK_ID, TOTAL
+        model.actions(spark, folder), _sample(spark, folder), TASK_ID
     )
 
 
 @query("random_extract_detail", _SAMPLE + _DETAIL)
 def random_extract_detail(spark: SparkSession, folder: str) -> DataFrame:
     return ops.extracted_session_detail(
-        model.actions(spark, folder), _sample(spark, folder), TASK_ID, TOTAL
+        model.actions(spark, folder), _sample(spark, folder), TASK_ID
     )
 
 
 @query("extracted_session_detail", _SAMPLE + _DETAIL)
 def extracted_session_detail(spark: SparkSession, folder: str) -> DataFrame:
-    """The detail join against a sample that was written and read back."""
-    path = new_work_dir(spark, "sample")
-    _sample(spark, folder).write.parquet(path)
-    return ops.extracted_session_detail(
-        model.actions(spark, folder), spark.read.parquet(path), TASK_ID, TOTAL
-    )
+    """The detail join against a sample that is not written: one plan from the events on."""
+    sample = ops.sample_sessions(_sessions(spark, folder), TOTAL, SEED)
+    return ops.extracted_session_detail(model.actions(spark, folder), sample, TASK_ID)
 
 
 @query(

@@ -142,7 +142,7 @@ _TASK_COLUMNS = ", ".join(
 
 @query("task_params", with_sql(TASKS_SQL) + f"SELECT task_id, {_TASK_COLUMNS} FROM task")
 def task_params(spark: SparkSession, folder: str) -> DataFrame:
-    return parse_task_params(model.tasks(spark, folder))
+    return parse_task_params(model.tasks(spark, folder)).drop("malformed")
 
 
 # ---- roll-up ----

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import tempfile
 import uuid
@@ -12,7 +13,7 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    # many small shuffle partitions to start with, merged at run time to the advised size
+    # small shuffle partitions are merged at run time to the advised size
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # a hot user or session is split over several tasks of the join
@@ -21,13 +22,18 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
-# For streams whose state outgrows the executor heap.
-STREAM_SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+# Shuffle partitions without a known input, and what one of them should hold at most.
+LEAST_PARTITIONS = 200
+PARTITION_BYTES = 128 << 20
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions of a shuffle that moves about as much as ``input_bytes``.
+
+    Adaptive execution merges partitions but never makes more, so the number has to fit
+    the largest shuffle: 100 TB give about 750,000.
+    """
+    return max(LEAST_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -35,12 +41,20 @@ def build_session(
     master: str | None = None,
     hive: bool = False,
     settings: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Session with :data:`SETTINGS`; ``hive`` reads the tables from a Hive metastore."""
+    """Session with :data:`SETTINGS`; ``hive`` reads the tables from a Hive metastore.
+
+    ``input_bytes`` is the size of the largest input and sets the number of shuffle
+    partitions; without it Spark's own setting holds.
+    """
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(settings or {})}.items():
+    for key, value in {**SETTINGS, **sized, **(settings or {})}.items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()
@@ -51,14 +65,29 @@ def new_work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` for tables a job writes and reads back.
 
     The setting names a folder every executor sees. Only a local session may go
-    without it; it gets a temporary folder.
+    without it; it gets a temporary folder. A folder goes when its job removes it, or with
+    the Python process if the session is still up then.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_root()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append((spark, folder))
+    return folder
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_work_dirs() -> None:
+    for spark, folder in _made:
+        if spark.sparkContext._jsc is None:
+            continue
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @functools.cache

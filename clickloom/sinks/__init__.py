@@ -6,6 +6,7 @@ from clickloom.sinks.append import (
     append_table,
     jdbc_results,
     parquet_results,
+    replace_task,
 )
 from clickloom.sinks.batches import FOLD_EVERY, BatchStore
 
@@ -17,4 +18,5 @@ __all__ = [
     "append_table",
     "jdbc_results",
     "parquet_results",
+    "replace_task",
 ]

@@ -131,7 +131,8 @@ class BatchStore:
     def _read(self, base: str, paths: list[str], column: str) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField(column, T.LongType(), True)])
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(0).select(*nothing)
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def _added(self, numbers: Iterable[int]) -> DataFrame:
@@ -144,11 +145,13 @@ class BatchStore:
             for day, n in manifest["folds"].items()
             if dates is None or day in dates or not self.date
         }
-        base = f"{self.path}/folds"
-        folded = self._read(base, [self._fold_path(d, n) for d, n in folds.items()], "fold")
         added = self._added(numbers)
         if dates is not None and self.date:
             added = added.where(F.col(self.date).isin(dates))
+        if not folds:
+            return added
+        base = f"{self.path}/folds"
+        folded = self._read(base, [self._fold_path(d, n) for d, n in folds.items()], "fold")
         return folded.withColumnRenamed("fold", BATCH_ID).unionByName(added)
 
     def read(self, before: int | None = None, dates: list[str] | None = None) -> DataFrame:

@@ -15,9 +15,10 @@ from clickloom.sources.tables import (
     scan_products,
     scan_users,
 )
-from clickloom.sources.tasks import load_task, parse_task_params, task_by_id
+from clickloom.sources.tasks import MalformedTask, load_task, parse_task_params, task_by_id
 
 __all__ = [
+    "MalformedTask",
     "format_ad_log",
     "jdbc_options",
     "load_task",

@@ -100,3 +100,24 @@ def test_order_and_ties(spark):
     top = top_categories(counts, 8, 3).collect()
     assert [tuple(r) for r in top] == [(8, 3, 2**40, 0, 0), (8, 2, 5, 2, 0), (8, 9, 5, 1, 1)]
     assert top_categories(counts, 8).count() == 6
+
+
+def test_equal_numbers_are_one_category(action_rows, spark):
+    clicked = [{"session_id": "a", "action_time": AT, "click_category_id": c} for c in ("007", "7")]
+    listed = {"session_id": "a", "action_time": AT, "order_category_ids": "07,7,8"}
+    actions = action_rows(*clicked, listed)
+    sessions = spark.createDataFrame([("a",)], "session_id string")
+    counts = category_counts(actions, sessions)
+    assert _counts(counts) == {"7": (2, 2, 0), "8": (0, 1, 0)}
+    assert _counts(click_count_by_category(actions)) == {"7": (2,)}
+    top = top_categories(counts, 1).collect()
+    assert [tuple(r) for r in top] == [(1, 7, 2, 2, 0), (1, 8, 0, 1, 0)]
+
+
+def test_category_that_is_no_number_is_an_error(action_rows, spark):
+    rows = [{"session_id": "a", "action_time": AT, "click_category_id": c} for c in ("abc", "7")]
+    sessions = spark.createDataFrame([("a",)], "session_id string")
+    counts = category_counts(action_rows(*rows), sessions)
+    assert _counts(counts) == {"7": (1, 0, 0), "abc": (1, 0, 0)}
+    with pytest.raises(Exception, match="no number: abc"):
+        top_categories(counts, 1).collect()

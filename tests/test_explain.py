@@ -18,8 +18,7 @@ from clickloom.operators.categories import (
     session_category_counts,
 )
 from clickloom.operators.filters import filter_sessions
-from clickloom.operators.sampling import extracted_session_detail, sample_quota, sample_sessions
-from clickloom.operators.sampling import sessions_per_hour
+from clickloom.operators.sampling import sample_quota, sample_sessions, sessions_per_hour
 from clickloom.operators.sessions import session_metrics, with_user
 from clickloom.params import TaskParams
 from clickloom.plans import session_statistics, top_categories_of_task
@@ -134,14 +133,19 @@ def test_top_list_takes_without_sorting_all(stored):
                for line in plan.splitlines()) == 2
 
 
-def test_sample_is_cut_before_the_shuffle_and_joins_by_broadcast(stored):
-    sessions = session_metrics(stored["actions"])
-    plan = _plan(sample_sessions(sessions, 1000))
+def test_sample_is_cut_before_the_shuffle(stored):
+    plan = _plan(sample_sessions(session_metrics(stored["actions"]), 1000))
     assert "WindowGroupLimit" in plan
-    detail = _plan(
-        extracted_session_detail(stored["actions"], sample_sessions(sessions, 1000), 1, 1000)
-    )
-    assert "BroadcastHashJoin [session_id" in detail and "LeftSemi" in detail
+    # the quota is joined below the ranking
+    assert plan.rindex("Window [row_number()") < plan.index("Join [date")
+
+
+@pytest.mark.parametrize("name", ["random_extract_sessions", "random_extract_detail"])
+def test_registered_samples_are_drawn_once_and_joined_without_a_shuffle(spark, name):
+    plan = _plan(QUERIES[name](spark, FOLDER))
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    # the events are read for the actions only, the sample is a table of its own
+    assert plan.count("events.parquet") == 1 and "row_number" not in plan
 
 
 def test_day_count_shares_the_hour_exchange(stored):
@@ -155,14 +159,15 @@ def test_replay_scans_once(spark, stored):
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
 
 
-def test_trend_boundary_is_pushed_down(stored):
-    frame = ad_trend_last_hour(stored["clicks"])
+def _formatted(frame) -> str:
     frame.collect()
-    text = frame._jdf.queryExecution().explainString(
-        stored["clicks"].sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(
-            "formatted"
-        )
-    )
+    modes = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    return frame._jdf.queryExecution().explainString(modes.fromString("formatted"))
+
+
+def test_trend_boundary_is_pushed_down(spark, stored):
+    assert "GreaterThanOrEqual(ts,ScalarSubquery" in _formatted(ad_trend_last_hour(stored["clicks"]))
+    text = _formatted(QUERIES["ad_trend_last_hour"](spark, FOLDER))
     assert "GreaterThanOrEqual(ts,ScalarSubquery" in text
 
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Context, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,6 +161,25 @@ def test_round_half_up_is_exact(evaluate):
     assert evaluate(lambda c: fn.round_half_up(c, 2), 0.285, kind="double") == [0.28]
 
 
+def test_round_half_up_of_large_values(evaluate):
+    draw = random.Random(4)
+    values = [1e20, 1e300, 12345678901234567.0, 45035996273704.9609375, 2.0**52 / 100]
+    for power in range(8, 60):
+        values += [draw.uniform(1, 10) * 10**power / 1e3 for _ in range(6)]
+    values += [-v for v in values]
+    with localcontext(Context(prec=400)):
+        for scale in (0, 2, 4):
+            step = Decimal(1).scaleb(-scale)
+            want = [float(Decimal(v).quantize(step, rounding=ROUND_HALF_UP)) for v in values]
+            assert evaluate(lambda c: fn.round_half_up(c, scale), *values, kind="double") == want
+
+
+def test_round_half_up_of_no_numbers(evaluate):
+    values = [float("inf"), float("-inf"), float("nan"), None]
+    got = evaluate(lambda c: fn.round_half_up(c, 2), *values, kind="double")
+    assert got[:2] == values[:2] and got[2] != got[2] and got[3] is None
+
+
 def _pieces(text: str, separator: str) -> list[str]:
     """Pieces without the empty ones at the end."""
     pieces = text.split(separator)

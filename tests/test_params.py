@@ -4,7 +4,7 @@ import pytest
 
 from clickloom.params import TaskParams
 from clickloom.schemas import TASK
-from clickloom.sources import load_task, parse_task_params
+from clickloom.sources import MalformedTask, load_task, parse_task_params
 
 TEXT = (
     '{"startDate":["2024-01-01"],"endDate":["2024-01-30"],"startAge":["10"],"endAge":["40"],'
@@ -50,7 +50,20 @@ def test_load_task(spark):
         load_task(tasks, 8)
 
 
-def test_odd_parameter_text(spark):
-    tasks = _tasks(spark, (1, '{"sex":"male","keywords":["a"]}'), (2, "no json"), (3, None))
-    rows = {r.task_id: (r.sex, r.keywords) for r in parse_task_params(tasks).collect()}
-    assert rows == {1: (None, "a"), 2: (None, None), 3: (None, None)}
+BROKEN = ["not json", '{"sex":["male"', '{"sex":"male"}', '["male"]', '{"startAge":["ten"]}', ""]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_malformed_parameters_do_not_run(spark, text):
+    with pytest.raises(MalformedTask):
+        load_task(_tasks(spark, (1, text)), 1)
+    with pytest.raises(ValueError):
+        TaskParams.from_json(text)
+
+
+def test_parameters_that_are_not_given(spark):
+    tasks = _tasks(spark, (1, '{"keywords":["a"],"sex":[],"cities":null,"other":5}'), (2, None))
+    assert load_task(tasks, 1) == TaskParams(task_id=1, keywords=("a",))
+    assert load_task(tasks, 2) == TaskParams(task_id=2)
+    rows = {r.task_id: (r.sex, r.keywords, r.malformed) for r in parse_task_params(tasks).collect()}
+    assert rows == {1: (None, "a", False), 2: (None, None, False)}

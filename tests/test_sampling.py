@@ -123,7 +123,7 @@ def test_extract_and_detail(action_rows):
         ]
     )
     sample = sample_sessions(session_metrics(actions), 4)
-    extract = random_extract_sessions(actions, sample, 5, 4).collect()
+    extract = random_extract_sessions(actions, sample, 5).collect()
     assert len(extract) == 4
     for row in extract:
         number = int(row.session_id[1:])
@@ -132,9 +132,7 @@ def test_extract_and_detail(action_rows):
         assert row.click_category_ids == ",".join(ids)
         words = ",".join(sorted(f"w{i}" for i in range(24) if i % 6 == number and i % 2))
         assert row.search_keywords == (words or None)
-    detail = extracted_session_detail(actions, sample, 5, 4).collect()
+    detail = extracted_session_detail(actions, sample, 5).collect()
     assert len(detail) == 16
     assert {r.session_id for r in detail} == {r.session_id for r in extract}
     assert {(r.action_time[:13], r.order_product_ids) for r in detail} == {("2024-01-01 7:", "5,6")}
-    unhinted = extracted_session_detail(actions, sample, 5, 10**9)
-    assert sorted(map(repr, unhinted.collect())) == sorted(map(repr, detail))
