@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import fresh, full_text, put, written
+from clickloom.llm.common import fresh, full_text, join_hot, put, written
 
 SLOT_BITS = 27
 
@@ -108,7 +108,7 @@ def exact_dedup(
         F.max(F.struct(F.col(id_col).alias("id"), F.col(place).alias("place"))).alias(best),
         F.count("*").alias(size),
     )
-    found = again.join(groups, digest)
+    found = join_hot(again, groups, digest)
     found = put(
         found,
         {
