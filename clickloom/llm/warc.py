@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import join_hot
+
 # Fixed values of the formats: the base32 alphabet of RFC 4648, the revisit profile of WARC/1.1.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -98,7 +100,7 @@ def write_archive(
         F.lit("\r\n"),
     )
     heads = (
-        described.join(first, "address")
+        join_hot(described, first, "address")
         .withColumns({"again": again, "http_head": http_head})
         .select(
             "address",
