@@ -51,7 +51,8 @@ class BatchStore:
         known = [n for n in files.names(self.spark, f"{self.path}/manifests") if n[0] != "."]
         if len(known) <= back:
             return {"through": -1, "folds": {}}
-        return json.loads(files.read_text(self.spark, f"{self.path}/manifests/{known[-1 - back]}"))
+        text = files.read_text(self.spark, f"{self.path}/manifests/{known[-1 - back]}")
+        return json.loads(text)
 
     def batches(self) -> list[int]:
         """Numbers of the batches that lie there, folded or not."""
@@ -99,7 +100,8 @@ class BatchStore:
             return
         fresh = self._added(new)
         dates = [r[0] for r in fresh.select(self.date).distinct().collect()] if self.date else None
-        self._put(self._summed(self._all(manifest, new, dates)), f"{self.path}/folds/fold={new[-1]}")
+        folded = self._summed(self._all(manifest, new, dates))
+        self._put(folded, f"{self.path}/folds/fold={new[-1]}")
         folds = manifest["folds"] | {d: new[-1] for d in dates or [_ALL]}
         draft = f"{self.path}/drafts/{uuid.uuid4().hex}"
         files.write_text(

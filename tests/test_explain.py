@@ -166,7 +166,8 @@ def _formatted(frame) -> str:
 
 
 def test_trend_boundary_is_pushed_down(spark, stored):
-    assert "GreaterThanOrEqual(ts,ScalarSubquery" in _formatted(ad_trend_last_hour(stored["clicks"]))
+    text = _formatted(ad_trend_last_hour(stored["clicks"]))
+    assert "GreaterThanOrEqual(ts,ScalarSubquery" in text
     text = _formatted(QUERIES["ad_trend_last_hour"](spark, FOLDER))
     assert "GreaterThanOrEqual(ts,ScalarSubquery" in text
 
