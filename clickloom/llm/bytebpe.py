@@ -28,7 +28,7 @@ from tokenizers.models import BPE
 
 from clickloom.llm.common import fresh, full_text, put
 
-PIECES_HELD = 150_000
+PIECES_HELD = 400_000
 
 # Fixed rule of byte-level BPE: bytes shown as themselves; the rest follow from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
