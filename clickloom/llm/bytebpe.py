@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-from clickloom.llm.common import fresh, full_text, put
+from clickloom.llm.common import HELD_TABLES, fresh, full_text, put, settle, small_batches
 
 PIECES_HELD = 400_000
 
@@ -134,12 +134,15 @@ class ByteBpe:
         return first, begun[ends] if len(tokens) else first
 
 
-@cache
+@lru_cache(maxsize=1)
 def byte_bpe(path: str) -> ByteBpe:
-    """One instance, with its tables, for each worker and vocabulary."""
+    """The instance of a worker, with its tables; another vocabulary replaces it."""
     return ByteBpe(path)
 
 
+HELD_TABLES.append(byte_bpe.cache_clear)
+
+
 def decoded_text(data: bytes) -> str:
     """Text of decoded bytes; a character cut off by a cut id list is replaced."""
     return data.decode("utf-8", errors="replace")
@@ -170,7 +173,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         return pd.DataFrame(out, columns=["ids", "starts", "ends"])
 
     schema = "ids array<int>, starts array<bigint>, ends array<bigint>"
-    found = docs.withColumn(done, _mapped(docs, text, schema, rows))
+    found = small_batches(docs).withColumn(done, _mapped(docs, text, schema, rows))
     return put(found, {n: found[done][n] for n in ("ids", "starts", "ends")}).drop(done)
 
 
@@ -182,7 +185,7 @@ def decode_ids(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         bpe = byte_bpe(path)
         return pd.Series([bpe.decode(np.asarray(x, "<u4").tobytes()) for x in lists])
 
-    return put(tokens, {"decoded": decode(F.coalesce(ids, F.array().cast("array<int>")))})
+    return put(small_batches(tokens), {"decoded": decode(F.coalesce(ids, F.array().cast("array<int>")))})
 
 
 def round_trips(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -206,9 +209,10 @@ def round_trips(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     hashlib.sha256(bpe.decode(ids)).hexdigest(),
                 )
             )
+        settle()
         return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    found = docs.withColumn(done, _mapped(docs, text, schema, rows))
+    found = small_batches(docs).withColumn(done, _mapped(docs, text, schema, rows))
     names = ("n_tokens", "ids_sha256", "decoded_sha256")
     return put(found, {n: found[done][n] for n in names}).drop(done)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 from clickloom.session import new_work_dir
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have yet, in any letter case."""
     taken = {c.lower() for c in df.columns}
@@ -43,6 +48,37 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after a bound on its session's Arrow batches unless the session has one.
+
+    Spark's own bound of 64 MB is held several times in a task, by the JVM and by Python;
+    tasks over long texts need no more than ``BATCH_BYTES`` at a time.
+    """
+    conf = df.sparkSession.conf
+    if _BATCH_SETTING not in conf.getAll:
+        conf.set(_BATCH_SETTING, BATCH_BYTES)
+    return df
+
+
+# drop what operators keep in a Python worker between tasks
+HELD_TABLES: list[Callable[[], None]] = []
+
+
+def settle(drop_tables: bool = False) -> None:
+    """Give memory back to the system that a Python worker no longer uses.
+
+    Spark uses workers again for later stages. ``drop_tables`` also drops the tables other
+    operators keep there, for operators that keep none.
+    """
+    if drop_tables:
+        for drop in HELD_TABLES:
+            drop()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def join_hot(left: DataFrame, right: DataFrame, *key: str, how: str = "inner") -> DataFrame:
     """Join with a table of one row per key where one key may hold most of the left rows.
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import fresh, full_text, join_hot, put, written
+from clickloom.llm.common import fresh, full_text, join_hot, put, settle, small_batches, written
 
 SLOT_BITS = 27
 
@@ -57,6 +57,7 @@ def may_repeat(docs: DataFrame, text: Column, slot_bits: int = SLOT_BITS) -> Col
 
     @F.pandas_udf("boolean")
     def test(one: pd.Series, two: pd.Series) -> pd.Series:
+        settle(drop_tables=True)
         words, hit = held.value, True
         for slots in (one.to_numpy(np.int64), two.to_numpy(np.int64)):
             hit &= (words[slots >> 6] >> (slots & 63)) & 1 == 1
@@ -87,7 +88,7 @@ def exact_dedup(
     value = full_text(text)
     value = normal(value) if normal else value
     digest, flag, place, best, size = fresh(docs, "digest", "flag", "place", "best", "size")
-    tested = docs.withColumn(flag, may_repeat(docs, value, slot_bits))
+    tested = small_batches(docs).withColumn(flag, may_repeat(docs, value, slot_bits))
 
     once = put(
         tested.where(~F.col(flag)).drop(flag),

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import byte_chunks, fresh, full_text, put
+from clickloom.llm.common import byte_chunks, fresh, full_text, put, settle, small_batches
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -144,7 +144,7 @@ def fit(windows: np.ndarray, truth: np.ndarray, labels: list[str], seed: int = 0
 
 def _sample(labelled: DataFrame, text: str, label: str, texts: int) -> DataFrame:
     """About ``texts`` rows at most, as many of each label, and windows spread over each."""
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where(
+    rows = small_batches(labelled).select(F.col(text).alias("text"), F.col(label).alias("label")).where(
         "text IS NOT NULL AND text <> '' AND label IS NOT NULL"
     )
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -231,6 +231,7 @@ def identify_languages(
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(texts: pa.Array) -> pa.Array:
+        settle(drop_tables=True)
         best, share = score_texts(held.value, texts)
         names = np.array([*held.value.labels, UNKNOWN], object)[best]
         return pa.StructArray.from_arrays(
@@ -239,7 +240,7 @@ def identify_languages(
 
     value = full_text(text)
     letters = value.rlike(r"\p{L}")
-    found = docs.withColumn(done, predict(value))
+    found = small_batches(docs).withColumn(done, predict(value))
     return put(
         found,
         {

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
-from clickloom.llm.common import full_text, put, written
+from clickloom.llm.common import full_text, put, settle, small_batches, written
 
 PART_BYTES = 8 << 20
 SAMPLE = 64
@@ -103,7 +103,7 @@ def fingerprint_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     Rows that repeat each other have equal fingerprints. An empty table gives an empty
     table. A column of ``docs`` called ``fingerprint`` is replaced.
     """
-    return put(docs, {"fingerprint": _fingerprints(full_text(text))})
+    return put(small_batches(docs), {"fingerprint": _fingerprints(full_text(text))})
 
 
 def edited_rows(rows: list[tuple[int | None, str, str]]) -> list[tuple]:
@@ -146,7 +146,7 @@ def map_with_next(
     sent to the end of the range before. The driver sees ``SAMPLE`` numbers per range.
     """
     value = full_text(text)
-    keyed = docs.select(
+    keyed = small_batches(docs).select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("k"),
         F.xxhash64(value).alias("h"),
@@ -182,7 +182,8 @@ def map_with_next(
             [[(p, 0)] if q is None else [(p, 0), (q, 1)] for p, q in zip(own, heads_of)]
         )
 
-    dealt = keyed.withColumn("t", F.explode(targets("k", "h"))).select("id", "k", "h", "text", "t.*")
+    dealt = keyed.withColumn("t", F.explode(targets("k", "h")))
+    dealt = dealt.select("id", "k", "h", "text", "t.*")
     placed = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions(
         "part", "after", F.desc("k"), F.desc("h")
     )
@@ -190,6 +191,7 @@ def map_with_next(
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
+            settle(drop_tables=True)
             ready = []
             for part, after, ident, words in zip(*[c.to_pylist() for c in batch.columns]):
                 if held is not None and held[0] == part:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.bytebpe import byte_bpe
-from clickloom.llm.common import fresh, full_text, put, written
+from clickloom.llm.common import fresh, full_text, put, settle, small_batches, written
 
 CAPACITY = 2048
 PART_PIECES = 4096
@@ -54,9 +54,10 @@ def tokenised_pieces(
                     for i, (a, b) in enumerate(zip(edges, edges[1:]))
                 ]
             )
+        settle()
         return pd.Series(out)
 
-    rows = docs.select(
+    rows = small_batches(docs).select(
         *[docs[c] for c in docs.columns if c != text],
         F.explode(cut(full_text(docs[text]))).alias(done),
     )

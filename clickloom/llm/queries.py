@@ -134,7 +134,8 @@ def _licence_sql() -> str:
     cut AS (SELECT doc_id, flatten(list_transform(
                 regexp_split_to_array(
                     t, '[.!?]+[ \\t\\r\\n]+|[.!?]+\\z|\\n[ \\t\\r]*\\n'),
-                lambda s: CASE WHEN known[{clean.format('s')}] IS NOT NULL THEN [{clean.format('s')}]
+                lambda s: CASE WHEN known[{clean.format('s')}] IS NOT NULL
+                     THEN [{clean.format('s')}]
                      ELSE list_transform(string_split(s, chr(10)), lambda x: {clean.format('x')})
                      END)) AS s
             FROM d, m WHERE regexp_matches(t, {_quoted('|'.join(ANCHORS))})),

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
 
-from clickloom.llm.common import fresh, full_text, join_hot, put, written
+from clickloom.llm.common import fresh, full_text, join_hot, put, settle, small_batches, written
 
 SEED = 42
 SHINGLE = 4
@@ -65,6 +65,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 @F.pandas_udf(LongType())
 def _prints(texts: pd.Series) -> pd.Series:
+    settle(drop_tables=True)
     prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
     return pd.Series(prints.view(np.int64))
 
@@ -72,7 +73,7 @@ def _prints(texts: pd.Series) -> pd.Series:
 def with_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``fingerprint``, 16 lower-case hexadecimal digits; null is empty text."""
     digits = F.lower(F.lpad(F.hex(_prints(full_text(text))), 16, "0"))
-    return put(docs, {"fingerprint": digits})
+    return put(small_batches(docs), {"fingerprint": digits})
 
 
 def segments(bits: int, parts: int) -> list[tuple[int, int]]:

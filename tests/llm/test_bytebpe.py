@@ -10,7 +10,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from clickloom.llm.bytebpe import ByteBpe, decode_ids, decoded_text, encode_texts
+from clickloom.llm.bytebpe import ByteBpe, byte_bpe, decode_ids, decoded_text, encode_texts
+from clickloom.llm.common import settle
 from clickloom.llm.queries import QUERIES
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -105,3 +106,11 @@ def test_encode_and_decode_columns(spark):
     nothing = spark.createDataFrame([(None,)], "ids array<int>")
     assert bytes(decode_ids(nothing, MULTI).first().decoded) == b""
     assert encode_texts(docs.limit(0), MULTI).count() == 0
+
+
+def test_tables_go_when_another_operator_needs_the_worker():
+    first = byte_bpe(MULTI)
+    settle()
+    assert byte_bpe(MULTI) is first
+    settle(drop_tables=True)
+    assert byte_bpe(MULTI) is not first

@@ -116,7 +116,8 @@ def test_odd_rows(spark, model):
 
 
 def test_training_without_usable_rows(spark):
-    docs = spark.createDataFrame([(None, "en"), ("", "en"), ("a", None)], "text string, lang string")
+    rows = [(None, "en"), ("", "en"), ("a", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
     assert train(docs) is None
     assert [r.lang_pred for r in identify_languages(docs, None).collect()] == ["und"] * 3
 

@@ -22,7 +22,10 @@ SCHEMA = (
 
 @pytest.mark.parametrize(
     "text",
-    ["", " ", "a", "a b. c, d\n", "one\n\ntwo\nthree", "\n\n\n", "a\r\n\r\nb", "x. y. x. y.", "É;É"],
+    [
+        *["", " ", "a", "a b. c, d\n", "one\n\ntwo\nthree", "\n\n\n", "a\r\n\r\nb"],
+        *["x. y. x. y.", "É;É"],
+    ],
 )
 def test_any_changed_character_changes_the_root(text):
     root = fingerprint(text)[:32]

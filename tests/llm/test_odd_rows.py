@@ -8,7 +8,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import byte_chunks, join_hot
+from clickloom.llm.common import BATCH_BYTES, byte_chunks, join_hot, small_batches
 from clickloom.llm.exact_dedup import exact_dedup, may_repeat
 from clickloom.llm.license_scan import scan_licences
 from clickloom.llm.line_dedup import dedup_lines
@@ -206,3 +206,17 @@ def test_byte_chunks_of_sliced_columns():
             for i, (a, b) in enumerate(zip(edges, edges[1:])):
                 out[row + i] = bytes(data[a:b]).decode()
         assert out == {i: t or "" for i, t in enumerate(texts)}
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        small_batches(spark.range(1))
+        assert spark.conf.get(key) == str(BATCH_BYTES)
+        spark.conf.set(key, "16m")
+        small_batches(spark.range(1))
+        assert spark.conf.get(key) == "16m"
+    finally:
+        spark.conf.set(key, old)
