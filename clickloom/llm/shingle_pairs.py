@@ -1,0 +1,223 @@
+"""Near-duplicates by the Jaccard similarity of word shingles, found without loss.
+
+SimHash fingerprints of the shingles give first links, which hold dense groups together, but
+two texts of similarity 0.8 differ in about 10 of 64 bits, so they miss most pairs. The other
+pairs come from the shingles: under one order of all shingles two sets of similarity ``4/5``
+share one among the first fifth (and one) of each, so rows meet by those. The order is rarest
+first, as far as a sample tells; it decides the cost and not the result. Rows that already are
+in one group, whose sizes differ too much or that share too late in the order do not become
+pairs. All pairs, those of SimHash too, are verified by their whole sets before groups are
+joined. Sets hold 64-bit hashes of shingles.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import repeat
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from xxhash import xxh64_intdigest
+
+from clickloom.llm.common import fresh, full_text, join_hot, put, settle, small_batches, written
+from clickloom.llm.simhash import SEED, components, fingerprint, near_links
+
+SHINGLE = 5
+# pairs of at least this similarity are linked: numerator and denominator
+SIMILAR = (4, 5)
+BLOCK = 512
+SAMPLE_ROWS = 10_000
+COMMON_HELD = 100_000
+_SETS = StructType([StructField("fp", LongType()), StructField("shingles", ArrayType(LongType()))])
+
+
+def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted hashes of the shingles of a text; words are those of ``fingerprint``.
+
+    A text of fewer words than a shingle, or of none, is one shingle.
+    """
+    words = text.encode().lower().split()
+    if len(words) < shingle:
+        runs: Iterator[bytes] = iter([b" ".join(words)])
+    else:
+        runs = map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
+    return np.unique(np.fromiter(map(xxh64_intdigest, runs, repeat(SEED)), np.uint64)).view(
+        np.int64
+    )
+
+
+@F.pandas_udf(_SETS)
+def _sets(texts: pd.Series) -> pd.DataFrame:
+    settle(drop_tables=True)
+    prints = np.fromiter((fingerprint(t, SHINGLE) for t in texts), np.uint64, len(texts))
+    return pd.DataFrame({"fp": prints.view(np.int64), "shingles": list(map(shingle_set, texts))})
+
+
+def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several rows of a sample have, sorted, and in how many they are."""
+    share = SAMPLE_ROWS / max(1, rows.count())
+    sample = rows.where(F.pmod(F.xxhash64("place"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    found = (
+        sample.select(F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .count()
+        .where("count > 1")
+        .orderBy(F.desc("count"), "shingle")
+        .limit(COMMON_HELD)
+        .toArrow()
+    )
+    shingles, times = (found.column(n).to_numpy() for n in ("shingle", "count"))
+    order = np.argsort(shingles)
+    return shingles[order], times[order]
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rarest first: enough for any similar set to share one."""
+    met = np.zeros(len(shingles), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        met = np.where(common[at] == shingles, times[at], 0)
+    top, whole = SIMILAR
+    length = len(shingles) - -(-top * len(shingles) // whole) + 1
+    return shingles[np.lexsort((shingles, met))[:length]]
+
+
+def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of all tasks of a partition sorted by task; a task may span batches."""
+    top, whole = SIMILAR
+
+    def pairs(rows: tuple[np.ndarray, ...], edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        place, root, size, rest = rows[2:]
+        end = np.repeat(edges[1:], np.diff(edges))
+        one, step = np.arange(len(end)), 1
+        while len(one := one[one + step < end[one]]):
+            two = one + step
+            total = size[one] + size[two]
+            keep = (root[one] != root[two]) & (place[one] != place[two])
+            keep &= whole * np.minimum(size[one], size[two]) >= top * np.maximum(size[one], size[two])
+            # as their first common shingle, so many more may follow at most
+            keep &= (whole + top) * (1 + np.minimum(rest[one], rest[two])) >= top * total
+            a, b = place[one[keep]], place[two[keep]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+                )
+            step += 1
+
+    left: tuple[np.ndarray, ...] = ()
+    names = ("shingle", "blocks", "place", "root", "size", "rest")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = tuple(batch.column(n).to_numpy(zero_copy_only=False) for n in names)
+        now = tuple(np.concatenate(x) for x in zip(left, now)) if left else now
+        differs = np.zeros(len(now[0]), bool)
+        for values in now[:2]:
+            differs[1:] |= values[1:] != values[:-1]
+        edges = np.concatenate([[0], np.flatnonzero(differs)])
+        # the last task may go on in the next batch
+        left = tuple(x[edges[-1] :] for x in now)
+        yield from pairs(tuple(x[: edges[-1]] for x in now), edges)
+    if left:
+        yield from pairs(left, np.array([0, len(left[0])]))
+
+
+def shingle_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): places in different groups that may be similar, with every pair that is.
+
+    ``rows`` has ``place``, ``root`` and ``shingles``.
+    """
+    common, times = common_shingles(rows)
+
+    @F.pandas_udf("array<long>")
+    def first(sets: pd.Series) -> pd.Series:
+        return pd.Series([prefix(np.asarray(s, np.int64), common, times) for s in sets])
+
+    met = rows.select(
+        "place", "root", F.size("shingles").alias("size"), F.posexplode(first("shingles"))
+    ).select(
+        F.col("col").alias("shingle"), "place", "root", "size",
+        (F.col("size") - F.col("pos") - 1).alias("rest"),
+    )
+    sizes = met.groupBy("shingle").count().where("count > 1")
+    tasks = join_hot(met, sizes, "shingle").withColumn(
+        "n", F.ceil(F.col("count") / block).cast("int")
+    )
+    # block i of a shingle meets every block, itself included, in the task named by the pair
+    own = F.pmod(F.xxhash64("place"), F.col("n")).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.col("n") - 1),
+        lambda j: F.least(own, j) * F.col("n") + F.greatest(own, j),
+    )
+    tasks = tasks.select(
+        "shingle", F.explode(blocks).alias("blocks"), "place", "root", "size", "rest"
+    )
+    return (
+        tasks.repartition("shingle", "blocks")
+        .sortWithinPartitions("shingle", "blocks")
+        .mapInArrow(_pair_batches, "a long, b long")
+        .distinct()
+    )
+
+
+def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs of places whose whole sets are similar."""
+    top, whole = SIMILAR
+    pairs = written(pairs, "shingle-pairs")
+    ends = written(pairs.select("a").union(pairs.select("b")).distinct(), "shingle-ends")
+    sets = written(
+        rows.select(F.col("place").alias("a"), "shingles").join(ends, "a", "left_semi"),
+        "shingle-ends",
+    )
+    both = pairs.join(sets.toDF("a", "one"), "a").join(sets.toDF("b", "two"), "b")
+    shared = F.size(F.array_intersect("one", "two"))
+    similar = (whole + top) * shared >= top * (F.size("one") + F.size("two"))
+    return written(both.where(similar).select("a", "b"), "shingle-links")
+
+
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with ``root``, the smallest place of the group."""
+    found = components(links).withColumnRenamed("fp", "place")
+    return join_hot(rows, found, "place", how="left").withColumn(
+        "root", F.coalesce("root", "place")
+    )
+
+
+def near_components(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", block: int = BLOCK
+) -> DataFrame:
+    """Every row of ``docs`` with ``component_id``, the smallest id its links reach.
+
+    Texts are linked whose sets of shingles of ``SHINGLE`` words have a Jaccard similarity of
+    at least ``SIMILAR``. A null is an empty text, and empty texts are equal. Null ids are
+    ignored unless a component has no other, then it is null. An empty table gives an empty
+    table. A column named like the result is replaced.
+    """
+    place, done, low = fresh(docs, "place", "done", "low")
+    numbered = written(docs.withColumn(place, F.monotonically_increasing_id()), "shingle-rows")
+    made = small_batches(numbered).select(
+        F.col(place).alias("place"), F.col(id_col).alias("id"), _sets(full_text(text)).alias(done)
+    )
+    rows = written(made.select("place", "id", f"{done}.*"), "shingle-sets")
+
+    # fingerprints within a few bits, each stood for by its first row
+    first = written(rows.groupBy("fp").agg(F.min("place").alias("low")), "shingle-prints")
+    links = near_links(first.select("fp"))
+    one, two = first.toDF("a", "one"), first.toDF("b", "two")
+    between = links.join(one, "a").join(two, "b").select("one", "two")
+    same = join_hot(rows.select("fp", "place"), first, "fp").where("place <> low")
+    firm = verified(between.union(same.select("low", "place")).toDF("a", "b"), rows)
+
+    grouped = written(_rooted(rows.select("place", "shingles"), firm), "shingle-groups")
+    wide = verified(shingle_pairs(grouped, block), rows)
+    final = _rooted(rows.select("place", "id"), firm.union(wide))
+    lowest = final.groupBy("root").agg(F.min("id").alias(low))
+    found = join_hot(final.select("place", "root"), lowest, "root").select(
+        F.col("place").alias(place), low
+    )
+    joined = join_hot(numbered, found, place)
+    return put(joined, {"component_id": joined[low]}).drop(place, low)

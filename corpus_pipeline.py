@@ -14,7 +14,7 @@ from clickloom.llm.exact_dedup import exact_dedup
 from clickloom.llm.language_id import UNKNOWN, identify_languages, train
 from clickloom.llm.packing import pack_documents
 from clickloom.llm.secret_scan import scan_secrets
-from clickloom.llm.simhash import simhash_dedup
+from clickloom.llm.shingle_pairs import near_components
 
 # a share below this is hardly more than a guess among the labels
 LEAST_SCORE = 0.3
@@ -42,8 +42,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by close fingerprints the one with the smallest ``doc_id``."""
-    found = simhash_dedup(docs)
+    """Of documents linked by similar sets of five-word shingles that of the smallest ``doc_id``."""
+    found = near_components(docs)
     return found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(docs.columns)
 
 

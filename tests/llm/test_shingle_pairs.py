@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from brute import components
+
+import corpus_pipeline as pipeline
+from clickloom.llm.shingle_pairs import near_components, shingle_set
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def _similar(one: set, two: set) -> bool:
+    return 5 * len(one & two) >= 4 * len(one | two)
+
+
+def _want(texts: dict[int, str | None]) -> dict[int, int]:
+    sets = {i: set(shingle_set(t or "").tolist()) for i, t in texts.items()}
+    return components(sorted(sets), lambda a, b: _similar(sets[a], sets[b]))
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_components_equal_those_of_all_pairs(spark, block):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    texts: dict[int, str | None] = {0: None, 1: "", 2: "a b", 3: "A  b"}
+    for _ in range(12):
+        own = rng.choices(words, k=rng.randrange(4, 120))
+        for _ in range(8):
+            copy = list(own)
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts[len(texts)] = " ".join(copy)
+    want = _want(texts)
+    assert 20 < len(set(want.values())) < len(texts)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = near_components(docs, block=block)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
+def test_stage_drops_every_copy_of_similarity_four_fifths(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = pipeline.exact_duplicates(spark, docs, FOLDER)
+    want = _want({r.doc_id: r.text for r in docs.collect()})
+    got = pipeline.near_duplicates(spark, docs, FOLDER)
+    assert {r.doc_id for r in got.collect()} == {i for i, root in want.items() if i == root}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert near_components(docs).count() == 0
