@@ -215,16 +215,15 @@ def folded_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "lookup_user_click_count",
-    BASE_SQL + _DAILY + " WHERE date BETWEEN '2024-01-10' AND '2024-01-12' AND"
-    " (date, user_id, ad_id) IN (SELECT strftime(ts, '%Y-%m-%d'), user_id, ad_id"
-    " FROM ad_click WHERE hour(ts) >= 12)",
+    BASE_SQL + _DAILY + " WHERE (date, user_id, ad_id) IN (SELECT strftime(ts, '%Y-%m-%d'),"
+    " user_id, ad_id FROM ad_click WHERE hour(ts) >= 12)",
 )
 def lookup_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored counts of the keys the afternoons' clicks of three days touch."""
+    """Stored counts of the keys the afternoons' clicks touch; only their days are opened."""
     counts = _half_day_counts(spark, folder)
-    dates = ["2024-01-10", "2024-01-11", "2024-01-12"]
-    clicks = model.clicks(spark, folder, dates[0], dates[-1])
+    clicks = model.clicks(spark, folder)
     keys = ops.ad_day_key(clicks.where(F.hour("ts") >= 12)).distinct()
+    dates = sorted(r.date for r in keys.select("date").distinct().collect())
     return ops.lookup_user_click_count(keys, counts.table(dates=dates))
 
 
