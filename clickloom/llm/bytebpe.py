@@ -62,10 +62,12 @@ class ByteBpe:
     """Encoding and decoding by one vocabulary file.
 
     ``.tiktoken`` files hold ranks, ``.json`` files a tokenizer of the library, which must
-    split by ``public_tokenizers.PATTERN`` as byte-level tokenizers do.
+    split by ``public_tokenizers.PATTERN`` as byte-level tokenizers do. With ``added`` the
+    text of one of the file's added tokens is that token, as in the library; without, it is
+    ordinary text.
     """
 
-    def __init__(self, path: str, held: int = PIECES_HELD) -> None:
+    def __init__(self, path: str, held: int = PIECES_HELD, added: bool = False) -> None:
         chars = byte_chars()
         self._table = {b: chars[b] for b in range(256)}
         if path.endswith(".tiktoken"):
@@ -76,10 +78,18 @@ class ByteBpe:
         else:
             tokenizer = Tokenizer.from_file(path)
             vocab, self._model = tokenizer.get_vocab(with_added_tokens=False), tokenizer.model
+        self._added: list[str] = []
+        special: dict[int, str] = {}
+        if added and not path.endswith(".tiktoken"):
+            self._library = tokenizer
+            special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+            self._added = list(special.values())
         back = {c: b for b, c in enumerate(chars)}
-        self._bytes = [b""] * (max(vocab.values()) + 1)
+        self._bytes = [b""] * (max(*vocab.values(), *special) + 1)
         for token, i in vocab.items():
             self._bytes[i] = bytes(back[c] for c in token if c in back)
+        for i, content in special.items():
+            self._bytes[i] = content.encode()
         self._packed = [i.to_bytes(4, "little") for i in range(len(self._bytes))]
         self._split = regex.compile(public_tokenizers.PATTERN)
         self._held = held
@@ -103,7 +113,11 @@ class ByteBpe:
 
         A single space between two other characters that are no white space always begins
         a piece of the pattern, so a text may be cut there and its parts be looked up whole.
+        A text that holds an added token goes through the library.
         """
+        if any(token in text for token in self._added):
+            ids = self._library.encode(text, add_special_tokens=False).ids
+            return b"".join([self._packed[i] for i in ids])
         first, *parts = text.split(" ")
         if not first or first != first.strip():
             return self._run(text)
@@ -135,9 +149,9 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=1)
-def byte_bpe(path: str) -> ByteBpe:
+def byte_bpe(path: str, added: bool = False) -> ByteBpe:
     """The instance of a worker, with its tables; another vocabulary replaces it."""
-    return ByteBpe(path)
+    return ByteBpe(path, added=added)
 
 
 HELD_TABLES.append(byte_bpe.cache_clear)

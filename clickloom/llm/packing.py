@@ -36,6 +36,7 @@ def tokenised_pieces(
 ) -> DataFrame:
     """One row per piece of every document: its columns but ``text``, and the piece's.
 
+    Ids are those of the library; the text of an added token of the vocabulary is that token.
     A document's ids are followed by ``END_ID``. One of more than ``capacity`` ids is cut
     into pieces of that many; what does not fill a piece comes first.
     """
@@ -43,7 +44,7 @@ def tokenised_pieces(
 
     @F.pandas_udf(PIECES)
     def cut(texts: pd.Series) -> pd.Series:
-        bpe, out = byte_bpe(path), []
+        bpe, out = byte_bpe(path, added=True), []
         for value in texts:
             ids = bpe.encode(value) + END_ID.to_bytes(4, "little")
             total = len(ids) // 4
