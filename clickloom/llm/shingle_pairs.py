@@ -32,7 +32,7 @@ SIMILAR = (4, 5)
 BLOCK = 512
 SAMPLE_ROWS = 10_000
 COMMON_HELD = 100_000
-_SETS = StructType([StructField("fp", LongType()), StructField("shingles", ArrayType(LongType()))])
+_FIRST = StructType([StructField("size", LongType()), StructField("first", ArrayType(LongType()))])
 
 
 def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -50,11 +50,17 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
     )
 
 
-@F.pandas_udf(_SETS)
-def _sets(texts: pd.Series) -> pd.DataFrame:
+@F.pandas_udf(LongType())
+def _prints(texts: pd.Series) -> pd.Series:
     settle(drop_tables=True)
     prints = np.fromiter((fingerprint(t, SHINGLE) for t in texts), np.uint64, len(texts))
-    return pd.DataFrame({"fp": prints.view(np.int64), "shingles": list(map(shingle_set, texts))})
+    return pd.Series(prints.view(np.int64))
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _sets(texts: pd.Series) -> pd.Series:
+    settle(drop_tables=True)
+    return pd.Series(list(map(shingle_set, texts)))
 
 
 def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +68,7 @@ def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     share = SAMPLE_ROWS / max(1, rows.count())
     sample = rows.where(F.pmod(F.xxhash64("place"), F.lit(1 << 20)) < int(share * (1 << 20)))
     found = (
-        sample.select(F.explode("shingles").alias("shingle"))
+        sample.select(F.explode(_sets("text")).alias("shingle"))
         .groupBy("shingle")
         .count()
         .where("count > 1")
@@ -129,21 +135,28 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def shingle_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b): places in different groups that may be similar, with every pair that is.
 
-    ``rows`` has ``place``, ``root`` and ``shingles``.
+    ``rows`` has ``place``, ``root`` and ``text``. Sets are made anew wherever they are
+    needed: stored, they take more room than the texts.
     """
     common, times = common_shingles(rows)
 
-    @F.pandas_udf("array<long>")
-    def first(sets: pd.Series) -> pd.Series:
-        return pd.Series([prefix(np.asarray(s, np.int64), common, times) for s in sets])
-
-    met = rows.select(
-        "place", "root", F.size("shingles").alias("size"), F.posexplode(first("shingles"))
-    ).select(
-        F.col("col").alias("shingle"), "place", "root", "size",
-        (F.col("size") - F.col("pos") - 1).alias("rest"),
+    @F.pandas_udf(_FIRST)
+    def first(texts: pd.Series) -> pd.DataFrame:
+        sets = map(shingle_set, texts)
+        made = [(len(s), prefix(s, common, times)) for s in sets]
+        settle(drop_tables=True)
+        return pd.DataFrame(made, columns=["size", "first"])
+
+    met = (
+        rows.select("place", "root", first("text").alias("made"))
+        .select("place", "root", "made.size", F.posexplode("made.first"))
+        .select(
+            F.col("col").alias("shingle"), "place", "root", "size",
+            (F.col("size") - F.col("pos") - 1).alias("rest"),
+        )
     )
-    sizes = met.groupBy("shingle").count().where("count > 1")
+    # written, so that its size is known: the rows need no shuffle if it is small
+    sizes = written(met.groupBy("shingle").count().where("count > 1"), "shingle-sizes")
     tasks = join_hot(met, sizes, "shingle").withColumn(
         "n", F.ceil(F.col("count") / block).cast("int")
     )
@@ -169,10 +182,8 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     top, whole = SIMILAR
     pairs = written(pairs, "shingle-pairs")
     ends = written(pairs.select("a").union(pairs.select("b")).distinct(), "shingle-ends")
-    sets = written(
-        rows.select(F.col("place").alias("a"), "shingles").join(ends, "a", "left_semi"),
-        "shingle-ends",
-    )
+    met = rows.select(F.col("place").alias("a"), "text").join(ends, "a", "left_semi")
+    sets = written(met.select("a", _sets("text")), "shingle-ends")
     both = pairs.join(sets.toDF("a", "one"), "a").join(sets.toDF("b", "two"), "b")
     shared = F.size(F.array_intersect("one", "two"))
     similar = (whole + top) * shared >= top * (F.size("one") + F.size("two"))
@@ -181,7 +192,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``rows`` with ``root``, the smallest place of the group."""
-    found = components(links).withColumnRenamed("fp", "place")
+    found = written(components(links).withColumnRenamed("fp", "place"), "shingle-roots")
     return join_hot(rows, found, "place", how="left").withColumn(
         "root", F.coalesce("root", "place")
     )
@@ -197,12 +208,12 @@ def near_components(
     ignored unless a component has no other, then it is null. An empty table gives an empty
     table. A column named like the result is replaced.
     """
-    place, done, low = fresh(docs, "place", "done", "low")
+    place, low = fresh(docs, "place", "low")
     numbered = written(docs.withColumn(place, F.monotonically_increasing_id()), "shingle-rows")
-    made = small_batches(numbered).select(
-        F.col(place).alias("place"), F.col(id_col).alias("id"), _sets(full_text(text)).alias(done)
+    texts = small_batches(numbered).select(
+        F.col(place).alias("place"), F.col(id_col).alias("id"), full_text(text).alias("text")
     )
-    rows = written(made.select("place", "id", f"{done}.*"), "shingle-sets")
+    rows = written(texts.select("place", "id", _prints("text").alias("fp")), "shingle-prints")
 
     # fingerprints within a few bits, each stood for by its first row
     first = written(rows.groupBy("fp").agg(F.min("place").alias("low")), "shingle-prints")
@@ -210,10 +221,9 @@ def near_components(
     one, two = first.toDF("a", "one"), first.toDF("b", "two")
     between = links.join(one, "a").join(two, "b").select("one", "two")
     same = join_hot(rows.select("fp", "place"), first, "fp").where("place <> low")
-    firm = verified(between.union(same.select("low", "place")).toDF("a", "b"), rows)
+    firm = verified(between.union(same.select("low", "place")).toDF("a", "b"), texts)
 
-    grouped = written(_rooted(rows.select("place", "shingles"), firm), "shingle-groups")
-    wide = verified(shingle_pairs(grouped, block), rows)
+    wide = verified(shingle_pairs(_rooted(texts, firm), block), texts)
     final = _rooted(rows.select("place", "id"), firm.union(wide))
     lowest = final.groupBy("root").agg(F.min("id").alias(low))
     found = join_hot(final.select("place", "root"), lowest, "root").select(
