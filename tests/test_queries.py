@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -43,3 +45,27 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 1
+
+
+HIDDEN = """
+import sys
+
+class Hidden:
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith("clickloom.llm"):
+            raise ModuleNotFoundError(name, name=name)
+
+import importlib.util
+found = importlib.util.find_spec
+importlib.util.find_spec = lambda n, *a: None if n.startswith("clickloom.llm") else found(n, *a)
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as contract
+from clickloom.queries import QUERIES, SQL
+assert set(contract.queries()) == set(QUERIES) and set(contract.oracle_sql()) == set(SQL)
+"""
+
+
+def test_entry_without_the_training_data_subpackage():
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", HIDDEN], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
