@@ -13,6 +13,15 @@ from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, s
 from clickloom.llm.line_dedup import dedup_lines
 from clickloom.llm.merkle import edited_rows, map_with_next
 from clickloom.llm.packing import pack_documents
+from clickloom.llm.quality_rules import (
+    DOUBT,
+    LEAST_WORDS,
+    MOST_REPEATED,
+    RISK,
+    RULES as QUALITY_RULES,
+    with_counts,
+    with_verdicts,
+)
 from clickloom.llm.registry import QUERIES, SQL, query
 from clickloom.llm.secret_scan import (
     FIRST_LOOK,
@@ -264,3 +273,81 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(docs.drop("lang"), model).select(
         "doc_id", "held_out", "lang_pred", "score"
     )
+
+
+def _quality_sql() -> str:
+    steps = ", ".join(
+        f"({_quoted(rule)}, {i}, {cutoff})"
+        for rule, (_, _, _, ladder) in QUALITY_RULES.items()
+        for i, cutoff in enumerate(ladder)
+    )
+    counted = " UNION ALL ".join(
+        f"SELECT doc_id, stratum, {_quoted(rule)} AS rule, {unit} * {part} AS part,"
+        f" {whole} AS whole FROM base WHERE NOT base_failed"
+        for rule, (part, whole, unit, _) in QUALITY_RULES.items()
+    )
+    risk = RISK / len(QUALITY_RULES)
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce('=' || lang, '') AS stratum, coalesce(text, '') AS t
+               FROM documents),
+    cut AS (SELECT *, list_filter(regexp_split_to_array(t, '[	-
+ ]+'),
+                                  lambda x: x <> '') AS w,
+                   list_filter(string_split(t, chr(10)),
+                               lambda x: regexp_matches(x, '[^	-
+ ]')) AS l FROM d),
+    windows AS (SELECT doc_id, p, [w[p], w[p + 1], w[p + 2]] AS g
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM cut)),
+    again AS (SELECT doc_id, p FROM windows
+              QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+    repeated AS (SELECT doc_id, count(DISTINCT i) AS n
+                 FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS i FROM again) GROUP BY doc_id),
+    counted AS (SELECT doc_id, stratum, len(w) AS n_words,
+                       length(regexp_replace(t, '[	-
+ ]', '', 'g')) AS word_chars,
+                       length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                       len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+                       coalesce(n, 0) AS n_repeat_words
+                FROM cut LEFT JOIN repeated USING (doc_id)),
+    base AS (SELECT *, n_words < {LEAST_WORDS}
+                       OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed
+             FROM counted),
+    long AS ({counted}),
+    steps(rule, step, cutoff) AS (VALUES {steps}),
+    told AS (SELECT doc_id, min(quality) = 1 AS good FROM labels
+             WHERE quality IN (0, 1) GROUP BY doc_id),
+    sums AS (SELECT stratum, rule, step, cutoff, count(*) FILTER (good) AS n,
+                    count(*) FILTER (good AND part > cutoff * whole) AS k,
+                    count(*) FILTER (NOT good AND part > cutoff * whole) AS bad
+             FROM long JOIN told USING (doc_id) JOIN steps USING (rule) GROUP BY ALL),
+    m AS (SELECT count(DISTINCT stratum) * {len(QUALITY_RULES)} AS tests FROM sums WHERE n > 0),
+    certified AS (
+        SELECT * FROM sums, m WHERE n > 0 AND k < n * {risk}::DOUBLE AND {DOUBT}::DOUBLE / tests >=
+            list_sum(list_transform(range(0, k + 1), lambda i: exp(
+                lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                + i * ln({risk}::DOUBLE) + (n - i) * ln(1 - {risk}::DOUBLE))))),
+    cutoffs AS (SELECT stratum, rule, cutoff FROM certified
+                QUALIFY row_number() OVER (PARTITION BY stratum, rule
+                                           ORDER BY bad DESC, step) = 1),
+    rejected AS (SELECT DISTINCT doc_id FROM long JOIN cutoffs USING (stratum, rule)
+                 WHERE part > cutoff * whole)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+           n_repeat_words, base_failed, NOT base_failed AND r.doc_id IS NULL AS kept
+    FROM base LEFT JOIN rejected r USING (doc_id)
+    """
+
+
+@query("op11_quality_rules", _quality_sql())
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    counted = with_counts(_documents(spark, folder, "lang")).drop("text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return with_verdicts(counted, labels).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )

@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+from fractions import Fraction
+from math import comb
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm.quality_rules import (
+    COUNTS,
+    RULES,
+    apply_quality_rules,
+    binomial_tail,
+    certified_cutoffs,
+    with_counts,
+    with_verdicts,
+)
+
+
+def plain_counts(text: str | None) -> tuple[int, ...]:
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    met = Counter(windows)
+    covered = {i + j for i, w in enumerate(windows) if met[w] > 1 for j in range(3)}
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+def test_counts_equal_plain_ones(spark):
+    rng = random.Random(5)
+    pieces = ["a", "b", "cé", "🙂", "#", "a|b", " ", "\n", "\t", "\x0b", "\r\n", " ", "  ", "\n\n"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(40))) for _ in range(400)]
+    texts += ["a b c a b c", "a a a a", "a b a b", " ", "", "x " * 20_000]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, None)]
+    got = with_counts(spark.createDataFrame(rows, "doc_id long, text string"))
+    for r in got.collect():
+        assert tuple(r[c] for c in COUNTS) == plain_counts(r.text), r.text
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert r.base_failed == failed
+
+
+def test_binomial_tail_is_exact(spark):
+    cases = [(k, n) for n in (1, 7, 480, 5000) for k in (0, 1, 3, 6, n // 100) if k <= n]
+    rows = spark.createDataFrame(cases, "k long, n long")
+    share = Fraction(1, 80)
+    for r in rows.withColumn("p", binomial_tail(F.col("k"), F.col("n"), float(share))).collect():
+        want = sum(comb(r.n, i) * share**i * (1 - share) ** (r.n - i) for i in range(r.k + 1))
+        assert r.p == (1.0 if r.k >= r.n * share else pytest.approx(float(want), rel=1e-9))
+
+
+def _labelled(spark, rows):
+    """Documents of 100 words, 1000 code points in words, from (stratum, good, symbols)."""
+    return spark.createDataFrame(rows, "stratum string, good boolean, n_symbols long").selectExpr(
+        "*", "100L AS n_words", "700L AS word_chars", "10L AS n_lines", "0L AS n_dup_lines",
+        "0L AS n_repeat_words",
+    )
+
+
+def test_cutoffs_follow_the_labels(spark):
+    rows = [("en", True, 7 if i < 5 else 0) for i in range(2000)]
+    rows += [("en", False, 60)] * 40 + [("en", False, 12)] * 10
+    rows += [("few", True, 0)] * 50 + [("few", False, 60)] * 50
+    rows += [("noisy", True, 100 * (i % 3)) for i in range(2000)] + [("noisy", False, 60)] * 50
+    found = {(r.stratum, r.rule): r.cutoff for r in certified_cutoffs(_labelled(spark, rows)).collect()}
+    # 12 of 700 are above 10 of 1000; the five good ones of 7 in 700 are not
+    assert found["en", "symbols"] == 10
+    assert not any(stratum == "few" for stratum, _ in found)
+    # a third of the good ones of "noisy" have 142 symbols of 1000 code points, another 285
+    assert found["noisy", "symbols"] == 400
+    # no bad document has a repeated line: the laxest cutoff is left
+    assert found["en", "dup_lines"] == RULES["dup_lines"][3][0]
+
+
+def test_false_rejection_stays_below_the_risk(spark):
+    """Labels drawn 120 times from a truth in which every cutoff but the first is too strict."""
+    rng = random.Random(2)
+    share = 0.02  # of good documents, above the 0.0125 of a rule
+    rows = []
+    for draw in range(120):
+        good = sum(rng.random() < share for _ in range(900))
+        rows += [(f"s{draw}", True, 250)] * good + [(f"s{draw}", True, 0)] * (900 - good)
+        rows += [(f"s{draw}", False, 250)] * 20
+    found = certified_cutoffs(_labelled(spark, rows), doubt=0.1).where("rule = 'symbols'")
+    cutoffs = [r.cutoff for r in found.collect()]
+    # 250 of 700 is above every step but 400: a lower one would reject two of a hundred
+    assert len(cutoffs) == 120 and sum(c < 400 for c in cutoffs) <= 1
+
+
+def test_verdicts(spark):
+    words = [f"w{i}" for i in range(60)]
+    clean, short = " ".join(words), "a b c"
+    junk = " | ".join(words)
+    rows = [(i, clean, "en", "x") for i in range(600)] + [(600 + i, junk, "en", "x") for i in range(30)]
+    rows += [(700, junk, "de", "x"), (701, junk, None, None), (702, short, "en", "x")]
+    rows += [(703, None, None, None), (None, junk, "en", "x"), (5, junk, "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept string")
+    docs = docs.withColumns({"stratum": F.lit(1), "good": F.lit(2), "most_symbols": F.lit(3)})
+    labels = [(i, 1) for i in range(600) if i != 5] + [(600 + i, 0) for i in range(20)]
+    labels += [(5, 1), (5, 0), (702, 1), (None, 1), (0, None), (1, 7)]
+    told = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = apply_quality_rules(docs, told)
+    assert set(docs.columns) < set(got.columns) and "base_failed" in got.columns
+    found = got.collect()
+    assert len(found) == len(rows) and {r.stratum for r in found} == {1}
+    for r in found:
+        want = r.text == clean or (r.text == junk and r.lang != "en")
+        assert r.kept == want, r
+    # without labels only the base rules count
+    free = with_verdicts(with_counts(docs), told.limit(0))
+    assert {r.kept == (not r.base_failed) for r in free.collect()} == {True}
+    assert apply_quality_rules(docs.limit(0), told).count() == 0
+
+
+def test_only_dataframe_expressions(spark):
+    docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    plan = apply_quality_rules(docs, labels)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -35,11 +35,24 @@ PAGES = [(1, "u", "<p>"), (2, None, "<p>"), (3, "a\r\nX: y", ""), (4, "u", None)
 @pytest.fixture(scope="module")
 def made(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("made")
-    documents = spark.createDataFrame(DOCUMENTS, "doc_id long, text string")
+    words = " ".join(f"w{i}" for i in range(55))
+    rows = [(i, t, "en" if i % 2 else None) for i, t in DOCUMENTS]
+    rows += [(100 + i, words if i % 8 else words.replace(" ", " | "), "en") for i in range(800)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     documents.write.parquet(f"{folder}/documents.parquet")
+    labels = [(100 + i, int(i % 8 > 0)) for i in range(700)] + [(1, 1), (2, None), (999, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(
+        f"{folder}/labels.parquet"
+    )
     spark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(
         f"{folder}/pages.parquet"
     )
+    vectors = [(i, [((i * 37 + j * 11) % 19 - 9) / 16 for j in range(9)], i % 4) for i in range(420)]
+    vectors += [(1000, None, 1), (1001, [None] * 9, 1), (1002, [float("nan")] * 9, 1)]
+    vectors += [(1100, [float("inf")] * 9, 1), (1200, [0.25] * 9, None), (1300, [0.5] * 9, 3)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(
+        f"{folder}/embeddings.parquet"
+    )
     return folder
 
 
@@ -53,7 +66,7 @@ def _sorted(rows, names):
 def test_same_rows_as_sql(spark, made, name, tables):
     folder = FOLDER if tables == "given" else made
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         file = folder / f"{table}.parquet"
         source = f"{file}/*.parquet" if file.is_dir() else file
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{source}'")
