@@ -34,6 +34,7 @@ from clickloom.llm.secret_scan import (
 )
 from clickloom.llm.simhash import with_components, with_fingerprints
 from clickloom.llm.warc import read_archive, write_archive
+from clickloom.llm.whitening import component_rows
 from clickloom.session import new_work_dir
 
 __all__ = ["QUERIES", "SQL"]
@@ -290,12 +291,10 @@ def _quality_sql() -> str:
     return rf"""
     WITH d AS (SELECT doc_id, coalesce('=' || lang, '') AS stratum, coalesce(text, '') AS t
                FROM documents),
-    cut AS (SELECT *, list_filter(regexp_split_to_array(t, '[	-
- ]+'),
+    cut AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x09-\x0D ]+'),
                                   lambda x: x <> '') AS w,
                    list_filter(string_split(t, chr(10)),
-                               lambda x: regexp_matches(x, '[^	-
- ]')) AS l FROM d),
+                               lambda x: regexp_matches(x, '[^\x09-\x0D ]')) AS l FROM d),
     windows AS (SELECT doc_id, p, [w[p], w[p + 1], w[p + 2]] AS g
                 FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM cut)),
     again AS (SELECT doc_id, p FROM windows
@@ -303,8 +302,7 @@ def _quality_sql() -> str:
     repeated AS (SELECT doc_id, count(DISTINCT i) AS n
                  FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS i FROM again) GROUP BY doc_id),
     counted AS (SELECT doc_id, stratum, len(w) AS n_words,
-                       length(regexp_replace(t, '[	-
- ]', '', 'g')) AS word_chars,
+                       length(regexp_replace(t, '[\x09-\x0D ]', '', 'g')) AS word_chars,
                        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
                        len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
                        coalesce(n, 0) AS n_repeat_words
@@ -351,3 +349,20 @@ def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+def _embeddings(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", *more)
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return component_rows(_embeddings(spark, folder)).select(
+        "vec_id",
+        "component",
+        "n",
+        F.col("deviation").cast("long"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )

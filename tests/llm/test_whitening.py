@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+from decimal import Decimal
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm.whitening import _deviations, component_rows, fit, whiten
+
+SCHEMA = "vec_id long, embedding array<float>, n string"
+
+
+def _frame(spark, rows):
+    made = [(i, [float(c) for c in v], f"own {i}") for i, v in enumerate(rows)]
+    return spark.createDataFrame(made, SCHEMA)
+
+
+def _whole(rows):
+    return np.floor(np.asarray(rows, np.float32).astype(float) * 1024).astype(np.int64) + 100_000
+
+
+def _plain(x, most=8):
+    """Eigenvalues, components as rows, by a dense decomposition."""
+    centred = x - x.mean(axis=0)
+    values, vectors = np.linalg.eigh(centred.T @ centred / len(x))
+    return values[::-1][:most], vectors.T[::-1][:most]
+
+
+@pytest.mark.parametrize(("rows", "width"), [(400, 24), (60, 3), (300, 64)])
+def test_components_equal_a_dense_decomposition(spark, rows, width):
+    rng = np.random.default_rng(rows)
+    spread = np.geomspace(1, 0.05, width)
+    data = rng.normal(size=(rows, width)) * spread @ np.linalg.qr(rng.normal(size=(width, width)))[0]
+    x = _whole(data)
+    values, vectors = _plain(x)
+    got, model = whiten(_frame(spark, data).repartition(5))
+    assert np.allclose(model.values, values, rtol=1e-11)
+    close = np.abs(np.sum(model.components * vectors, axis=1))
+    assert np.allclose(close, 1, atol=1e-10)
+    assert np.allclose(model.components @ model.components.T, np.eye(len(values)), atol=1e-13)
+    assert model.passes <= 2 * width and model.steps <= width
+    found = got.collect()
+    table = np.array([r.whitened for r in sorted(found, key=lambda r: r.vec_id)])
+    want = (x - x.mean(axis=0)) @ vectors.T / np.sqrt(values)
+    signs = np.sign(np.sum(table * want, axis=0))
+    assert np.allclose(table, want * signs, atol=1e-9)
+    sums = x.sum(axis=0).tolist()
+    for r in found:
+        exact = sum((rows * int(v) - s) ** 2 for v, s in zip(x[r.vec_id], sums))
+        assert r.deviation == exact
+
+
+def test_rows_of_components(spark):
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(200, 10)) * np.arange(1, 11) / 20
+    found = component_rows(_frame(spark, data)).collect()
+    values, _ = _plain(_whole(data))
+    centred = _whole(data) - _whole(data).mean(axis=0)
+    assert len(found) == 200 * 8 and {r.n for r in found} == {200}
+    assert {r.component for r in found} == set(range(1, 9))
+    assert len({r.identity_error for r in found}) == 1 and found[0].identity_error < 1e-9
+    trace = np.square(centred).sum() / 200
+    for r in found:
+        assert r.explained == pytest.approx(values[r.component - 1] / trace, rel=1e-10)
+
+
+def test_equal_deviations_are_all_found(spark):
+    """Eigenvalues met several times: one start sees one vector of each."""
+    data = np.vstack([np.eye(6), -np.eye(6)]) * np.array([1, 1, 1, 0.5, 0.5, 0.25])
+    _, model = whiten(_frame(spark, data))
+    assert np.allclose(model.values, _plain(_whole(data))[0], rtol=1e-9)
+
+
+def test_fewer_directions_than_components(spark):
+    rng = np.random.default_rng(3)
+    flat = rng.normal(size=(50, 2)) @ rng.normal(size=(2, 12)) * 0
+    flat[:, 4] = rng.normal(size=50)
+    got, model = whiten(_frame(spark, flat))
+    assert len(model.values) == 1 and abs(abs(model.components[0, 4]) - 1) < 1e-12
+    assert {len(r.whitened) for r in got.collect()} == {1}
+    two = rng.normal(size=(2, 40))
+    assert len(whiten(_frame(spark, two))[1].values) == 1
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.5, 0.25], "a"), (1, [0.5, 0.25], "a"), (None, [0.125, -0.5], "b")]
+    rows += [(2, None, "c"), (3, [None, 0.5], "c"), (4, [nan, 0.5], "c"), (5, [0.5, -inf], "c")]
+    rows += [(6, [0.75, 0.5], None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("x", F.lit(7))
+    got, model = whiten(docs)
+    assert got.columns == ["vec_id", "n", "x", "whitened", "deviation"]
+    found = got.collect()
+    assert model.n == 4 and sorted(map(str, (r.vec_id for r in found))) == ["1", "1", "6", "None"]
+    assert {r.x for r in found} == {7}
+    long = component_rows(docs).collect()
+    assert len(long) == 4 * 2 and {r.n for r in long} == {4}
+
+
+def test_nothing_to_whiten(spark):
+    docs = _frame(spark, [[0.5, 0.5]] * 5)
+    for some in (docs, docs.limit(0), spark.createDataFrame([(1, [], "")], SCHEMA)):
+        got, model = whiten(some)
+        assert model is None and got.count() == some.count()
+        assert component_rows(some).count() == 0
+    mixed = spark.createDataFrame([(1, [1.0], ""), (2, [1.0, 2.0], "")], SCHEMA)
+    with pytest.raises(ValueError, match="whitened together"):
+        whiten(mixed)
+    with pytest.raises(Exception, match="too large"):
+        whiten(spark.createDataFrame([(1, [1e30], "")], SCHEMA))
+
+
+def test_deviations_beyond_long_are_exact():
+    rng = np.random.default_rng(4)
+    for high, n in ((1000, 50), (10**9, 10**7), (2**51, 10**6)):
+        x = rng.integers(-high, high, size=(3, 5))
+        sums = [int(v) for v in rng.integers(-high, high, size=5) * n]
+        want = [sum((n * v - s) ** 2 for v, s in zip(row, sums)) for row in x.tolist()]
+        assert _deviations(x, n, sums) == want
+        assert Decimal(want[0]) == Fraction(want[0])
+
+
+def test_passes_do_not_depend_on_the_starting_vector(spark):
+    data = np.random.default_rng(9).normal(size=(120, 16)) * np.geomspace(1, 0.1, 16)
+    rows = spark.createDataFrame([(r.tolist(),) for r in _whole(data)], "x array<long>")
+    one, two = fit(rows, seed=1), fit(rows, seed=2)
+    assert np.allclose(one.values, two.values, rtol=1e-12)
+    assert np.allclose(np.abs(np.sum(one.components * two.components, axis=1)), 1, atol=1e-12)
