@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.bytebpe import round_trips
 from clickloom.llm.exact_dedup import exact_dedup
+from clickloom.llm.hard_negatives import mine_hard_negatives
 from clickloom.llm.language_id import identify_languages, train
 from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
@@ -366,3 +367,33 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
         "explained",
         "identity_error",
     )
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH v AS (SELECT vec_id,
+                      CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+                   embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                 list_dot_product(a.q, b.q)::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+    n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY anchor_id, positive_id
+                                    ORDER BY s.score DESC, s.id) AS rank
+          FROM p JOIN s USING (anchor_id)
+          WHERE NOT same AND 80 * positive_score <= 100 * score
+            AND 100 * score <= 100 * positive_score)
+    SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 5
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _embeddings(spark, folder, "label").withColumn("label", changed)
+    return mine_hard_negatives(vectors).drop("positive_rank")

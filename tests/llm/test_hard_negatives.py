@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm.hard_negatives import (
+    mine_hard_negatives,
+    packed_planes,
+    scores,
+    subset_sums,
+    unpacked,
+)
+
+SCHEMA = "vec_id long, embedding array<float>, label int, place int"
+
+
+def plain(rows, every):
+    """(anchor, positive, rank, negative, scores) by all pairs; rows in order of place."""
+    whole = [
+        (i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v], k)
+        for i, v, k, _ in rows
+        if k is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    high = 2**63
+    out = []
+    for at, (anchor, v, kind) in enumerate(whole):
+        if anchor is None or anchor % every:
+            continue
+        scored = sorted(
+            (-sum(a * b for a, b in zip(v, w)), high if i is None else i, n, other == kind)
+            for n, (i, w, other) in enumerate(whole)
+            if n != at
+        )
+        for s, i, _, _ in [x for x in scored if x[3]][:5]:
+            near = [x for x in scored if not x[3] and 80 * -s <= 100 * -x[0] <= 100 * -s][:5]
+            for rank, x in enumerate(near, 1):
+                found = [None if j == high else j for j in (i, x[1])]
+                out.append((anchor, found[0], rank, found[1], -s, -x[0]))
+    return sorted(out, key=repr)
+
+
+def mined(docs, every, **options):
+    got = mine_hard_negatives(docs, every, **options)
+    names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted((tuple(r) for r in got.select(names).collect()), key=repr)
+
+
+def test_looked_up_scores_are_inner_products():
+    rng = np.random.default_rng(0)
+    for width, high in ((1, 3), (8, 150), (13, 2**20), (64, 200)):
+        a, c = (rng.integers(-high, high, size=(n, width)) for n in (7, 40))
+        planes = int(high).bit_length() + 1
+        assert (unpacked(packed_planes(c, planes))[:, :width] == c).all()
+        tables = subset_sums(unpacked(packed_planes(a, planes)))
+        assert tables.shape == (-(-width // 8), 256, 7)
+        assert (scores(tables, packed_planes(c, planes)) == c @ a.T).all()
+
+
+@pytest.mark.parametrize("held", [3, 4096])
+def test_equal_to_all_pairs(spark, held):
+    rng = random.Random(4)
+    made = [[rng.choice([-0.4, 0.0, 0.1, 0.11, 0.5]) for _ in range(11)] for _ in range(60)]
+    # a third of all rows share one vector, labels are few: ties everywhere
+    rows = [(i, made[0 if i % 3 == 0 else i % 60], i % 5 % 3, i) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4, "place").sortWithinPartitions("place")
+    want = plain(rows, 10)
+    assert len(want) > 300
+    assert mined(docs, 10, held=held) == want
+
+
+def test_odd_rows(spark):
+    nan = float("nan")
+    one, two = [0.5, 0.25, 0.125], [0.5, 0.2, 0.125]
+    rows = [(0, one, 1, 0), (0, one, 1, 1), (None, one, 1, 2), (None, two, 2, 3), (5, two, 2, 4)]
+    rows += [(10, None, 1, 5), (20, [nan, 0.0, 0.0], 1, 6), (30, [None, 0.0, 0.0], 2, 7)]
+    rows += [(40, one, None, 8), (7, two, 2, 9), (7, two, 2, 10), (50, [-0.5] * 3, 3, 11)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    want = plain(rows, 10)
+    # both rows of id 0 are anchors, and positives of each other
+    assert {x[0] for x in want} == {0} and {x[1] for x in want} == {0, None}
+    assert {x[3] for x in want} == {5, 7, None}
+    assert mined(docs, 10) == want
+    assert mined(docs.limit(0), 10) == [] and mined(docs.where("vec_id = 5"), 10) == []
+    clash = docs.withColumns({"id": F.lit("a"), "planes": F.lit(1), "x": F.lit(2)})
+    assert mined(clash, 10) == want
+
+
+def test_empty_and_large_vectors(spark):
+    empty = spark.createDataFrame([(0, [], 1, 0), (1, [], 1, 1), (2, [], 2, 2)], SCHEMA)
+    assert mined(empty, 10) == [(0, 1, 1, 2, 0, 0)]
+    large = [(0, [3e5, 1.0], 1, 0), (1, [2e5, 1.0], 1, 1), (2, [1.9e5, -5.0], 2, 2)]
+    assert mined(spark.createDataFrame(large, SCHEMA), 10) == plain(large, 10) != []
+    with pytest.raises(ValueError, match="too large"):
+        mined(spark.createDataFrame([(0, [3e9], 1, 0)], SCHEMA), 10)
+    with pytest.raises(ValueError, match="no inner product"):
+        mined(spark.createDataFrame([(0, [3.0], 1, 0), (1, [3.0, 1.0], 1, 0)], SCHEMA), 10)
