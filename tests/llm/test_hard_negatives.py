@@ -91,7 +91,7 @@ def test_odd_rows(spark):
 def test_empty_and_large_vectors(spark):
     empty = spark.createDataFrame([(0, [], 1, 0), (1, [], 1, 1), (2, [], 2, 2)], SCHEMA)
     assert mined(empty, 10) == [(0, 1, 1, 2, 0, 0)]
-    large = [(0, [3e5, 1.0], 1, 0), (1, [2e5, 1.0], 1, 1), (2, [1.9e5, -5.0], 2, 2)]
+    large = [(0, [1e5, 1.0], 1, 0), (1, [9e4, 1.0], 1, 1), (2, [8e4, -5.0], 2, 2)]
     assert mined(spark.createDataFrame(large, SCHEMA), 10) == plain(large, 10) != []
     with pytest.raises(ValueError, match="too large"):
         mined(spark.createDataFrame([(0, [3e9], 1, 0)], SCHEMA), 10)
