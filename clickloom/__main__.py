@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickloom.plans import run_session_analysis, start_ad_monitor
 from clickloom.schemas import BLACKLIST_THRESHOLD, SAMPLE_TOTAL
 from clickloom.session import build_session
-from clickloom.sinks import FOLD_EVERY, jdbc_results, parquet_results
+from clickloom.sinks import CROWDED, jdbc_results, parquet_results
 from clickloom.sources import load_task, read_file_lines, read_jdbc, read_kafka_lines
 from clickloom.sources.adlog import AHEAD
 from clickloom.streaming import AVAILABLE_NOW
@@ -52,7 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     monitor.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD)
     monitor.add_argument("--ahead", default=AHEAD, help="how far a click may be in the future")
     monitor.add_argument(
-        "--fold-every", type=int, default=FOLD_EVERY, help="micro-batches between folds"
+        "--rewrite-every", type=int, default=CROWDED, help="files of a date that make it rewritten"
     )
     monitor.add_argument("--available-now", action="store_true", help="stop at the input's end")
     return parser
@@ -97,7 +97,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         args.ahead,
         "timestamp" if args.servers else None,
         trigger,
-        args.fold_every,
+        args.rewrite_every,
     )
     if args.available_now:
         for query in queries:

@@ -5,6 +5,7 @@ A click has ``ts``, ``user_id`` and ``ad_id``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -77,14 +78,16 @@ def without_blacklisted(
     return keep_or_drop(clicks, blacklist, "user_id", "left_anti", salts)
 
 
-def accumulated_counts(batch_counts: DataFrame, totals: DataFrame) -> DataFrame:
+def accumulated_counts(
+    batch_counts: DataFrame, totals: DataFrame, keys: Sequence[str] = _DAY_KEY
+) -> DataFrame:
     """New totals of the keys of a batch: their stored total, if any, plus the batch count.
 
     One equi-join looks up all keys of the batch.
     """
-    stored = totals.select(*_DAY_KEY, F.col("click_count").alias("_stored"))
-    return batch_counts.join(stored, list(_DAY_KEY), "left").select(
-        *_DAY_KEY,
+    stored = totals.select(*keys, F.col("click_count").alias("_stored"))
+    return batch_counts.join(stored, list(keys), "left").select(
+        *keys,
         (F.col("click_count") + F.coalesce("_stored", F.lit(0).cast("bigint"))).alias(
             "click_count"
         ),

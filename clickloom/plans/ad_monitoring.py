@@ -13,7 +13,7 @@ from clickloom.schemas import (
     AD_USER_CLICK_COUNT,
     BLACKLIST_THRESHOLD,
 )
-from clickloom.sinks import FOLD_EVERY, BatchStore
+from clickloom.sinks import CROWDED, TotalsTable
 from clickloom.sources.adlog import AHEAD, parse_ad_log, rejected_lines, valid_clicks
 from clickloom.streaming.jobs import start_ad_trend, start_daily_counts, start_rejected_copy
 
@@ -26,15 +26,15 @@ class AdMonitor:
     root: str
 
     @property
-    def counts(self) -> BatchStore:
+    def counts(self) -> TotalsTable:
         return click_count_store(self.spark, f"{self.root}/ad_user_click_count")
 
     @property
-    def listed(self) -> BatchStore:
+    def listed(self) -> TotalsTable:
         return blacklist_store(self.spark, f"{self.root}/ad_blacklist")
 
     @property
-    def trend(self) -> BatchStore:
+    def trend(self) -> TotalsTable:
         return trend_store(self.spark, f"{self.root}/ad_click_trend")
 
     @property
@@ -57,18 +57,18 @@ class AdMonitor:
         return self.trend.table(dates=dates)
 
 
-def click_count_store(spark: SparkSession, path: str) -> BatchStore:
+def click_count_store(spark: SparkSession, path: str) -> TotalsTable:
     keys = ("date", "user_id", "ad_id")
-    return BatchStore(spark, path, AD_USER_CLICK_COUNT, keys, "click_count", "date")
+    return TotalsTable(spark, path, AD_USER_CLICK_COUNT, keys, "click_count", "date")
 
 
-def blacklist_store(spark: SparkSession, path: str) -> BatchStore:
-    return BatchStore(spark, path, AD_BLACKLIST, ("user_id",))
+def blacklist_store(spark: SparkSession, path: str) -> TotalsTable:
+    return TotalsTable(spark, path, AD_BLACKLIST, ("user_id",))
 
 
-def trend_store(spark: SparkSession, path: str) -> BatchStore:
+def trend_store(spark: SparkSession, path: str) -> TotalsTable:
     keys = ("date", "hour", "minute", "ad_id")
-    return BatchStore(spark, path, AD_CLICK_TREND, keys, "click_count", "date")
+    return TotalsTable(spark, path, AD_CLICK_TREND, keys, "click_count", "date")
 
 
 def start_ad_monitor(
@@ -78,7 +78,7 @@ def start_ad_monitor(
     ahead: str = AHEAD,
     arrival: str | None = None,
     trigger: dict | None = None,
-    fold_every: int = FOLD_EVERY,
+    rewrite_every: int = CROWDED,
 ) -> list[StreamingQuery]:
     """Start the day counts with blacklist, the trend over all clicks, and the rejects.
 
@@ -95,10 +95,10 @@ def start_ad_monitor(
             monitor.checkpoint("daily_counts"),
             threshold,
             trigger,
-            fold_every,
+            rewrite_every,
         ),
         start_ad_trend(
-            clicks, monitor.trend, monitor.checkpoint("ad_trend"), trigger, fold_every
+            clicks, monitor.trend, monitor.checkpoint("ad_trend"), trigger, rewrite_every
         ),
         start_rejected_copy(
             rejected_lines(parsed),

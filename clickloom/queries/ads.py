@@ -6,6 +6,8 @@ threshold here.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from clickloom.queries import model
 from clickloom.queries.model import CLICKS_SQL, EVENTS_SQL, LINES_SQL, with_sql
 from clickloom.queries.registry import query
 from clickloom.session import new_work_dir
-from clickloom.sinks import BatchStore
+from clickloom.sinks import TotalsTable
 from clickloom.sources import format_ad_log, parse_ad_log, rejected_lines, valid_clicks
 
 THRESHOLD = 2
@@ -171,8 +173,8 @@ def blacklist_filter(spark: SparkSession, folder: str) -> DataFrame:
 def blacklist_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The list as written by one batch and read by the next."""
     listed = blacklist_store(spark, new_work_dir(spark, "ad_blacklist"))
-    listed.write(distinct_blacklist_users(spark, folder), 0)
-    return listed.table(before=1)
+    listed.add(distinct_blacklist_users(spark, folder))
+    return listed.table()
 
 
 @query("append_blacklist", BASE_SQL + "SELECT user_id FROM listed")
@@ -181,21 +183,32 @@ def append_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     listed = blacklist_store(spark, new_work_dir(spark, "ad_blacklist"))
     clicks = model.clicks(spark, folder)
     mornings = ops.daily_user_ad_clicks(clicks.where(F.hour("ts") < 12))
-    listed.write(ops.blacklist_users(mornings, THRESHOLD), 0)
+    listed.add(ops.blacklist_users(mornings, THRESHOLD))
     everyone = ops.blacklist_users(ops.daily_user_ad_clicks(clicks), THRESHOLD)
-    listed.write(ops.without_blacklisted(everyone, listed.table(before=1)), 1)
-    return listed.read().select("user_id")
+    listed.add(ops.without_blacklisted(everyone, listed.table()))
+    return listed.read()
 
 
 # ---- keyed tables ----
 
 
-def _half_day_counts(spark: SparkSession, folder: str) -> BatchStore:
+def _upsert(table: TotalsTable, counts: DataFrame) -> None:
+    """Add counts to the totals of their keys, looked up by one join over their dates only."""
+    dates = sorted(r.date for r in counts.select("date").distinct().collect())
+    stored = table.table(dates=dates)
+    table.add(ops.accumulated_counts(counts, stored, table.keys))
+
+
+def _half_day_counts(
+    spark: SparkSession, folder: str, between: Callable[[TotalsTable], None] | None = None
+) -> TotalsTable:
     """Day counts added by two batches, the mornings' clicks and the rest."""
     counts = click_count_store(spark, new_work_dir(spark, "ad_user_click_count"))
     clicks = model.clicks(spark, folder)
-    for batch_id, part in enumerate((F.hour("ts") < 12, F.hour("ts") >= 12)):
-        counts.write(ops.daily_user_ad_clicks(clicks.where(part)), batch_id)
+    for part in (F.hour("ts") < 12, F.hour("ts") >= 12):
+        _upsert(counts, ops.daily_user_ad_clicks(clicks.where(part)))
+        if between is not None:
+            between(counts)
     return counts
 
 
@@ -206,11 +219,12 @@ def upsert_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("folded_user_click_count", BASE_SQL + _DAILY)
 def folded_user_click_count(spark: SparkSession, folder: str) -> DataFrame:
-    """The first batch folded, the second not, then both."""
-    counts = _half_day_counts(spark, folder)
-    counts.fold(before=1)
-    counts.fold(before=2)
-    return counts.table()
+    """Every date is rewritten with one row per key after either batch."""
+
+    def rewrite(counts: TotalsTable) -> None:
+        counts.rewrite(counts.crowded_dates(files=1))
+
+    return _half_day_counts(spark, folder, rewrite).read()
 
 
 @query(
@@ -232,8 +246,8 @@ def upsert_ad_click_trend(spark: SparkSession, folder: str) -> DataFrame:
     """Minutes whose clicks come in two batches."""
     trend = trend_store(spark, new_work_dir(spark, "ad_click_trend"))
     clicks = model.clicks(spark, folder)
-    for batch_id, part in enumerate((F.second("ts") < 30, F.second("ts") >= 30)):
-        trend.write(ops.ad_minute_clicks(clicks.where(part)), batch_id)
+    for part in (F.second("ts") < 30, F.second("ts") >= 30):
+        _upsert(trend, ops.ad_minute_clicks(clicks.where(part)))
     return trend.table()
 
 

@@ -20,7 +20,6 @@ from clickloom.queries.ads import BASE_SQL, MINUTELY_SQL, THRESHOLD, replay_sql
 from clickloom.queries.model import CLICKS_SQL, EVENTS_SQL, LINES_SQL, with_sql
 from clickloom.queries.registry import query
 from clickloom.session import new_work_dir
-from clickloom.sinks import BatchStore
 from clickloom.sources import parse_ad_log, read_file_lines, rejected_lines, valid_clicks
 from clickloom.streaming import (
     AVAILABLE_NOW,
@@ -100,24 +99,22 @@ def stream_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(f"{work}/rejected").withColumnRenamed("value", "line")
 
 
-def _filtered_store(
+def _filtered_clicks(
     spark: SparkSession, folder: str, part: Column, listed: DataFrame | None
 ) -> DataFrame:
     work = new_work_dir(spark, "stream_filtered_clicks")
     blacklist = blacklist_store(spark, f"{work}/blacklist")
     if listed is not None:
-        blacklist.write(listed, 0)
-    stores = []
+        blacklist.add(listed)
 
     def start(lines: DataFrame) -> StreamingQuery:
         clicks = valid_clicks(parse_ad_log(lines))
-        stores.append(BatchStore(spark, f"{work}/clicks", clicks.schema))
         return start_filtered_clicks(
-            clicks, blacklist, stores[-1], f"{work}/checkpoint", AVAILABLE_NOW
+            clicks, blacklist, f"{work}/clicks", f"{work}/checkpoint", AVAILABLE_NOW
         )
 
     _run_parts(spark, folder, work, part, start)
-    return stores[-1].read()
+    return spark.read.parquet(f"{work}/clicks").withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
 @query(
@@ -128,7 +125,7 @@ def _filtered_store(
 )
 def stream_micro_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Clicks per micro-batch."""
-    rows = _filtered_store(spark, folder, by_days(), None)
+    rows = _filtered_clicks(spark, folder, by_days(), None)
     return rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("click_count"))
 
 
@@ -138,8 +135,8 @@ def stream_micro_batch(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_blacklist_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = blacklist_users(daily_user_ad_clicks(model.clicks(spark, folder)), THRESHOLD)
-    rows = _filtered_store(spark, folder, by_days(), listed)
-    return _with_millis(rows).drop("batch_id")
+    rows = _filtered_clicks(spark, folder, by_days(), listed)
+    return _with_millis(rows).drop("run", "batch_id")
 
 
 def _monitored(
@@ -163,7 +160,7 @@ def _monitored(
             monitor.checkpoint(starts[-1]),
             threshold,
             AVAILABLE_NOW,
-            fold_every=2,
+            rewrite_every=2,
         )
 
     _run_parts(spark, folder, work, part, start, apart=restart)
@@ -207,7 +204,7 @@ def stream_ad_trend(spark: SparkSession, folder: str) -> DataFrame:
             monitor.trend,
             monitor.checkpoint("ad_trend"),
             AVAILABLE_NOW,
-            fold_every=2,
+            rewrite_every=2,
         )
 
     _run_parts(spark, folder, work, by_days(), start)

@@ -1,4 +1,4 @@
-"""Writers: appended result tables, and tables written per micro-batch."""
+"""Writers: appended result tables, and tables of running totals."""
 
 from clickloom.sinks.append import (
     ResultWriter,
@@ -8,12 +8,12 @@ from clickloom.sinks.append import (
     parquet_results,
     replace_task,
 )
-from clickloom.sinks.batches import FOLD_EVERY, BatchStore
+from clickloom.sinks.totals import CROWDED, TotalsTable
 
 __all__ = [
-    "FOLD_EVERY",
-    "BatchStore",
+    "CROWDED",
     "ResultWriter",
+    "TotalsTable",
     "append_jdbc",
     "append_table",
     "jdbc_results",

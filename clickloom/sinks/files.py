@@ -1,4 +1,4 @@
-"""Folders and small files through Hadoop's file system interface, whatever the storage."""
+"""Folders through Hadoop's file system interface, whatever the storage."""
 
 from __future__ import annotations
 
@@ -10,14 +10,6 @@ def _on(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a folder; none if there is no such folder."""
-    system, place = _on(spark, path)
-    if not system.exists(place):
-        return []
-    return sorted(status.getPath().getName() for status in system.listStatus(place))
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     system, place = _on(spark, path)
     return system.exists(place)
@@ -27,31 +19,3 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder or file with all below; nothing happens if there is none."""
     system, place = _on(spark, path)
     system.delete(place, True)
-
-
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename to a name not yet taken; the folder above it is made."""
-    system, place = _on(spark, source)
-    end = spark._jvm.org.apache.hadoop.fs.Path(target)
-    system.mkdirs(end.getParent())
-    if not system.rename(place, end):
-        raise OSError(f"{source} cannot be renamed to {target}")
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    system, place = _on(spark, path)
-    stream = system.open(place)
-    try:
-        size = system.getFileStatus(place).getLen()
-        return bytes(stream.readNBytes(int(size))).decode()
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    system, place = _on(spark, path)
-    stream = system.create(place, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()

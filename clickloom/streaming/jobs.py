@@ -1,14 +1,14 @@
-"""The streaming jobs: clicks in, tables written per micro-batch out.
+"""The streaming jobs: clicks in, tables out.
 
-Each micro-batch counts its own clicks and adds them to its tables, whatever their time, so
-no click is too late. The totals of the keys a batch touched are read from the tables, from
-the dates of the batch only. Clicks are partially counted before they are shuffled, so a hot
-user or ad is one row per task.
+Running totals are keyed state: a streaming aggregation without a watermark, whose state store
+holds the total of every key, so no click is too late and no batch reads a stored total. The
+totals a batch touched are appended to their table. A query with a new checkpoint has an empty
+state store; it begins with the totals of the table, read as a second stream in its first batch.
+Clicks are partially counted before they are shuffled, so a hot user or ad is one row per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from threading import Event
 
 from pyspark.sql import DataFrame
@@ -17,14 +17,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from clickloom.operators.adclicks import (
-    accumulated_counts,
-    ad_minute_clicks,
+    ad_day_key,
+    ad_minute_key,
     blacklist_users,
-    daily_user_ad_clicks,
+    trend_columns,
     without_blacklisted,
 )
 from clickloom.schemas import BATCH_SECONDS, BLACKLIST_THRESHOLD
-from clickloom.sinks import FOLD_EVERY, BatchStore
+from clickloom.sinks import CROWDED, TotalsTable
+from clickloom.sinks.files import exists
 
 EVERY_BATCH = {"processingTime": f"{BATCH_SECONDS} seconds"}
 AVAILABLE_NOW = {"availableNow": True}
@@ -36,23 +37,17 @@ def _writer(rows: DataFrame, checkpoint: str, trigger: dict | None) -> DataStrea
     )
 
 
-def _start(
-    rows: DataFrame,
-    checkpoint: str,
-    trigger: dict | None,
-    apply: Callable[[DataFrame, int], None],
-    *stores: BatchStore,
-) -> StreamingQuery:
-    """Start ``apply`` per micro-batch, with batch numbers that go on after what is stored."""
-    started, query = Event(), []
+def _running_totals(counted: DataFrame, table: TotalsTable, checkpoint: str) -> DataFrame:
+    """Totals of the keys of ``counted`` and of the table, as one stream.
 
-    def numbered(batch: DataFrame, batch_id: int) -> None:
-        started.wait()
-        apply(batch, stores[0].first_of_query(query[0].id, *stores[1:]) + batch_id)
-
-    query.append(_writer(rows, checkpoint, trigger).foreachBatch(numbered).start())
-    started.set()
-    return query[0]
+    What the table holds when a checkpoint is new lies beside the checkpoint from then on.
+    """
+    spark, seed = counted.sparkSession, f"{checkpoint}-seed"
+    if not exists(spark, f"{checkpoint}/offsets"):
+        table.table().select(*table.schema.names).write.mode("overwrite").parquet(seed)
+    seeds = spark.readStream.schema(table.schema).parquet(seed)
+    both = counted.select(*table.schema.names).unionByName(seeds)
+    return both.groupBy(*table.keys).agg(F.sum(table.value).alias(table.value))
 
 
 def start_click_copy(
@@ -71,79 +66,89 @@ def start_rejected_copy(
 
 def start_filtered_clicks(
     clicks: DataFrame,
-    blacklist: BatchStore,
-    target: BatchStore,
+    blacklist: TotalsTable,
+    path: str,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write the clicks of users who are not listed, against the list as it is at each batch.
 
-    A batch that runs again after it was written keeps what its first attempt wrote.
+    The table at ``path`` is partitioned by ``run``, the id of the query, and ``batch_id``. A
+    batch that runs again replaces what its first attempt wrote.
     """
+    started, query = Event(), []
 
     def keep_unlisted(batch: DataFrame, batch_id: int) -> None:
-        target.write(without_blacklisted(batch, blacklist.table()), batch_id)
+        started.wait()
+        kept = without_blacklisted(batch, blacklist.table())
+        kept = kept.withColumns({"run": F.lit(query[0].id), "batch_id": F.lit(batch_id)})
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "run", "batch_id"
+        ).parquet(path)
 
-    return _start(clicks, checkpoint, trigger, keep_unlisted, target)
+    query.append(_writer(clicks, checkpoint, trigger).foreachBatch(keep_unlisted).start())
+    started.set()
+    return query[0]
 
 
 def start_daily_counts(
     clicks: DataFrame,
-    counts: BatchStore,
-    blacklist: BatchStore,
+    counts: TotalsTable,
+    blacklist: TotalsTable,
     checkpoint: str,
     threshold: int = BLACKLIST_THRESHOLD,
     trigger: dict | None = None,
-    fold_every: int = FOLD_EVERY,
+    rewrite_every: int = CROWDED,
 ) -> StreamingQuery:
     """Keep clicks per day, user and ad, and the blacklist fed by them.
 
-    Each micro-batch, in this order: drops the clicks of users listed by earlier batches;
-    adds its counts to the count table; lists users one of whose totals reached the
-    threshold. A listed user's clicks stop counting from the next batch on.
+    Each micro-batch, in this order: leaves out the totals of users listed by earlier batches;
+    appends the others to the count table; lists users one of whose totals reached the
+    threshold. So the totals of a listed user stay as they were in the batch that listed the
+    user, and nobody is ever taken off the list.
 
-    Batch ``n`` reads only what batches before ``n`` wrote, and leaves what an earlier
-    attempt of ``n`` wrote, so it can run again. Every click counts for its own day,
-    however late it comes.
+    A batch that runs again has the same totals. Users its first attempt listed are left out,
+    but their totals were appended before they were listed. Every click counts for its own
+    day, however late it comes.
     """
+    one = ad_day_key(clicks).withColumn("click_count", F.lit(1).cast("bigint"))
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        for store in (counts, blacklist):
-            store.fold_if_due(batch_id, fold_every)
-        listed = blacklist.table(before=batch_id)
-        # counts, not clicks: a user has one row per day and ad here
-        counts.write(without_blacklisted(daily_user_ad_clicks(batch), listed), batch_id)
-        own = counts.batch(batch_id)
-        dates = [r.date for r in own.select("date").distinct().collect()]
-        if not dates:
-            return
-        keys = own.select("date", "user_id", "ad_id")
-        stored = counts.read(batch_id, dates).join(keys, keys.columns, "left_semi")
-        totals = stored.groupBy(*keys.columns).agg(F.sum("click_count").alias("click_count"))
-        found = blacklist_users(accumulated_counts(own, totals), threshold)
-        # most batches list nobody; they leave no folder to be read by every later batch
-        if not found.isEmpty():
-            blacklist.write(found, batch_id)
+        if batch_id % rewrite_every == rewrite_every - 1:
+            counts.rewrite(counts.crowded_dates(rewrite_every))
+        fresh = without_blacklisted(batch, blacklist.table()).persist()
+        try:
+            counts.add(fresh)
+            found = blacklist_users(fresh, threshold)
+            # most batches list nobody; they add no file to be read by every later batch
+            if not found.isEmpty():
+                blacklist.add(found)
+        finally:
+            fresh.unpersist()
 
     _require_utc(clicks)
-    return _start(clicks, checkpoint, trigger, apply_batch, counts, blacklist)
+    totals = _running_totals(one, counts, checkpoint)
+    return _writer(totals, checkpoint, trigger).outputMode("update").foreachBatch(apply_batch).start()
 
 
 def start_ad_trend(
     clicks: DataFrame,
-    trend: BatchStore,
+    trend: TotalsTable,
     checkpoint: str,
     trigger: dict | None = None,
-    fold_every: int = FOLD_EVERY,
+    rewrite_every: int = CROWDED,
 ) -> StreamingQuery:
-    """Keep clicks per minute and ad; each micro-batch adds what it has for its minutes."""
+    """Keep clicks per minute and ad; each micro-batch appends the totals it touched."""
+    one = ad_minute_key(clicks).withColumn("click_count", F.lit(1).cast("bigint"))
 
     def add_minutes(batch: DataFrame, batch_id: int) -> None:
-        trend.fold_if_due(batch_id, fold_every)
-        trend.write(ad_minute_clicks(batch), batch_id)
+        if batch_id % rewrite_every == rewrite_every - 1:
+            trend.rewrite(trend.crowded_dates(rewrite_every))
+        trend.add(batch)
 
     _require_utc(clicks)
-    return _start(clicks, checkpoint, trigger, add_minutes, trend)
+    totals = _running_totals(trend_columns(one), trend, checkpoint)
+    return _writer(totals, checkpoint, trigger).outputMode("update").foreachBatch(add_minutes).start()
 
 
 def _require_utc(clicks: DataFrame) -> None:

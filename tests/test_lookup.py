@@ -20,7 +20,7 @@ def test_lookup_covers_the_keys_of_all_afternoons(spark):
 
 def test_days_of_a_lookup_prune_partitions(spark, tmp_path):
     counts = click_count_store(spark, str(tmp_path / "counts"))
-    counts.write(ops.daily_user_ad_clicks(model.clicks(spark, FOLDER)), 0)
+    counts.add(ops.daily_user_ad_clicks(model.clicks(spark, FOLDER)))
     days = ["2024-01-10", "2024-01-11", "2024-01-12"]
     plan = counts.table(dates=days)._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line)

@@ -31,95 +31,66 @@ def test_append(spark, tmp_path, counts):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_batches_add_up_and_repeats_count_once(store, counts):
-    assert _table(store) == [] and store.last() == -1
-    store.write(counts(("d", 1, 1, 60), ("d", 2, 1, 1)), 9)
-    store.write(counts(("d", 1, 1, 40)), 10)
-    store.write(counts(("d", 1, 1, 40)), 10)
-    assert _table(store) == [("d", 1, 1, 100), ("d", 2, 1, 1)]
-    assert _table(store, before=10) == [("d", 1, 1, 60), ("d", 2, 1, 1)]
-    assert store.batch(10).count() == 1 and store.batches() == [9, 10]
-
-
-def test_folding_changes_no_total(store, counts):
-    everything = {}
-    for n in range(12):
-        day = f"2024-01-0{1 + n // 4}"
-        store.write(counts((day, n % 2, 1, 1), (day, 7, 1, 2)), n)
-        for user, more in ((n % 2, 1), (7, 2)):
-            everything[day, user, 1] = everything.get((day, user, 1), 0) + more
-        store.fold_if_due(n, every=3)
-        assert _table(store) == sorted((*k, v) for k, v in everything.items())
-    store.fold(before=12)
-    assert store.read().count() == len(everything)
-    assert _table(store, dates=["2024-01-02"]) == [
-        (*k, v) for k, v in sorted(everything.items()) if k[0] == "2024-01-02"
-    ]
-
-
-def test_folds_leave_other_dates_and_old_readers_alone(store, counts):
-    store.write(counts(("a", 1, 1, 1)), 0)
-    store.fold(before=1)
-    before = store.read()
-    store.write(counts(("b", 1, 1, 1)), 1)
-    store.fold(before=2)
-    assert store._manifest()["folds"] == {"a": 0, "b": 1}
-    # a reader that planned before the fold still finds its files
-    assert before.count() == 1
-
-
-def test_interrupted_writes_leave_no_trace(store, counts):
-    store.write(counts(("a", 1, 1, 1)), 0)
-    # a draft that was never renamed, a fold without its manifest
-    counts(("a", 1, 1, 5)).write.parquet(f"{store.path}/drafts/x")
-    counts(("a", 1, 1, 5)).write.partitionBy("date").parquet(f"{store.path}/folds/fold=7")
-    assert _table(store) == [("a", 1, 1, 1)]
-
-
-def test_folders_do_not_pile_up(store, counts):
-    rows = counts(("a", 1, 1, 1))
-    for n in range(200):
-        folder = Path(store.path) / f"batches/batch_id={n}/date=a"
-        if n == 0:
-            store.write(rows, 0)
-            model = next((Path(store.path) / "batches/batch_id=0/date=a").glob("*.parquet"))
-            kept = model.read_bytes()
-        else:
-            folder.mkdir(parents=True)
-            (folder / "part-0.parquet").write_bytes(kept)
-        store.fold_if_due(n + 1, every=20)
-        assert len(store.batches()) <= 41
-        assert len(list(Path(store.path).glob("folds/*/date=*"))) <= 3
-        assert len(list(Path(store.path).glob("manifests/*.json"))) <= 2
-    assert _table(store) == [("a", 1, 1, 200)]
+def _files(store, date=""):
+    return sorted(Path(store.path).glob(f"date={date}*/*.parquet"))
+
+
+def test_the_greatest_total_counts_and_repeats_change_nothing(store, counts):
+    assert _table(store) == []
+    store.add(counts(("d", 1, 1, 60), ("d", 2, 1, 1)))
+    store.add(counts(("d", 1, 1, 100), ("e", 1, 1, 7)))
+    store.add(counts(("d", 1, 1, 60)))
+    assert _table(store) == [("d", 1, 1, 100), ("d", 2, 1, 1), ("e", 1, 1, 7)]
+    assert _table(store, dates=["e"]) == [("e", 1, 1, 7)]
+
+
+def test_any_reader_gets_the_table(spark, store, counts):
+    store.add(counts(("2024-01-01", 1, 1, 60)))
+    store.add(counts(("2024-01-01", 1, 1, 61)))
+    got = spark.sql(
+        "SELECT date, user_id, ad_id, max(click_count) AS click_count"
+        f" FROM parquet.`{store.path}` GROUP BY ALL"
+    )
+    assert [(str(r.date), r.click_count) for r in got.collect()] == [("2024-01-01", 61)]
+
+
+def test_rewriting_changes_no_total_and_no_other_date(store, counts):
+    for n in range(1, 6):
+        store.add(counts(("a", 1, 1, n), ("b", 1, 1, n), ("b", 2, 1, 1)))
+    before = _table(store)
+    other = _files(store, "a")
+    assert store.crowded_dates(files=5) == ["a", "b"] and store.crowded_dates(files=6) == []
+    store.rewrite(["b"])
+    assert _table(store) == before and store.read().count() == 5 + 2
+    assert _files(store, "a") == other and len(_files(store, "b")) == 1
+    store.add(counts(("b", 1, 1, 9)))
+    assert ("b", 1, 1, 9) in _table(store)
+    store.rewrite([])
+
+
+def test_a_rewrite_that_fails_leaves_the_date(spark, store, counts):
+    store.add(counts(("a", 1, 1, 1)))
+    store.add(counts(("a", 1, 1, 2)))
+    files = _files(store)
+    files[0].write_bytes(b"no parquet file at all, so that the job fails")
+    with pytest.raises(Exception):
+        store.rewrite(["a"])
+    assert _files(store) == files
 
 
 def test_dates_are_pruned(store, counts):
-    store.write(counts(("a", 1, 1, 1), ("b", 1, 1, 1)), 0)
-    store.fold(before=1)
-    store.write(counts(("a", 1, 1, 1), ("b", 1, 1, 1)), 1)
+    store.add(counts(("a", 1, 1, 1), ("b", 1, 1, 2)))
     frame = store.table(dates=["b"])
     assert frame.collect()[0].click_count == 2
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters", 1)[1]
-    assert not any("/folds/" in f and "date=a" in f for f in frame.inputFiles())
 
 
 def test_users_are_kept_once(spark, tmp_path):
     store = blacklist_store(spark, str(tmp_path / "t"))
-    for batch, users in enumerate(([1, 2], [2], [])):
-        store.write(spark.createDataFrame([(u,) for u in users], AD_BLACKLIST), batch)
-    store.fold(before=2)
+    for users in ([1, 2], [2], []):
+        store.add(spark.createDataFrame([(u,) for u in users], AD_BLACKLIST))
     assert sorted(r.user_id for r in store.table().collect()) == [1, 2]
-    assert sorted(r.user_id for r in store.read().collect()) == [1, 2]
-
-
-def test_a_new_query_goes_on_after_what_is_stored(store, counts):
-    assert store.first_of_query("one") == 0
-    store.write(counts(("a", 1, 1, 1)), 0)
-    store.write(counts(("a", 1, 1, 1)), 1)
-    assert store.first_of_query("two") == 2
-    assert store.first_of_query("one") == 0 and store.first_of_query("two") == 2
 
 
 def test_work_dir(spark):

@@ -15,7 +15,6 @@ from clickloom.operators.adclicks import (
 from clickloom.plans import AdMonitor, start_ad_monitor
 from clickloom.plans.ad_monitoring import blacklist_store
 from clickloom.schemas import AD_BLACKLIST
-from clickloom.sinks import BatchStore
 from clickloom.sources import parse_ad_log, read_file_lines, valid_clicks
 from clickloom.streaming import (
     AVAILABLE_NOW,
@@ -43,7 +42,7 @@ class Feed:
     def clicks(self, folder: str = "lines"):
         return valid_clicks(parse_ad_log(read_file_lines(self.spark, f"{self.root}/{folder}")))
 
-    def count(self, threshold=100, checkpoint="daily_counts", folder="lines", fold=2) -> None:
+    def count(self, threshold=100, checkpoint="daily_counts", folder="lines", rewrite=2) -> None:
         start_daily_counts(
             self.clicks(folder),
             self.monitor.counts,
@@ -51,7 +50,7 @@ class Feed:
             self.monitor.checkpoint(checkpoint),
             threshold,
             AVAILABLE_NOW,
-            fold,
+            rewrite,
         ).awaitTermination()
 
     def counts(self) -> dict:
@@ -221,22 +220,45 @@ def test_a_new_checkpoint_goes_on(feed):
     assert feed.counts()["2024-01-01", 8, 1] == 5 and feed.listed() == [7, 8]
 
 
+def test_no_batch_reads_stored_totals(spark, feed):
+    """With the table out of the way the state store alone goes on."""
+    feed.add(*_lines(60))
+    feed.count()
+    kept = Path(feed.monitor.counts.path)
+    kept.rename(kept.with_name("elsewhere"))
+    feed.add(*_lines(39), *_lines(2, user=2))
+    feed.count()
+    assert feed.counts() == {("2024-01-01", 1, 1): 99, ("2024-01-01", 2, 1): 2}
+    assert feed.listed() == []
+
+
+def test_crowded_dates_are_rewritten_between_batches(feed):
+    for _ in range(6):
+        feed.add(*_lines(1), *_lines(1, user=2))
+        feed.count(rewrite=3)
+    folder = Path(feed.monitor.counts.path) / "date=2024-01-01"
+    assert len(list(folder.glob("*.parquet"))) < 6
+    assert feed.counts() == {("2024-01-01", 1, 1): 6, ("2024-01-01", 2, 1): 6}
+
+
 def test_filtered_clicks_see_the_list_of_each_batch(spark, feed):
     listed = blacklist_store(spark, f"{feed.root}/list")
 
-    def run():
-        clicks = feed.clicks()
-        target = BatchStore(spark, f"{feed.root}/clicks", clicks.schema)
+    path = f"{feed.root}/clicks"
+
+    def run(checkpoint="checkpoint"):
         start_filtered_clicks(
-            clicks, listed, target, f"{feed.root}/checkpoint", AVAILABLE_NOW
+            feed.clicks(), listed, path, f"{feed.root}/{checkpoint}", AVAILABLE_NOW
         ).awaitTermination()
-        return sorted((r.batch_id, r.user_id) for r in target.read().collect())
+        return sorted((r.batch_id, r.user_id) for r in spark.read.parquet(path).collect())
 
     feed.add(*_lines(1, user=1), *_lines(1, user=2))
     assert run() == [(0, 1), (0, 2)]
-    listed.write(spark.createDataFrame([(2,)], AD_BLACKLIST), 5)
+    listed.add(spark.createDataFrame([(2,)], AD_BLACKLIST))
     feed.add(*_lines(1, user=1), *_lines(1, user=2))
     assert run() == [(0, 1), (0, 2), (1, 1)]
+    # the batches of a new checkpoint do not replace those of the first
+    assert run("new") == [(0, 1), (0, 1), (0, 1), (0, 2), (1, 1)]
 
 
 def test_trend_equals_batch(spark, feed):
@@ -258,7 +280,7 @@ def test_trend_equals_batch(spark, feed):
             feed.monitor.trend,
             feed.monitor.checkpoint("ad_trend"),
             AVAILABLE_NOW,
-            fold_every=1,
+            rewrite_every=1,
         ).awaitTermination()
     batch = spark.createDataFrame(
         [(at.timestamp(), u, a) for at, u, a in everything], "at double, user_id long, ad_id long"
