@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +11,8 @@ from clickloom.operators.joins import keep_or_drop
 from clickloom.operators.sessions import session_texts
 from clickloom.schemas import SAMPLE_TOTAL, SESSION_DETAIL_COLUMNS
 
-# Hash buckets an hour is split into for the first ranking.
-RANK_BUCKETS = 64
+# Hash ranges an hour's sessions are counted in.
+RANK_BUCKETS = 256
 
 
 def _start_hour() -> Column:
@@ -48,17 +47,16 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 
 def sessions_per_day(per_hour: DataFrame) -> DataFrame:
     """Adds ``day_count``, the day's sum over its at most 24 hours."""
-    return per_hour.withColumn(
-        "day_count", F.sum("session_count").over(W.partitionBy("date"))
+    hours = F.collect_list(F.struct(*[c for c in per_hour.columns if c != "date"]))
+    days = per_hour.groupBy("date").agg(
+        F.sum("session_count").alias("day_count"), hours.alias("_hours")
+    )
+    return days.select("date", "day_count", F.inline("_hours")).select(
+        *per_hour.columns, "day_count"
     )
 
 
-def sample_quota(per_hour: DataFrame, total: int = SAMPLE_TOTAL) -> DataFrame:
-    """Sessions to draw per hour.
-
-    ``total`` is spread evenly over the days, a day's share over its hours by their
-    sessions; both are cut to whole numbers, so thin hours get none.
-    """
+def _with_quota(per_hour: DataFrame, total: int) -> DataFrame:
     # counting the days through session_count (never 0) keeps this subquery the same
     # aggregation as the main branch, so its exchange is reused
     days = F.count_distinct(F.when(F.col("session_count") > 0, F.col("date")))
@@ -68,10 +66,32 @@ def sample_quota(per_hour: DataFrame, total: int = SAMPLE_TOTAL) -> DataFrame:
         )
     ).scalar()
     share = F.col("session_count").cast("double") / F.col("day_count") * day_quota
-    return (
-        sessions_per_day(per_hour)
-        .withColumn("quota", F.least("session_count", F.floor(share).cast("bigint")))
-        .select("date", "hour", "session_count", "day_count", "quota")
+    return sessions_per_day(per_hour).withColumn(
+        "quota", F.least("session_count", F.floor(share).cast("bigint"))
+    )
+
+
+def sample_quota(per_hour: DataFrame, total: int = SAMPLE_TOTAL) -> DataFrame:
+    """Sessions to draw per hour.
+
+    ``total`` is spread evenly over the days, a day's share over its hours by their
+    sessions; both are cut to whole numbers, so thin hours get none.
+    """
+    return _with_quota(per_hour, total).select(
+        "date", "hour", "session_count", "day_count", "quota"
+    )
+
+
+def _last_range(ranges: Column, quota: Column) -> Column:
+    """The range in which the counts of (range, count) in order reach the quota."""
+    return F.aggregate(
+        ranges,
+        F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(-1).cast("bigint").alias("last")),
+        lambda so_far, x: F.struct(
+            (so_far["sum"] + x["n"]).alias("sum"),
+            F.when(so_far["sum"] < quota, x["range"]).otherwise(so_far["last"]).alias("last"),
+        ),
+        lambda so_far: so_far["last"],
     )
 
 
@@ -83,38 +103,38 @@ def sample_sessions(
 ) -> DataFrame:
     """Draws each hour's quota of sessions without replacement, reproducibly.
 
-    An hour's sessions are ranked by ``md5(seed, session id)``. Each gets its hour's quota
-    first, a row per hour of the data; sessions of hours without one are not ranked. The
-    first ranking is per (hour, hash bucket) and keeps a quota of each, the second ranks
-    what is left of an hour. So the result is exact and no task ever sorts a whole hour.
+    The sample of an hour are its sessions with the smallest ``md5(seed, session id)``. They
+    are first counted by hour and range of that hash, which also gives the hours' quotas and
+    the range in which each quota is reached. Sessions beyond it are dropped where they are
+    read; what is shuffled and sorted are the quotas and one range of each hour, a 256th of
+    it, whatever the number of sessions. No row is ranked by a window.
     """
-    quotas = sample_quota(sessions_per_hour(sessions), total).where("quota > 0")
-    order = [F.col("_key"), F.col("session_id")]
-    keyed = (
-        sessions.where(F.col("start_ts").isNotNull())
-        .select(
-            "session_id",
-            "start_ts",
-            *_date_and_hour("start_ts"),
-            F.md5(F.concat(F.lit(str(seed)), F.coalesce("session_id", F.lit("")))).alias("_key"),
-            # hour and bucket as one number: Spark sorts by the first column's value and
-            # looks at the texts only where it is equal
-            (
-                F.unix_seconds(F.date_trunc("hour", "start_ts")) * buckets
-                + F.pmod(F.xxhash64("session_id"), F.lit(buckets))
-            ).alias("_slot"),
-        )
-        .join(quotas.select("date", "hour", "quota"), ["date", "hour"])
+    key = F.md5(F.concat(F.lit(str(seed)), F.coalesce("session_id", F.lit(""))))
+    keyed = sessions.where(F.col("start_ts").isNotNull()).select(
+        "session_id", "start_ts", _start_hour().alias("_hour"), key.alias("_key")
     )
-    rank = F.col("_rank")
-    return (
-        keyed.withColumn("_rank", F.row_number().over(W.partitionBy("_slot").orderBy(*order)))
-        .where((rank <= total) & (rank <= F.col("quota")))
-        .withColumn(
-            "_rank", F.row_number().over(W.partitionBy("date", "hour").orderBy(*order))
-        )
-        .where((rank <= total) & (rank <= F.col("quota")))
-        .select("session_id", "start_ts", "date", "hour")
+    # the first 32 bits of the hash order like the whole
+    high = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint")
+    keyed = keyed.withColumn("_range", F.shiftright(high * buckets, 32))
+    counts = keyed.groupBy("_hour", "_range").agg(F.count(F.lit(1)).alias("n"))
+    ranges = F.sort_array(F.collect_list(F.struct(F.col("_range").alias("range"), "n")))
+    per_hour = (
+        counts.groupBy("_hour")
+        .agg(F.sum("n").alias("session_count"), ranges.alias("_ranges"))
+        .select(*_date_and_hour("_hour"), "_hour", "session_count", "_ranges")
+    )
+    quotas = (
+        _with_quota(per_hour, total)
+        .where("quota > 0")
+        .select("_hour", "quota", _last_range(F.col("_ranges"), F.col("quota")).alias("_last"))
+    )
+    found = keyed.join(quotas, "_hour").where(F.col("_range") <= F.col("_last"))
+    drawn = found.groupBy("_hour").agg(
+        F.min("quota").cast("int").alias("_quota"),
+        F.sort_array(F.collect_list(F.struct("_key", "session_id", "start_ts"))).alias("_rows"),
+    )
+    return drawn.select("_hour", F.inline(F.slice("_rows", F.lit(1), F.col("_quota")))).select(
+        "session_id", "start_ts", *_date_and_hour("_hour")
     )
 
 
