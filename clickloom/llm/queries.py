@@ -25,8 +25,11 @@ from clickloom.llm.quality_rules import (
 )
 from clickloom.llm.registry import QUERIES, SQL, query
 from clickloom.llm.secret_scan import (
+    APART,
+    CLASSES,
     FIRST_LOOK,
     KINDS,
+    PADDED,
     PATTERNS,
     REACH,
     base_spans,
@@ -186,9 +189,12 @@ def _secret_sql() -> str:
         f" regexp_split_to_array(t, {_quoted(pattern)}) AS gaps,"
         f" regexp_extract_all(t, {_quoted(pattern)}, 0) AS hits,"
         f" regexp_extract_all(t, {_quoted(pattern)}, {group}) AS counted"
-        f" FROM flagged WHERE regexp_matches(t, {_quoted(pattern)})"
+        f" FROM (SELECT doc_id, {_quoted(' ') + ' ||' if name == PADDED else ''} t AS t FROM flagged)"
+        f" WHERE regexp_matches(t, {_quoted(pattern)})"
         for name, (pattern, group) in PATTERNS.items()
     )
+    mixed = " AND ".join(f"regexp_matches(counted[i], {_quoted(c)})" for c in CLASSES)
+    apart = ", ".join(map(_quoted, APART))
     kinds = ", ".join(
         f"({_quoted(kind)}, {rank}, {_quoted(name)}, {least}, {most or 2**31 - 1},"
         f" {_quoted(side)}, {weak})"
@@ -199,17 +205,23 @@ def _secret_sql() -> str:
                      WHERE regexp_matches(coalesce(text, ''), {_quoted(FIRST_LOOK)})),
     found AS ({found}),
     one AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found),
-    placed AS (SELECT doc_id, name, length(counted[i]) AS counted, length(hits[i]) AS size,
-                      list_sum(list_transform(gaps[1:i], lambda x: length(x)))
-                      + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)
-                      AS start FROM one),
+    told AS (SELECT doc_id, name, length(counted[i]) AS counted, length(hits[i]) AS size,
+                    list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                    + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)
+                    AS start FROM one WHERE name <> {_quoted(PADDED)} OR ({mixed})),
+    placed AS (SELECT doc_id, name, counted,
+                      CASE WHEN name = {_quoted(PADDED)} THEN counted ELSE size END AS size,
+                      CASE WHEN name = {_quoted(PADDED)} THEN start + size - counted - 1
+                           ELSE start END AS start FROM told),
     kinds(kind, rank, name, least, most, side, weak) AS (VALUES {kinds}),
     parts AS (SELECT doc_id, kind, rank, side, weak, start::BIGINT AS s,
                      (start + size)::BIGINT AS e
               FROM placed JOIN kinds USING (name) WHERE counted BETWEEN least AND most),
     shown AS (SELECT * FROM parts p WHERE NOT weak OR EXISTS (
                   SELECT 1 FROM parts q WHERE q.doc_id = p.doc_id AND q.side <> p.side
-                  AND q.s < p.e + {REACH} AND q.e > p.s - {REACH})),
+                  AND q.s < p.e + {REACH} AND q.e > p.s - {REACH}
+                  AND (p.kind NOT IN ({apart}) AND q.kind NOT IN ({apart})
+                       OR q.e <= p.s OR q.s >= p.e))),
     listed AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
                       count(*) FILTER (kind = 'access') AS n_access,
                       count(*) FILTER (kind = 'hex') AS n_hex,

@@ -2,10 +2,12 @@
 
 Every part of a credential is a span of a text: a secret (assigned values, hexadecimal runs),
 an access identifier (key ids, login names) or an endpoint (URLs). The three base kinds are
-reported wherever they stand. The weak kinds mean nothing alone: a short password or a short
-hexadecimal run is reported when an identifier or endpoint stands in its scope, a login name
-or an endpoint when a secret does. The scope of a part reaches ``reach`` code points to both
-sides. Linking is an interval join: parts are cut into bins of positions and joined within
+reported wherever they stand. The weak kinds mean nothing alone: a short password, a short
+hexadecimal run, a value whose name ends in ``_key`` or begins with ``secret_``, or a long token
+of small and capital letters and digits is reported when an identifier or endpoint stands in
+its scope, a login name or an endpoint when a secret does. The scope of a part reaches
+``reach`` code points to both sides; of the last two kinds the partner has to stand apart, as a
+token inside a URL is a part of that URL. Linking is an interval join: parts are cut into bins of positions and joined within
 (text, bin). Only DataFrame expressions are used.
 """
 
@@ -31,6 +33,9 @@ _WORDS = "|".join(any_case(w) for w in ("password", "passwd", "secret", "token",
 _NAMES = "|".join(any_case(w) for w in ("username", "user", "login", "client_id", "account_id"))
 _SCHEMES = "https?|ftps?|sftp|ssh|jdbc|postgres(?:ql)?|mysql|redis|mongodb|amqps?|s3"
 
+_KEY, _SECRET = any_case("_key"), any_case("secret_")
+_TOKEN = r"[A-Za-z0-9+/_=-]"
+
 # pattern and the group whose length counts, for each way a part is found
 PATTERNS = {
     "assign": (rf"({_WORDS}){_IS}([A-Za-z0-9+/_.=-]+)", 2),
@@ -38,7 +43,15 @@ PATTERNS = {
     "hex": (r"[0-9a-f]{16,}", 0),
     "login": (rf"({_NAMES}){_IS}([A-Za-z0-9@._-]{{3,}})", 2),
     "endpoint": (rf"(?:{_SCHEMES})://[^\x00-\x20\"'<>]{{4,}}", 0),
+    "named": (
+        rf"(?:[A-Za-z0-9_]{{0,40}}{_KEY}|{_SECRET}[A-Za-z0-9_]{{1,40}}){_IS}({_TOKEN}{{8,}})",
+        1,
+    ),
+    # looked for in the text with a space before it; the part is the group alone
+    "mixed": (rf"[\x20\x09-\x0D\"'=:,(\[]([A-Za-z0-9+]{_TOKEN}{{19,}})", 1),
 }
+PADDED = "mixed"
+CLASSES = ("[a-z]", "[A-Z]", "[0-9]")
 # kind: (pattern it comes from, least and greatest length that counts, class, weak), in the
 # order in which kinds that start together are listed
 KINDS = {
@@ -49,10 +62,17 @@ KINDS = {
     "run": ("hex", 16, 31, "secret", True),
     "login": ("login", 3, None, "partner", True),
     "endpoint": ("endpoint", 4, None, "partner", True),
+    "named": ("named", 8, None, "secret", True),
+    "mixed": ("mixed", 20, None, "secret", True),
 }
+# kinds that link only with a partner they do not overlap
+APART = ("named", "mixed")
 BASE = [kind for kind, (*_, weak) in KINDS.items() if not weak]
 # without one of these a text has no base kind and no secret, so nothing to report
-FIRST_LOOK = rf"(?:{_WORDS}){_IS}[A-Za-z0-9+/_.=-]{{4}}|AKIA[A-Z0-9]{{12}}|[0-9a-f]{{16}}"
+FIRST_LOOK = (
+    rf"(?:{_WORDS}){_IS}[A-Za-z0-9+/_.=-]{{4}}|AKIA[A-Z0-9]{{12}}|[0-9a-f]{{16}}|{_TOKEN}{{20}}"
+    rf"|(?:{_KEY}|{_SECRET}[A-Za-z0-9_]{{1,40}}){_IS}{_TOKEN}{{8}}"
+)
 
 SPANS = "array<struct<start:bigint,kind:string,end:bigint>>"
 
@@ -60,6 +80,8 @@ SPANS = "array<struct<start:bigint,kind:string,end:bigint>>"
 def _found(text: Column, name: str) -> Column:
     """Matches of a pattern in order: length of the text before each, its length, its group's."""
     pattern, group = PATTERNS[name]
+    padded = name == PADDED
+    text = F.concat(F.lit(" "), text) if padded else text
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
     zipped = F.arrays_zip(
@@ -71,11 +93,19 @@ def _found(text: Column, name: str) -> Column:
             F.lit(name).alias("name"),
             F.char_length(x["gap"]).cast("long").alias("gap"),
             F.char_length(x["hit"]).cast("long").alias("size"),
-            F.char_length(x["counted"]).alias("counted"),
+            F.char_length(x["counted"]).cast("long").alias("counted"),
+            all_classes(x["counted"]).alias("all") if padded else F.lit(True).alias("all"),
         ),
     )
 
 
+def all_classes(token: Column) -> Column:
+    found = F.lit(True)
+    for some in CLASSES:
+        found = found & token.rlike(some)
+    return found
+
+
 def _parts(texts: DataFrame) -> DataFrame:
     """(place, start, end, kind, rank, side, weak) of all parts of (place, text)."""
     found = texts.select(
@@ -84,7 +114,17 @@ def _parts(texts: DataFrame) -> DataFrame:
     ).select("place", "pos", "col.*")
     so_far = Window.partitionBy("place", "name").orderBy("pos")
     end = F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(so_far)
-    spans = found.withColumn("end", end).where(F.col("size").isNotNull())
+    padded = F.col("name") == PADDED
+    spans = (
+        found.withColumn("end", end)
+        .where(F.col("size").isNotNull() & F.col("all"))
+        .withColumns(
+            {
+                "end": F.col("end") - F.when(padded, 1).otherwise(0),
+                "size": F.when(padded, F.col("counted")).otherwise(F.col("size")),
+            }
+        )
+    )
     kinds = F.filter(
         F.array(
             *[
@@ -127,6 +167,11 @@ def _linked(parts: DataFrame, reach: int) -> DataFrame:
         & (F.col("s.bin") == F.col("p.bin"))
         & (F.col("p.start") < F.col("s.end") + reach)
         & (F.col("p.end") > F.col("s.start") - reach)
+        & (
+            ~F.col("s.kind").isin(*APART)
+            | (F.col("p.end") <= F.col("s.start"))
+            | (F.col("p.start") >= F.col("s.end"))
+        )
     )
     weak_secrets = s.where("weak").join(p, near, "left_semi")
     weak_partners = p.where("weak").join(s, near, "left_semi")

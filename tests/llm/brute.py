@@ -55,6 +55,19 @@ _PARTS = {
         ),
         0,
     ),
+    "named": (
+        re.compile(
+            f"(?a:(?:[A-Za-z0-9_]{{0,40}}_(?i:key)|(?i:secret_)[A-Za-z0-9_]{{1,40}}){_IS}"
+            "([A-Za-z0-9+/_=-]{8,}))"
+        ),
+        1,
+    ),
+    "mixed": (
+        re.compile(
+            r"""(?:(?<=[\x20\x09-\x0D"'=:,(\[])|^)[A-Za-z0-9+][A-Za-z0-9+/_=-]{19,}"""
+        ),
+        0,
+    ),
 }
 _KINDS = [
     ("assign", "assign", 8, 10**9, "secret", False),
@@ -64,21 +77,31 @@ _KINDS = [
     ("run", "hex", 16, 31, "secret", True),
     ("login", "login", 3, 10**9, "partner", True),
     ("endpoint", "endpoint", 4, 10**9, "partner", True),
+    ("named", "named", 8, 10**9, "secret", True),
+    ("mixed", "mixed", 20, 10**9, "secret", True),
 ]
 
 
+def _links(one: tuple, two: tuple, reach: int) -> bool:
+    (s, _, kind, e, side, _), (start, _, other, end, far, _) = one, two
+    apart = end <= s or start >= e
+    free = apart or not {kind, other} & {"named", "mixed"}
+    return side != far and start < e + reach and end > s - reach and free
+
+
 def secrets(text: str | None, reach: int = 200) -> list[tuple[int, str, int]]:
     """(start, kind, end) of all reported spans."""
     found = []
     for rank, (kind, name, least, most, side, weak) in enumerate(_KINDS):
         pattern, group = _PARTS[name]
         for m in pattern.finditer(text or ""):
-            if least <= len(m[group]) <= most:
+            mixed = all(re.search(c, m[group]) for c in ("[a-z]", "[A-Z]", "[0-9]"))
+            if least <= len(m[group]) <= most and (kind != "mixed" or mixed):
                 found.append((m.start(), rank, kind, m.end(), side, weak))
     shown = [
         (s, rank, kind, e)
         for s, rank, kind, e, side, weak in found
         if not weak
-        or any(x[4] != side and x[0] < e + reach and x[3] > s - reach for x in found)
+        or any(_links((s, rank, kind, e, side, weak), x, reach) for x in found)
     ]
     return [(s, kind, e) for s, _, kind, e in sorted(shown)]

@@ -12,6 +12,8 @@ PIECES = [
     *["token = 'abcdefgh1'", "Password:abcd", "secret=token=abcdefghij", "token=token:abcdefghijk"],
     *["api_key=\"x/y+z==1\"", "APIKEY : 1234567", "passwd=abc", KEY, KEY[:15], KEY * 2, HEX],
     *[HEX[:16], HEX[:15], "user=ann", "login: 'bob'", "https://host.example/x", "s3://bucket/key"],
+    *["aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCY", "secret_id:abcdefgh", "my_key=abc"],
+    *["xAb9+" * 5, " Ab9/" + "c" * 20, "(" + "aB3_" * 5 + ")", "https://h.example/aB3d/" + "e" * 16],
     *["é🙂", " word " * 12, "\n", " ", "x" * 150, "toKen=abcdefghi", "ſecret=abcdefghi"],
 ]
 
@@ -28,7 +30,27 @@ def test_spans_equal_a_plain_scan(spark):
     for i, text in enumerate(texts):
         assert got[i] == secrets(text), text
     kinds = {kind for spans in got.values() for _, kind, _ in spans}
-    assert kinds == {"assign", "access", "hex", "short", "run", "login", "endpoint"}
+    weak = {"short", "run", "login", "endpoint", "named", "mixed"}
+    assert kinds == {"assign", "access", "hex", *weak}
+
+
+def test_key_pairs_as_they_are_written(spark):
+    pair = f"aws_access_key_id = {KEY}\naws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKE"
+    account = "postgres://db.example:5432/main\nclient_secret_key: dGhpcyBpcyBhIDEyMyBrZXk="
+    bare = f"{KEY}, wJalrXUtnFEMI7K7MDENGzbPxRfiCYEXAMPLEKEY"
+    texts = [pair, account, bare, *pair.split("\n")[1:], *account.split("\n")]
+    texts += ["see https://host.example/Some/Long/Path4/toAFile and https://host.example/"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    kinds = {r.text: [s.kind for s in r.secret_spans] for r in scan_secrets(docs).collect()}
+    assert [kinds[t] for t in texts] == [
+        ["access", "named", "mixed"],
+        ["endpoint", "named"],
+        ["access", "mixed"],
+        [],
+        [],
+        [],
+        [],
+    ]
 
 
 def test_weak_parts_only_near_their_complement(spark):
