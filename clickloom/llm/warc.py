@@ -1,22 +1,27 @@
 """Content-addressed WARC archive.
 
-Two tables make an archive: ``payloads`` holds every payload once under its SHA-256, and
-``heads`` holds, for every record, its exact WARC and HTTP header bytes and the address of
-its payload. A record is put together again by a join on the address, and a payload whose
-bytes do not give its address is an error.
+Three tables make an archive: ``payloads`` holds every payload once under its SHA-256;
+``responses`` and ``revisits`` hold, for every record of either type, its exact WARC and HTTP
+header bytes and the address of its payload. A record is put together again by a join on the
+address. Payloads and responses are bucketed by it, so that join shuffles no payload.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import join_hot
+from clickloom.llm.common import full_text, join_hot
 
 # Fixed values of the formats: the base32 alphabet of RFC 4648, the revisit profile of WARC/1.1.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RADIX_32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+END = b"\r\n\r\n"
+HEADS = "address string, warc_head binary, http_head binary"
+PAYLOADS = "address string, payload binary"
 
 
 def base32_sha1(data: Column) -> Column:
@@ -55,12 +60,13 @@ def write_archive(
 
     A null html is an empty payload, a null url leaves out WARC-Target-URI. A null id is
     above every other and leaves out Source-Id. Rows that repeat the smallest id are all
-    responses. Other columns are not read. An empty table gives an archive without records.
+    responses. Very long payloads are stored whole. Other columns are not read, whatever their
+    names. An empty table gives an archive without records.
     """
     records = pages.select(
         F.col(id_col).alias("id"),
         F.col(url).cast("string").alias("url"),
-        F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("payload"),
+        F.encode(full_text(html), "UTF-8").alias("payload"),
     ).withColumn("address", F.sha2("payload", 256))
     described = records.select(
         "id",
@@ -103,16 +109,46 @@ def write_archive(
         join_hot(described, first, "address")
         .withColumns({"again": again, "http_head": http_head})
         .select(
+            "again",
             "address",
             F.encode(warc_head, "UTF-8").alias("warc_head"),
             F.encode("http_head", "UTF-8").alias("http_head"),
         )
     )
-    heads.write.parquet(f"{folder}/heads")
     # equal payloads meet in their map task first, so a hot one is shuffled once per task
-    records.groupBy("address").agg(F.first("payload").alias("payload")).write.parquet(
-        f"{folder}/payloads"
+    payloads = records.groupBy("address").agg(F.first("payload").alias("payload"))
+    write_tables(heads, payloads, folder)
+
+
+def write_tables(heads: DataFrame, payloads: DataFrame, folder: str) -> None:
+    """Write the tables of an archive: heads tell by ``again`` which of them are revisits.
+
+    There are as many buckets as shuffle partitions, so that those already made by the
+    grouping of payloads are written as they are.
+    """
+    spark = heads.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heads.where("again").drop("again").write.parquet(f"{folder}/revisits")
+    responses = heads.where("NOT again").drop("again").repartition(buckets, "address")
+    for rows, name in ((responses, "responses"), (payloads, "payloads")):
+        table = f"warc_{uuid.uuid4().hex}"
+        rows.write.bucketBy(buckets, "address").option("path", f"{folder}/{name}").format(
+            "parquet"
+        ).saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")
+    spark.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{folder}/layout")
+
+
+def _bucketed(spark: SparkSession, folder: str, name: str, columns: str, buckets: int) -> DataFrame:
+    """A bucketed table of an archive; the name it has for Spark goes at once."""
+    table = f"warc_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (address) INTO {buckets}"
+        f" BUCKETS LOCATION '{folder}/{name}'"
     )
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 def _value(head: Column, name: str) -> Column:
@@ -120,56 +156,78 @@ def _value(head: Column, name: str) -> Column:
     return F.when(found != "", found)
 
 
-def read_archive(spark: SparkSession, folder: str, id_type: str = "long") -> DataFrame:
-    """The records below ``folder``, rebuilt: their fields and their exact bytes.
+def _number(head: Column, name: str) -> Column:
+    return _value(head, name).cast("long")
 
-    Columns ``id``, ``url``, ``record_type``, ``refers_to`` (the id of the response),
-    ``payload_bytes``, ``payload_digest`` (both from the stored payload), ``record`` (WARC
-    header, block, two line ends). A payload that does not give its address or a header
-    that names another digest raises an error. Sizes and digests are taken before the
-    join, so bytes are only shuffled for a caller who selects ``record``.
-    """
-    heads = spark.read.schema(
-        "address string, warc_head binary, http_head binary"
-    ).parquet(f"{folder}/heads")
-    stored = spark.read.schema("address string, payload binary").parquet(f"{folder}/payloads")
-    sound = F.when(
-        F.sha2("payload", 256) != F.col("address"),
-        F.raise_error(F.concat(F.lit("damaged payload "), F.col("address"))),
-    ).otherwise(base32_sha1(F.col("payload")))
-    payloads = stored.select(
-        "address",
-        "payload",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        sound.alias("payload_digest"),
-    )
-    head = F.decode("warc_head", "UTF-8")
-    named = heads.select(
-        "address",
-        "warc_head",
-        "http_head",
+
+def _sound(test: Column, value: Column, trouble: str) -> Column:
+    """``value``, or an error that names the address if ``test`` does not hold."""
+    wrong = F.raise_error(F.concat(F.lit(f"{trouble} "), F.col("address")))
+    return F.when(F.coalesce(test, F.lit(False)), value).otherwise(wrong)
+
+
+def _named(heads: DataFrame, id_type: str) -> DataFrame:
+    """Heads with the fields of their bytes."""
+    head, http = F.decode("warc_head", "UTF-8"), F.decode("http_head", "UTF-8")
+    return heads.select(
+        "*",
         _value(head, "Source-Id").cast(id_type).alias("id"),
         _value(head, "WARC-Target-URI").alias("url"),
         _value(head, "WARC-Type").alias("record_type"),
         _value(head, "Refers-To-Source-Id").cast(id_type).alias("refers_to"),
         _value(head, "WARC-Payload-Digest").alias("named"),
+        _number(head, "Content-Length").alias("block_bytes"),
+        _number(http, "Content-Length").alias("body_bytes"),
+        (F.octet_length("warc_head") + F.octet_length("http_head")).alias("heads_bytes"),
+    )
+
+
+def read_archive(spark: SparkSession, folder: str, id_type: str = "long") -> DataFrame:
+    """The records below ``folder``, rebuilt: their fields and their exact bytes.
+
+    Columns ``id``, ``url``, ``record_type``, ``refers_to`` (the id of the response),
+    ``payload_bytes``, ``payload_digest``, ``record`` (WARC header, block, two line ends).
+    A response is joined with its payload; size and digest are those of the payload cut out of
+    the rebuilt record again, by the lengths its headers state. A revisit has them from the
+    rebuilt response of its address. A payload that does not give its address, a missing
+    payload, and a header whose digest or length is not that of its record are errors.
+    """
+    (buckets,) = spark.read.schema("buckets int").parquet(f"{folder}/layout").first()
+    heads = _bucketed(spark, folder, "responses", HEADS, buckets)
+    stored = _bucketed(spark, folder, "payloads", PAYLOADS, buckets)
+    revisits = spark.read.schema(HEADS).parquet(f"{folder}/revisits")
+
+    # a head without its payload is an error, hence the outer join
+    met = _named(heads, id_type).join(stored, "address", "left")
+    payload = _sound(F.sha2("payload", 256) == F.col("address"), F.col("payload"), "no sound payload")
+    rebuilt = met.withColumn("record", F.concat("warc_head", "http_head", payload, F.lit(END)))
+    # what stands between the headers and the end, if the block is as long as its header says
+    size = F.octet_length("record") - F.col("heads_bytes") - len(END)
+    stated = (F.col("body_bytes") == size) & (
+        F.col("block_bytes") == size + F.octet_length("http_head")
     )
-    # a head without its payload is an error too, hence the outer join
-    both = named.join(payloads, "address", "left")
-    agreed = F.when(
-        F.col("named").eqNullSafe(F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        F.col("payload_digest"),
-    ).otherwise(F.raise_error(F.concat(F.lit("no sound payload "), F.col("address"))))
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(
-        F.lit(b"")
+    cut = F.substring("record", F.col("heads_bytes") + 1, F.col("body_bytes").cast("int"))
+    cut = _sound(stated, cut, "wrong Content-Length at")
+    rebuilt = rebuilt.select(
+        "*", F.octet_length(cut).cast("long").alias("payload_bytes"), base32_sha1(cut).alias("found")
     )
-    end = F.lit(b"\r\n\r\n")
-    return both.select(
-        "id",
-        "url",
-        "record_type",
-        "refers_to",
-        "payload_bytes",
-        agreed.alias("payload_digest"),
-        F.concat("warc_head", "http_head", body, end).alias("record"),
+    agreed = F.col("named") == F.concat(F.lit("sha1:"), F.col("found"))
+    responses = rebuilt.withColumn(
+        "payload_digest", _sound(agreed, F.col("found"), "wrong digest at")
+    )
+    known = responses.groupBy("address").agg(
+        F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest")
+    )
+    again = join_hot(_named(revisits, id_type), known, "address", how="left")
+    plain = F.concat("warc_head", "http_head", F.lit(END))
+    agreed = (F.col("named") == F.concat(F.lit("sha1:"), F.col("payload_digest"))) & (
+        F.col("block_bytes") == F.octet_length("http_head")
+    )
+    again = again.withColumns(
+        {
+            "record": plain,
+            "payload_digest": _sound(agreed, F.col("payload_digest"), "wrong revisit of"),
+        }
     )
+    columns = ["id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "record"]
+    return responses.select(columns).unionByName(again.select(columns))

@@ -12,7 +12,7 @@ from clickloom.llm.common import BATCH_BYTES, byte_chunks, join_hot, small_batch
 from clickloom.llm.exact_dedup import exact_dedup, may_repeat
 from clickloom.llm.license_scan import scan_licences
 from clickloom.llm.line_dedup import dedup_lines
-from clickloom.llm.warc import read_archive, write_archive
+from clickloom.llm.warc import read_archive, write_archive, write_tables
 from clickloom.session import new_work_dir
 
 DOCS = "doc_id long, text string, kept string, place int"
@@ -136,7 +136,7 @@ def test_archive_records(spark):
         (2, "http://c/", "", 1),
         (4, "http://c/", "", 1),
         (None, "http://d/", "<p>é</p>", None),
-        (5, "http://e/", "x" * 200_000, 1),
+        (5, "http://e/", "x" * 3_000_000, 1),
     ]
     folder, got = _archive(spark, rows)
     found = got.collect()
@@ -168,19 +168,65 @@ def test_short_payloads_are_all_responses_but_stored_once(spark):
     assert spark.read.parquet(f"{folder}/payloads").count() == 2
 
 
-def test_damaged_archives_are_errors(spark):
-    folder, _ = _archive(spark, [(1, "u", "ab", 1)])
-    stored = spark.read.parquet(f"{folder}/payloads")
+def _changed(spark, folder, payloads=None, **heads):
+    """A copy of an archive with other payloads or head bytes."""
     other = new_work_dir(spark, "warc")
-    spark.read.parquet(f"{folder}/heads").write.parquet(f"{other}/heads")
-    stored.withColumn("payload", F.lit(bytearray(b"ac"))).write.parquet(f"{other}/payloads")
-    with pytest.raises(Exception, match="damaged payload"):
-        read_archive(spark, other).collect()
-    missing = new_work_dir(spark, "warc")
-    spark.read.parquet(f"{folder}/heads").write.parquet(f"{missing}/heads")
-    stored.limit(0).write.parquet(f"{missing}/payloads")
-    with pytest.raises(Exception, match="no sound payload"):
-        read_archive(spark, missing).collect()
+    responses = spark.read.parquet(f"{folder}/responses").withColumn("again", F.lit(False))
+    revisits = spark.read.parquet(f"{folder}/revisits").withColumn("again", F.lit(True))
+    both = responses.unionByName(revisits)
+    for name, (old, new) in heads.items():
+        text = F.replace(F.decode(name, "UTF-8"), F.lit(old), F.lit(new))
+        both = both.withColumn(name, F.encode(text, "UTF-8"))
+    stored = spark.read.parquet(f"{folder}/payloads")
+    write_tables(both, payloads(stored) if payloads else stored, other)
+    return read_archive(spark, other)
+
+
+def test_damaged_archives_are_errors(spark):
+    folder, whole = _archive(spark, [(1, "u", "ab", 1), (2, "u", "ab", 1)])
+    assert _rows(_changed(spark, folder)) == _rows(whole)
+    changed = lambda rows: rows.withColumn("payload", F.lit(bytearray(b"ac")))
+    for trouble, other in {
+        "no sound payload": _changed(spark, folder, changed),
+        "no sound payload ": _changed(spark, folder, lambda rows: rows.limit(0)),
+        "wrong Content-Length": _changed(spark, folder, http_head=("Length: 2", "Length: 1")),
+        "wrong digest": _changed(spark, folder, warc_head=("sha1:", "sha1:A")),
+    }.items():
+        with pytest.raises(Exception, match=trouble):
+            other.collect()
+    length = "Content-Length: "
+    longer = F.replace(F.decode("warc_head", "UTF-8"), F.lit(length), F.lit(f"{length}9"))
+    for name in ("responses", "revisits"):
+        other = new_work_dir(spark, "warc")
+        heads = [
+            spark.read.parquet(f"{folder}/{n}")
+            .withColumn("warc_head", F.encode(longer, "UTF-8") if n == name else F.col("warc_head"))
+            .withColumn("again", F.lit(n == "revisits"))
+            for n in ("responses", "revisits")
+        ]
+        write_tables(heads[0].unionByName(heads[1]), spark.read.parquet(f"{folder}/payloads"), other)
+        with pytest.raises(Exception, match="wrong"):
+            read_archive(spark, other).collect()
+
+
+def test_payloads_meet_their_headers_without_a_shuffle(spark):
+    rows = [(i, "u", f"page {i % 7}", 1) for i in range(40)]
+    _, got = _archive(spark, rows)
+    digests = got.select("id", "payload_bytes", "payload_digest")
+    assert digests.count() == 40
+    with_settings = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = digests._jdf.queryExecution()
+        join = plans.optimizedPlan().toString().split("Join LeftOuter")[1]
+        assert "payload" in join and "warc_head" in join and "http_head" in join
+        lines = plans.executedPlan().toString().splitlines()
+        exchanges = [line for line in lines if "Exchange" in line]
+        scans = [line for line in lines if "payload" in line and "Bucketed: true" in line]
+        # only addresses, sizes and digests are shuffled
+        assert scans and len(exchanges) <= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_settings)
 
 
 def test_empty_archive(spark):
