@@ -1,6 +1,7 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences, each is normalised and looked up among known licence
+A text loses comment marks and list numbers at the beginning of its lines and is cut into
+sentences, each is normalised and looked up among known licence
 sentences, which gives a sequence of identifiers. Ordered rules are sequences of
 identifiers; where several match at a place the earlier rule wins. Only texts that hold a
 word every known sentence has one of are cut at all.
@@ -53,9 +54,23 @@ SENTENCES = {
     "R": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
     "S": "This is free and unencumbered software released into the public domain",
     "T": "This work is dedicated to the public domain under CC0 1.0",
+    "U": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
+    "file except in compliance with the License",
+    "V": "You may obtain a copy of the License at",
+    "W": "http://www.apache.org/licenses/LICENSE-2.0",
+    "X": "Unless required by applicable law or agreed to in writing, software distributed under "
+    'the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY '
+    "KIND, either express or implied",
+    "Y": "See the License for the specific language governing permissions and limitations under "
+    "the License",
 }
 # Sequences of sentences, most telling first; names are SPDX identifiers where there is one.
 RULES = [
+    ("Apache-2.0", "UVWXY"),
+    ("Apache-2.0", "UCXY"),
+    ("Apache-2.0", "UVW"),
+    ("Apache-2.0", "UC"),
+    ("Apache-2.0", "U"),
     ("Apache-2.0", "ABC"),
     ("Apache-2.0", "AB"),
     ("BSD-3-Clause", "NOP"),
@@ -76,8 +91,13 @@ RULES = [
     ("CC0-1.0", "T"),
     ("all-rights-reserved", "M"),
 ]
-# every known sentence has one of these
-ANCHORS = ("licen", "permission", "rights reserved", "redistribut", "endorse", "public domain")
+# every known sentence has one of these, each a part of one word, so no line break is in it
+ANCHORS = ("licen", "permission", "reserved", "redistribut", "endorse", "domain")
+# what is dropped at the beginning of lines: comment marks, then numbers of a list
+LINE_STARTS = (
+    r"(?m)^[ \t]*(?:/\*+|\*+/|\*+|//+|#+|;+|--+|%+)",
+    r"(?m)^[ \t]*\(?[0-9]{1,2}[.)][ \t]+",
+)
 
 _NOISE = r"[^a-z0-9]+"
 
@@ -109,6 +129,8 @@ def _sentences(low: Column, known: Column) -> Column:
     several lines may be a heading or notice run together with its neighbours: its lines
     then count one by one.
     """
+    for start in LINE_STARTS:
+        low = F.regexp_replace(low, start, "")
     cut = F.split(low, r"[.!?]+[ \t\r\n]+|[.!?]+\z|\n[ \t\r]*\n", -1)
     lines = F.transform(
         cut,
@@ -126,7 +148,8 @@ def scan_licences(docs: DataFrame, text: str = "text") -> DataFrame:
     among its sentences from 0, letter). ``licences`` lists the rules matched from left to
     right, without overlap; a rule matches known sentences that directly follow each other.
 
-    Null and empty texts, and texts without a known sentence, have empty arrays. Rows that
+    Null and empty texts, and texts without a known sentence, have empty arrays. Very long
+    texts are scanned whole. Rows that
     repeat each other each get their result. An empty table gives an empty table. Columns
     named like a result are replaced.
     """

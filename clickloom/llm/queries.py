@@ -10,7 +10,7 @@ from clickloom.llm.bytebpe import round_trips
 from clickloom.llm.exact_dedup import exact_dedup
 from clickloom.llm.hard_negatives import mine_hard_negatives
 from clickloom.llm.language_id import identify_languages, train
-from clickloom.llm.license_scan import ANCHORS, RULES, letters, licence_rules, scan_licences
+from clickloom.llm.license_scan import ANCHORS, LINE_STARTS, RULES, letters, licence_rules, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
 from clickloom.llm.merkle import edited_rows, map_with_next
 from clickloom.llm.packing import pack_documents
@@ -141,13 +141,16 @@ def _licence_sql() -> str:
     known = ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in letters().items())
     names = ", ".join(f"{_quoted(seq)}: {_quoted(name)}" for name, seq in RULES)
     clean = "trim(regexp_replace({}, '[^a-z0-9]+', ' ', 'g'))"
+    bare = "t"
+    for start in LINE_STARTS:
+        bare = f"regexp_replace({bare}, {_quoted(start)}, '', 'g')"
     return f"""
     WITH m AS (SELECT MAP {{{known}}} AS known, MAP {{{names}}} AS names),
     d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
     cut AS (SELECT doc_id, flatten(list_transform(
                 regexp_split_to_array(
-                    t, '[.!?]+[ \\t\\r\\n]+|[.!?]+\\z|\\n[ \\t\\r]*\\n'),
+                    {bare}, '[.!?]+[ \\t\\r\\n]+|[.!?]+\\z|\\n[ \\t\\r]*\\n'),
                 lambda s: CASE WHEN known[{clean.format('s')}] IS NOT NULL
                      THEN [{clean.format('s')}]
                      ELSE list_transform(string_split(s, chr(10)), lambda x: {clean.format('x')})

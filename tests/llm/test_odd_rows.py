@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import BATCH_BYTES, byte_chunks, join_hot, small_batches
 from clickloom.llm.exact_dedup import exact_dedup, may_repeat
-from clickloom.llm.license_scan import scan_licences
+from clickloom.llm.license_scan import SENTENCES, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
 from clickloom.llm.warc import read_archive, write_archive, write_tables
 from clickloom.session import new_work_dir
@@ -121,6 +122,61 @@ def test_licences(spark):
     assert scan_licences(docs.limit(0)).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def _published() -> dict[str, str]:
+    """Licences as they are published, by name."""
+    mit = f"Copyright (c) 2020 Someone\n\n{SENTENCES['E']}\n\n{SENTENCES['F']}.\n"
+    items = [SENTENCES[x] + "." for x in "NOP"]
+    bsd = [f"{i}. {x}\n\n" for i, x in enumerate(items, 1)]
+    opening = "Redistribution and use in source and binary forms are permitted provided that:\n\n"
+    return {
+        "Apache-2.0": APACHE,
+        "MIT": mit,
+        "BSD-2-Clause": opening + "".join(bsd[:2]),
+        "BSD-3-Clause": opening + "".join(bsd),
+        "ISC": SENTENCES["Q"] + ".\n",
+        "Unlicense": SENTENCES["S"] + ".\n",
+        "all-rights-reserved": "Copyright 2020 Someone.\nAll rights reserved.\n",
+    }
+
+
+def test_published_licences(spark):
+    rows = []
+    for name, text in _published().items():
+        wrapped = "\n\n".join(
+            textwrap.fill(" ".join(x.split()), 40, break_on_hyphens=False, break_long_words=False)
+            for x in text.split("\n\n")
+        )
+        for form in (text, wrapped, wrapped.replace("\n", "\r\n")):
+            rows.append((name, form))
+            for mark in ("# ", "// ", " * ", ";; "):
+                rows.append((name, "\n".join(mark + line for line in form.split("\n"))))
+    docs = spark.createDataFrame(rows, "name string, text string")
+    for r in scan_licences(docs).collect():
+        assert r.licences == [r.name], r.text
+
+
+def test_broken_lines_reach_the_sentences(spark):
+    texts = ["All rights\nreserved.", "All  rights  reserved.", "x. All\trights\nreserved!"]
+    texts.append(SENTENCES["S"].replace("public domain", "public\ndomain") + ".")
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r.text: r.licences for r in scan_licences(docs).collect()}
+    assert [found[t] for t in texts] == [["all-rights-reserved"]] * 3 + [["Unlicense"]]
+
+
 def _archive(spark, rows, **options):
     folder = new_work_dir(spark, "warc")
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, id int")
