@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.schemas import (
     AD_BLACKLIST,
     AD_CLICK_TREND,
+    AD_CLICK_WINDOW_TREND,
     AD_USER_CLICK_COUNT,
     BLACKLIST_THRESHOLD,
 )
@@ -37,6 +38,10 @@ class AdMonitor:
     def trend(self) -> TotalsTable:
         return trend_store(self.spark, f"{self.root}/ad_click_trend")
 
+    @property
+    def window_trend(self) -> TotalsTable:
+        return window_trend_store(self.spark, f"{self.root}/ad_click_window_trend")
+
     @property
     def rejected_path(self) -> str:
         return f"{self.root}/rejected_lines"
@@ -56,6 +61,11 @@ class AdMonitor:
         """Clicks per minute and ad."""
         return self.trend.table(dates=dates)
 
+    def click_window_trend(self, dates: list[str] | None = None) -> DataFrame:
+        """Clicks per minute and ad in the last window by arrival that held one."""
+        rows = self.window_trend.table(dates=dates)
+        return rows.select("date", "hour", "minute", "ad_id", "latest.click_count")
+
 
 def click_count_store(spark: SparkSession, path: str) -> TotalsTable:
     keys = ("date", "user_id", "ad_id")
@@ -71,6 +81,11 @@ def trend_store(spark: SparkSession, path: str) -> TotalsTable:
     return TotalsTable(spark, path, AD_CLICK_TREND, keys, "click_count", "date")
 
 
+def window_trend_store(spark: SparkSession, path: str) -> TotalsTable:
+    keys = ("date", "hour", "minute", "ad_id")
+    return TotalsTable(spark, path, AD_CLICK_WINDOW_TREND, keys, "latest", "date")
+
+
 def start_ad_monitor(
     lines: DataFrame,
     root: str,

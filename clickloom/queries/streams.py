@@ -28,6 +28,7 @@ from clickloom.streaming import (
     start_daily_counts,
     start_filtered_clicks,
     start_rejected_copy,
+    start_window_trend,
 )
 
 PARTS = 3
@@ -209,3 +210,48 @@ def stream_ad_trend(spark: SparkSession, folder: str) -> DataFrame:
 
     _run_parts(spark, folder, work, by_days(), start)
     return monitor.click_trend()
+
+
+_WINDOW_SQL = _CLICKS + """,
+step_clicks AS (
+  SELECT ad_id, date_trunc('day', ts) AS began, epoch_us(ts) // 10000000 AS step, count(*) AS n
+  FROM ad_click GROUP BY ALL
+),
+ends AS (
+  SELECT ad_id, began,
+         least(max(step) + 359, (SELECT max(step) FROM step_clicks)) AS last_window
+  FROM step_clicks GROUP BY ad_id, began
+)
+SELECT strftime(began, '%Y-%m-%d') AS date, strftime(began, '%H') AS hour,
+       strftime(began, '%M') AS minute, ad_id, CAST(sum(n) AS BIGINT) AS click_count
+FROM step_clicks JOIN ends USING (ad_id, began)
+WHERE step > last_window - 360
+GROUP BY ALL"""
+
+
+@query("stream_ad_trend_window", _WINDOW_SQL)
+def stream_ad_trend_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks that bear the first minute of their day and arrive when they happened.
+
+    A minute's count rises and falls through the day; its last window with a click stays.
+    """
+    work = new_work_dir(spark, "stream_ad_trend_window")
+    monitor = AdMonitor(spark, work)
+    began = F.unix_millis(F.date_trunc("day", "ts"))
+    lines = model.clicks(spark, folder).select(
+        F.concat_ws(" ", began, "province", "city", "user_id", "ad_id").alias("value"),
+        F.col("ts").alias("timestamp"),
+        by_days().alias("part"),
+    )
+    for number in range(PARTS):
+        lines.where(F.col("part") == number).write.mode("append").parquet(f"{work}/lines")
+        arriving = spark.readStream.schema(lines.schema).parquet(f"{work}/lines")
+        parsed = parse_ad_log(arriving, arrival="timestamp", keep=["timestamp"])
+        start_window_trend(
+            valid_clicks(parsed),
+            monitor.window_trend,
+            monitor.checkpoint("window_trend"),
+            trigger=AVAILABLE_NOW,
+            rewrite_every=2,
+        ).awaitTermination()
+    return monitor.click_window_trend()

@@ -69,6 +69,15 @@ AD_CLICK_TREND = _table(
     ("click_count", _LONG),
 )
 
+# The trend by arrival: the greatest ``latest`` of a minute and ad counts.
+AD_CLICK_WINDOW_TREND = _table(
+    ("date", _STR),
+    ("hour", _STR),
+    ("minute", _STR),
+    ("ad_id", _LONG),
+    ("latest", _table(("as_of", _LONG), ("click_count", _LONG))),
+)
+
 AD_BLACKLIST = _table(("user_id", _LONG))
 
 SESSION_DETAIL_COLUMNS = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +21,14 @@ def parse_ad_log(
     column: str = "value",
     arrival: str | None = None,
     ahead: str = AHEAD,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Adds typed columns to the lines; a field that cannot be read is null.
 
     A time that no calendar has, or that lies more than ``ahead`` after the line's arrival,
     cannot be read either. ``arrival`` names the column with the time a line arrived;
     without it that is the time of the query or micro-batch. Works on batch and streaming
-    input. The line itself stays, for rejected rows.
+    input. The line itself stays, for rejected rows, and so do the columns in ``keep``.
     """
     fields = F.split(F.col(column).cast("string"), " ")
     millis = F.get(fields, F.lit(0)).try_cast("bigint")
@@ -43,6 +44,7 @@ def parse_ad_log(
         F.get(fields, F.lit(2)).alias("city"),
         F.get(fields, F.lit(3)).try_cast("bigint").alias("user_id"),
         F.get(fields, F.lit(4)).try_cast("bigint").alias("ad_id"),
+        *keep,
     )
 
 

@@ -8,6 +8,7 @@ from clickloom.streaming.jobs import (
     start_filtered_clicks,
     start_rejected_copy,
 )
+from clickloom.streaming.window import start_window_trend
 
 __all__ = [
     "AVAILABLE_NOW",
@@ -16,4 +17,5 @@ __all__ = [
     "start_daily_counts",
     "start_filtered_clicks",
     "start_rejected_copy",
+    "start_window_trend",
 ]
