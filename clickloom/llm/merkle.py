@@ -1,14 +1,16 @@
 """Document fingerprints as Merkle trees.
 
 A text is cut, without losing a character, into sections (ended by empty lines), paragraphs
-(ended by line breaks) and clauses (ended by punctuation). Every node has a digest over its
-children's digests and what stands between them, so equal roots mean equal texts, and two
-trees are compared from the root down: branches of equal digest are skipped, and what is
-left are the paragraphs that were edited.
+(ended by line breaks) and clauses (ended by punctuation). A clause of more than ``LONG_CLAUSE``
+bytes is cut once more, behind certain bytes that follow ``LEAST_STRETCH`` others, or after
+``MOST_STRETCH``: what is cut depends on the words alone, so texts that share a long stretch
+share its leaves. Every node has a digest of 16 bytes over its children's digests and what
+stands between them, so equal roots mean equal texts, and two trees are compared from the root
+down: branches of equal digest are skipped, and what is left are the paragraphs that were edited.
 
 The fingerprint is the tree as text: ``root`` of 32 hexadecimal digits, then for each section
 ``/`` and 16 digits, for each of its paragraphs ``-`` and 16 digits, ``.`` and 8 digits for
-each of its clauses.
+each of its leaves.
 """
 
 from __future__ import annotations
@@ -29,15 +31,24 @@ from pyspark.sql.types import StringType, StructType
 from clickloom.llm.common import full_text, put, settle, small_batches, written
 
 PART_BYTES = 8 << 20
+MOST_RANGES = 1 << 16
 SAMPLE = 64
 LOWEST = -(2**63)
 
 _SECTION = re.compile(r".*?(?:\n[ \t\r]*\n\s*|\Z)", re.S)
 _CLAUSE = re.compile(r"([^.!?,;:]*)([.!?,;:\s]*)")
 
+LONG_CLAUSE, LEAST_STRETCH, MOST_STRETCH = 64, 24, 192
+# a stretch ends with a byte whose last three bits are 100
+_ENDS = b"".join(re.escape(bytes([b])) for b in range(4, 256, 8))
+_STRETCH = re.compile(
+    b"[\\s\\S]{%d,%d}?[%s]|[\\s\\S]{1,%d}"
+    % (LEAST_STRETCH, MOST_STRETCH - 1, _ENDS, MOST_STRETCH)
+)
 
-def _digest(data: bytes, size: int = 16) -> bytes:
-    return hashlib.blake2b(data, digest_size=size).digest()
+
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 def fingerprint(text: str) -> str:
@@ -48,11 +59,13 @@ def fingerprint(text: str) -> str:
         for paragraph in section.split("\n"):
             leaves, shown = [], []
             for words, end in _CLAUSE.findall(paragraph):
-                if words or end:
-                    leaf = _digest(words.encode(), 8)
-                    leaves.append(leaf + end.encode() + b"\0")
-                    if words:
+                raw = words.encode()
+                for stretch in [raw] if len(raw) <= LONG_CLAUSE else _STRETCH.findall(raw):
+                    leaf = _digest(b"l" + stretch)
+                    leaves.append(leaf)
+                    if stretch:
                         shown.append("." + leaf[:4].hex())
+                leaves.append(b"e" + end.encode() + b"\0")
             node = _digest(b"p" + b"".join(leaves))
             middles.append(node)
             if shown:
@@ -64,7 +77,7 @@ def fingerprint(text: str) -> str:
 
 
 def likeness(one: str, two: str) -> float:
-    """Share of clauses two fingerprints have in common, 0 to 1; 1 if the roots are equal."""
+    """Share of leaves two fingerprints have in common, 0 to 1; 1 if the roots are equal."""
     if one[:32] == two[:32]:
         return 1.0
     a, b = (Counter(re.findall(r"\.([0-9a-f]{8})", x)) for x in (one, two))
@@ -134,6 +147,7 @@ def map_with_next(
     text: str = "text",
     id_col: str = "doc_id",
     part_bytes: int = PART_BYTES,
+    most_ranges: int = MOST_RANGES,
 ) -> DataFrame:
     """``rows`` applied to (id, text, next text) of every row, next by descending id.
 
@@ -142,8 +156,10 @@ def map_with_next(
     id are ordered by a hash of their text; rows that repeat each other follow each other.
 
     Texts are shuffled once, into ranges of (id, hash) of about ``part_bytes``, so neither
-    a frequent id nor a null id makes a large range. The first row of each range is also
-    sent to the end of the range before. The driver sees ``SAMPLE`` numbers per range.
+    a frequent id nor a null id makes a large range. There are ``most_ranges`` of them at most;
+    beyond that many they grow, which costs a task a longer sort on disk and no more memory.
+    The first row of each range is also sent to the end of the range before. The driver sees
+    ``SAMPLE`` keys and one head per range, 80 MB at most, and each task all heads, 2 MB at most.
     """
     value = full_text(text)
     keyed = small_batches(docs).select(
@@ -154,7 +170,7 @@ def map_with_next(
     )
     keys = written(keyed.select("k", "h", F.octet_length("text").alias("n")), "merkle-keys")
     total, size = keys.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    parts = max(1, min(total, -(-size // part_bytes)))
+    parts = max(1, min(total, -(-size // part_bytes), most_ranges))
     share = min(1.0, SAMPLE * parts / max(total, 1))
     sample = keys.sample(share, 1).select("k", "h").toArrow()
     edges = np.sort(_order(*[sample.column(c).to_numpy() for c in ("k", "h")]))
@@ -169,7 +185,8 @@ def map_with_next(
         return pd.Series(part_of(k, h).astype(np.int32))
 
     tops = keys.groupBy(number("k", "h").alias("part")).agg(F.max(F.struct("k", "h")).alias("top"))
-    heads = {r["part"]: (r["top"]["k"], r["top"]["h"]) for r in tops.collect()}
+    heads = tops.select("part", "top.k", "top.h").toArrow().to_pydict()
+    heads = dict(zip(heads["part"], zip(heads["k"], heads["h"])))
     order = sorted(heads)
     # the head of a range goes to the range before it, that of the first to the last
     before = {heads[p]: order[i - 1] for i, p in enumerate(order)}

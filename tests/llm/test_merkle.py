@@ -5,6 +5,9 @@ import hashlib
 import pytest
 
 from clickloom.llm.merkle import (
+    LEAST_STRETCH,
+    LONG_CLAUSE,
+    MOST_STRETCH,
     edited_paragraphs,
     edited_rows,
     fingerprint,
@@ -48,6 +51,25 @@ def test_likeness():
     assert likeness(fingerprint(""), fingerprint("")) == 1
 
 
+@pytest.mark.parametrize("word", ["w{}", "слово{}", "字{}", "{:x}"])
+def test_a_long_clause_shares_the_stretches_it_keeps(word):
+    words = [word.format(i * 7919 % 1000) for i in range(400)]
+    other = [word.format(i * 104729 % 997) + "q" for i in range(400)]
+    text, edit = " ".join(words), " ".join(words[:200] + other[:200])
+    assert likeness(fingerprint(text), fingerprint(edit)) > 0.3
+    assert likeness(fingerprint(text), fingerprint(" ".join(other))) < 0.1
+    # the stretch is found again wherever it stands
+    moved = " ".join(other[:150] + words)
+    assert likeness(fingerprint(text), fingerprint(moved)) > 0.3
+
+
+def test_leaves_of_long_clauses_are_bounded():
+    # no byte of "x" ends a stretch, every byte of "d" does
+    assert fingerprint("x" * 50_000).count(".") == -(-50_000 // MOST_STRETCH)
+    assert fingerprint("d" * 50_000).count(".") == -(-50_000 // (LEAST_STRETCH + 1))
+    assert fingerprint("d" * LONG_CLAUSE).count(".") == 1
+
+
 def test_edits_are_located():
     one = fingerprint("a\nb, b\n\nc\nd")
     two = fingerprint("a\nb, x\n\nc\nd\nnew")
@@ -84,6 +106,15 @@ def test_whole_query_at_any_range_size(spark, part_bytes):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == _brute(rows)
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_ranges_grow_beyond_their_greatest_number(spark, most):
+    docs = spark.range(500).selectExpr("id AS doc_id", "repeat(cast(id AS string), 9) AS text")
+    got = map_with_next(docs, edited_rows, SCHEMA, part_bytes=1, most_ranges=most)
+    assert got.rdd.getNumPartitions() == most
+    rows = sorted((tuple(r) for r in docs.collect()), reverse=True)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == _brute(rows)
+
+
 def test_registered_query(spark):
     got = QUERIES["op8_document_fingerprints"](spark, "/root/testdata/sf0.001")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
