@@ -3,7 +3,17 @@
 A query takes (spark, folder of Parquet tables) and returns a DataFrame.
 """
 
-from clickloom.queries import ads, categories, functions, sampling, sessions, streams
+from clickloom.queries import ads, categories, functions, pages, sampling, sessions, streams
 from clickloom.queries.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "ads", "categories", "functions", "sampling", "sessions", "streams"]
+__all__ = [
+    "QUERIES",
+    "SQL",
+    "ads",
+    "categories",
+    "functions",
+    "pages",
+    "sampling",
+    "sessions",
+    "streams",
+]

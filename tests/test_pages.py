@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+
+from clickloom.operators.pages import page_conversion, page_steps
+from clickloom.operators.products import area_product_clicks, top_area_products
+
+
+def _steps(rows) -> Counter:
+    sessions: dict = {}
+    for session, at, page in rows:
+        if None not in (session, at, page):
+            sessions.setdefault(session, []).append((at, page))
+    steps: Counter = Counter()
+    for visits in sessions.values():
+        pages = [page for _, page in sorted(visits)]
+        steps.update(zip(pages, [*pages[1:], None]))
+    return steps
+
+
+def _frame(spark, rows):
+    names = "session_id string, action_time string, page_id long"
+    return spark.createDataFrame(rows, names)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_steps_equal_those_of_whole_sessions(spark, seed):
+    rng = random.Random(seed)
+    rows = [
+        (
+            rng.choice(["a", "a", "b", "c", None]),
+            rng.choice([None, *[f"2024-01-01 10:{m:02}:{s:02}" for m in range(4) for s in (0, 59)]]),
+            rng.choice([1, 2, 3, None]),
+        )
+        for _ in range(300)
+    ]
+    got = {(r.page_id, r.next_page_id): r.step_count for r in page_steps(_frame(spark, rows)).collect()}
+    assert got == _steps(rows)
+
+
+def test_conversion_of_a_flow(spark):
+    rows = [("s", f"2024-01-01 00:0{i}:00", page) for i, page in enumerate([1, 2, 1, 3, 1, 2, 3])]
+    got = page_conversion(_frame(spark, rows), [1, 2, 3, 9, 1]).orderBy("step").collect()
+    assert [tuple(r) for r in got] == [
+        (1, 1, 2, 3, 2, 0.6667),
+        (2, 2, 3, 2, 1, 0.5),
+        (3, 3, 9, 2, 0, 0.0),
+        (4, 9, 1, 0, 0, None),
+    ]
+    empty = page_conversion(_frame(spark, []), [1, 2]).collect()
+    assert [tuple(r) for r in empty] == [(1, 1, 2, 0, 0, None)]
+    with pytest.raises(ValueError):
+        page_conversion(_frame(spark, rows), [1])
+
+
+def test_a_hot_session_is_split_by_minutes(spark):
+    actions = spark.range(86_400).selectExpr(
+        "concat('hot', id DIV 100000) AS session_id",
+        "timestamp_seconds(1704067200 + id) AS action_time",
+        "id % 7 AS page_id",
+    )
+    steps = page_steps(actions)
+    got = {(r.page_id, r.next_page_id): r.step_count for r in steps.collect()}
+    assert sum(got.values()) == 86_400 and got[86_399 % 7, None] == 1 and len(got) == 8
+    plan = steps._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    visits = [line for line in plan.splitlines() if "Window [lead(page_id" in line]
+    assert visits and all("[session_id" in line and ", minute" in line for line in visits)
+    assert "ReusedExchange" in plan
+
+
+CITIES = "city_id long, city string, area string"
+CLICKS = "city_id long, click_product_id string"
+
+
+def _clicks(spark, *counts):
+    rows = [(c, p) for c, p, n in counts for _ in range(n)]
+    return spark.createDataFrame(rows, CLICKS)
+
+
+def test_top_products_of_each_area(spark):
+    cities = spark.createDataFrame([(1, "b", "north"), (2, "a", "north"), (3, "c", "south")], CITIES)
+    clicks = _clicks(
+        spark, (1, "7", 2), (2, "7", 3), (2, "8", 5), (1, "9", 1), (3, "9", 1), (1, None, 4),
+        (3, "", 4), (99, "7", 50), (None, "7", 50),
+    )
+    products = spark.createDataFrame(
+        [(7, "seven", '{"product_status": 1}'), (8, "eight", None)],
+        "product_id long, product_name string, extend_info string",
+    )
+    top = top_area_products(clicks, cities, products, most=2)
+    assert sorted(tuple(r) for r in top.collect()) == [
+        ("north", 1, 7, "seven", 1, 5, "a,b"),
+        ("north", 2, 8, "eight", None, 5, "a"),
+        ("south", 1, 9, None, None, 1, "c"),
+    ]
+    assert area_product_clicks(clicks.limit(0), cities).count() == 0
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Final" in plan and "Partial" in plan
