@@ -56,9 +56,12 @@ def page_conversion(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     """
     if len(flow) < 2:
         raise ValueError("a flow has two pages or more")
-    wanted = actions.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(zip(flow, flow[1:]), 1)],
-        "step int, from_page long, to_page long",
+    pages = F.lit([int(page) for page in flow]).cast("array<bigint>")
+    step = (F.col("id") + 1).cast("int")
+    wanted = actions.sparkSession.range(len(flow) - 1).select(
+        step.alias("step"),
+        F.element_at(pages, step).alias("from_page"),
+        F.element_at(pages, step + 1).alias("to_page"),
     )
     counts = page_steps(actions).where(F.col("page_id").isin(list(flow[:-1])))
     joined = wanted.join(counts, F.col("page_id") == F.col("from_page"), "left")

@@ -15,23 +15,32 @@ from clickloom.schemas import (
 )
 
 
-def _bin_count(column: str, low: int, high: int | None) -> Column:
+def _in_bin(column: str, low: int, high: int | None) -> Column:
     value = F.col(column)
-    return F.count_if(value >= low if high is None else value.between(low, high))
+    return value >= low if high is None else value.between(low, high)
 
 
-def session_stats_counts(sessions: DataFrame, *by: str) -> DataFrame:
-    """Session count and sessions per bin; one row, or one per group of ``by``."""
-    counts = [F.count(F.lit(1)).alias("session_count")]
+def stat_columns(kept: Column | None = None) -> list[Column]:
+    """Session count and sessions per bin as aggregates, of the sessions ``kept`` if given.
+
+    They count, so they can also be observed while sessions are written.
+    """
+    every = F.lit(True) if kept is None else kept
+    counts = [F.count_if(every).alias("session_count")]
     for column, names, bins in (
         ("visit_length", VISIT_COLUMNS, VISIT_LENGTH_BINS),
         ("step_length", STEP_COLUMNS, STEP_LENGTH_BINS),
     ):
         counts += [
-            _bin_count(column, low, high).alias(name)
+            F.count_if(every & _in_bin(column, low, high)).alias(name)
             for name, (_, low, high) in zip(names, bins, strict=True)
         ]
-    return sessions.groupBy(*by).agg(*counts)
+    return counts
+
+
+def session_stats_counts(sessions: DataFrame, *by: str) -> DataFrame:
+    """Session count and sessions per bin; one row, or one per group of ``by``."""
+    return sessions.groupBy(*by).agg(*stat_columns())
 
 
 def merge_session_stats(partials: DataFrame) -> DataFrame:
