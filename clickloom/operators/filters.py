@@ -46,8 +46,8 @@ def filter_click_categories(sessions: DataFrame, wanted: Sequence[str] | None) -
     return _keep(sessions, _match(sessions, "category_match", "click_category_ids", wanted))
 
 
-def filter_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
-    """All filters of a task. Those on user columns reach the user scan through the join."""
+def session_condition(sessions: DataFrame, params: TaskParams) -> Column | None:
+    """All filters of a task as one condition, never null; none if the task has no filter."""
     present = [
         p
         for p in (
@@ -60,7 +60,12 @@ def filter_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
         )
         if p is not None
     ]
-    return _keep(sessions, reduce(Column.__and__, present) if present else None)
+    return reduce(Column.__and__, present) if present else None
+
+
+def filter_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
+    """All filters of a task. Those on user columns reach the user scan through the join."""
+    return _keep(sessions, session_condition(sessions, params))
 
 
 def _keep(sessions: DataFrame, predicate: Column | None) -> DataFrame:

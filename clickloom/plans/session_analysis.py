@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.operators.categories import category_counts, top_categories
-from clickloom.operators.filters import filter_sessions
+from clickloom.operators.filters import filter_sessions, session_condition
 from clickloom.operators.sampling import (
     random_extract_sessions,
     sample_sessions,
@@ -13,9 +14,9 @@ from clickloom.operators.sampling import (
     session_detail,
 )
 from clickloom.operators.sessions import session_metrics, with_user
-from clickloom.operators.stats import session_stats_counts, session_stats_ratios
+from clickloom.operators.stats import session_stats_counts, session_stats_ratios, stat_columns
 from clickloom.params import TaskParams
-from clickloom.schemas import SAMPLE_TOTAL, TOP_CATEGORIES
+from clickloom.schemas import SAMPLE_TOTAL, STAT_COLUMNS, TOP_CATEGORIES
 from clickloom.session import new_work_dir
 from clickloom.sinks import ResultWriter
 from clickloom.sinks.files import remove
@@ -47,6 +48,14 @@ def top_categories_of_task(
     return top_categories(category_counts(scanned, sessions, count_scope), params.task_id, n)
 
 
+def _observed_counts(spark: SparkSession, observed: Observation) -> DataFrame:
+    """The counts observed while rows were written, one row; zeros where there were none."""
+    found = observed.get
+    return spark.range(1).select(
+        *[F.lit(found.get(name) or 0).cast("bigint").alias(name) for name in STAT_COLUMNS]
+    )
+
+
 def run_session_analysis(
     actions: DataFrame,
     users: DataFrame,
@@ -62,6 +71,8 @@ def run_session_analysis(
     ``top10_category``. The roll-up is by far the largest shuffle and feeds all four, so
     it is written once to the shared work folder and read from there: the later steps
     read only the columns they need and do not depend on the executors that wrote it.
+    The statistic is counted by the tasks that write the roll-up, which is not read for it.
+    A task that runs again after a loss counts once, as only the stage of the write counts.
     The sample and its actions are written likewise because two results are made of
     them. The work folder goes when the job ends, also with an error.
     """
@@ -75,9 +86,11 @@ def run_session_analysis(
 
     try:
         scanned = scan_actions(actions, params.start_date, params.end_date)
-        sessions = stored(analysed_sessions(actions, users, params), "sessions")
+        rolled_up, observed = analysed_sessions(actions, users, params), Observation()
+        kept = session_condition(rolled_up, params)
+        sessions = stored(rolled_up.observe(observed, *stat_columns(kept)), "sessions")
         filtered = filter_sessions(sessions, params)
-        stats = session_stats_ratios(session_stats_counts(filtered), task_id)
+        stats = session_stats_ratios(_observed_counts(spark, observed), task_id)
         write(stats, "session_aggr_stat", task_id)
 
         sample = stored(sample_sessions(sessions, sample_total, seed), "sample")

@@ -118,6 +118,30 @@ def test_a_task_that_runs_again_replaces_its_results(spark, tmp_path, actions, u
     assert sorted(r.task_id for r in tasks.collect()) == [4, 5]
 
 
+def _stats_written(actions, users, params):
+    seen = []
+
+    def write(rows, table, task_id):
+        if table == "session_aggr_stat":
+            seen.append((_rows(rows), rows._jdf.queryExecution().executedPlan().toString()))
+
+    run_session_analysis(actions, users, params, write, sample_total=30)
+    return seen[0]
+
+
+@pytest.mark.parametrize("criteria", [{}, {"sex": "nobody"}, {"start_age": None, "keywords": None}])
+def test_the_statistic_is_counted_by_the_write_of_the_roll_up(actions, users, criteria):
+    params = dataclasses.replace(PARAMS, **criteria)
+    rows, plan = _stats_written(actions, users, params)
+    assert rows == _rows(session_statistics(actions, users, params))
+    assert "FileScan" not in plan and "HashAggregate" not in plan
+
+
+def test_the_statistic_of_nothing(actions, users):
+    rows, _ = _stats_written(actions.limit(0), users, PARAMS)
+    assert rows == _rows(session_statistics(actions.limit(0), users, PARAMS))
+
+
 def test_statistics_by_hand(actions, users):
     """The same numbers from plain Python over the rows."""
     sessions: dict = {}
