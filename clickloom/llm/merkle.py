@@ -159,7 +159,8 @@ def map_with_next(
     a frequent id nor a null id makes a large range. There are ``most_ranges`` of them at most;
     beyond that many they grow, which costs a task a longer sort on disk and no more memory.
     The first row of each range is also sent to the end of the range before. The driver sees
-    ``SAMPLE`` keys and one head per range, 80 MB at most, and each task all heads, 2 MB at most.
+    ``SAMPLE`` keys and one head per range, 67 MB of keys at most, and each task all heads and
+    edges, 4 MB at most.
     """
     value = full_text(text)
     keyed = small_batches(docs).select(
