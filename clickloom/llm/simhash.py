@@ -1,7 +1,7 @@
 """Near-duplicates by SimHash fingerprints, compared through tables of pivot distances.
 
-Each fingerprint carries its Hamming distances to ``PIVOTS`` fixed reference fingerprints.
-Two fingerprints within ``k`` bits differ by at most ``k`` in every one of these coordinates,
+A table made once holds, for each distinct fingerprint, its Hamming distances to ``PIVOTS``
+fixed reference fingerprints, a byte each; the rows compared later carry them along. Two fingerprints within ``k`` bits differ by at most ``k`` in every one of these coordinates,
 so a pair with a larger coordinate difference is discarded without looking at its bits;
 survivors are verified.
 
@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, LongType
 from xxhash import xxh64_intdigest
 
 from clickloom.llm.common import fresh, full_text, join_hot, put, settle, small_batches, written
@@ -95,7 +95,7 @@ def equal_segments(rows: int, limit: int = LIMIT) -> int:
 
 
 def bucketed(prints: DataFrame, t: int, limit: int = LIMIT) -> DataFrame:
-    """Every fingerprint once per choice of ``t`` segments: ``choice``, ``key``, ``fp``."""
+    """Every row of ``prints`` once per choice of ``t`` segments, with ``choice`` and ``key``."""
     parts = segments(64, limit + t)
     keys = []
     for choice, chosen in enumerate(combinations(parts, t)):
@@ -106,7 +106,7 @@ def bucketed(prints: DataFrame, t: int, limit: int = LIMIT) -> DataFrame:
                 F.lit(choice).alias("choice"), F.col("fp").bitwiseAND(F.lit(signed)).alias("key")
             )
         )
-    return prints.select("fp", F.explode(F.array(*keys)).alias("b")).select("b.*", "fp")
+    return prints.select("*", F.explode(F.array(*keys)).alias("b")).select("b.*", *prints.columns)
 
 
 def pivot_distances(prints: np.ndarray) -> np.ndarray:
@@ -114,6 +114,25 @@ def pivot_distances(prints: np.ndarray) -> np.ndarray:
     return np.bitwise_count(prints[:, None] ^ _REFERENCES[None, :]).astype(np.int8)
 
 
+@F.arrow_udf(BinaryType())
+def _pivots(prints: pa.Array) -> pa.Array:
+    table = pivot_distances(prints.to_numpy(zero_copy_only=False).view(np.uint64))
+    rows = pa.Array.from_buffers(pa.binary(PIVOTS), len(table), [None, pa.py_buffer(table)])
+    return rows.cast(pa.binary())
+
+
+def with_pivots(prints: DataFrame) -> DataFrame:
+    """``prints`` with ``pivots``, the distances of ``fp`` to the references, a byte each."""
+    return prints.withColumn("pivots", _pivots("fp"))
+
+
+def _table(pivots: pa.Array) -> np.ndarray:
+    """The distances held in a column ``pivots``, one row of coordinates per fingerprint."""
+    fixed = pivots.cast(pa.binary(PIVOTS))
+    held = np.frombuffer(fixed.buffers()[1], np.int8).reshape(-1, PIVOTS)
+    return held[fixed.offset : fixed.offset + len(fixed)]
+
+
 def near(
     one: int, table: np.ndarray, prints: np.ndarray, among: np.ndarray, limit: int
 ) -> np.ndarray:
@@ -127,13 +146,18 @@ def near(
     return among[np.bitwise_count(prints[among] ^ prints[one]) <= limit]
 
 
-def links_within(prints: np.ndarray, limit: int = LIMIT) -> list[tuple[int, int]]:
+def links_within(
+    prints: np.ndarray, limit: int = LIMIT, table: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that join all fingerprints of one group: (smallest of the group, member).
 
+    ``table`` has the pivot distances of ``prints``; without it they are computed here.
+
     Groups are grown from a seed; what is found is no longer compared, so a dense group
     costs about as much as its size, and only unlike fingerprints meet each other.
     """
-    table, free, links = pivot_distances(prints), np.arange(len(prints)), []
+    table = pivot_distances(prints) if table is None else table
+    free, links = np.arange(len(prints)), []
     while len(free):
         seed, free = free[0], free[1:]
         group, edge = [seed], [seed]
@@ -153,20 +177,22 @@ def _link_batches(limit: int):
     """Links of all tasks of a partition sorted by task; a task may span batches."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(prints: np.ndarray, starts: np.ndarray) -> pa.RecordBatch | None:
+        def links(prints: np.ndarray, table: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
             found: list[tuple[int, int]] = []
             sizes = np.diff(starts)
             pair = starts[:-1][sizes == 2]
             if len(pair):
                 # most tasks hold two fingerprints: all of them at once
                 one, two = prints[pair], prints[pair + 1]
-                apart = np.abs(pivot_distances(one) - pivot_distances(two)).max(axis=1)
+                apart = np.abs(table[pair] - table[pair + 1]).max(axis=1)
                 close = np.flatnonzero(apart <= limit)
                 close = close[np.bitwise_count(one[close] ^ two[close]) <= limit]
                 a, b = one[close].view(np.int64), two[close].view(np.int64)
                 found += zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())
             for at in np.flatnonzero(sizes > 2):
-                found += links_within(np.unique(prints[starts[at] : starts[at + 1]]), limit)
+                cut = slice(starts[at], starts[at + 1])
+                some, rows = np.unique(prints[cut], return_index=True)
+                found += links_within(some, limit, table[cut][rows])
             a, b = zip(*found) if found else ((), ())
             return pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
@@ -180,6 +206,7 @@ def _link_batches(limit: int):
                 batch.column(name).to_numpy(zero_copy_only=False)
                 for name in ("choice", "key", "blocks", "fp")
             )
+            now += (_table(batch.column("pivots")),)
             now = tuple(np.concatenate(x) for x in zip(left, now)) if left else now
             differs = np.zeros(len(now[0]), bool)
             for values in now[:3]:
@@ -187,18 +214,22 @@ def _link_batches(limit: int):
             starts = np.concatenate([[0], np.flatnonzero(differs)])
             # the last task may go on in the next batch
             left = tuple(x[starts[-1] :] for x in now)
-            yield links(now[3].view(np.uint64), starts)
+            yield links(now[3].view(np.uint64), now[4], starts)
         if left:
-            yield links(left[3].view(np.uint64), np.array([0, len(left[3])]))
+            yield links(left[3].view(np.uint64), left[4], np.array([0, len(left[3])]))
 
     return mapped
 
 
 def near_links(prints: DataFrame, limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between distinct fingerprints ``fp`` that join every group."""
-    t = equal_segments(prints.count(), limit)
-    rows = bucketed(prints, t, limit)
-    sizes = rows.groupBy("choice", "key").count().where("count > 1")
+    """(a, b): links between distinct fingerprints ``fp`` that join every group.
+
+    The pivot table is written once; each bucket reads the distances from it.
+    """
+    pivoted = written(with_pivots(prints.select("fp")), "simhash-pivots")
+    t = equal_segments(pivoted.count(), limit)
+    rows = bucketed(pivoted, t, limit)
+    sizes = bucketed(pivoted.select("fp"), t, limit).groupBy("choice", "key").count().where("count > 1")
     tasks = join_hot(rows, sizes, "choice", "key").withColumn(
         "n", F.ceil(F.col("count") / block).cast("int")
     )
@@ -208,7 +239,7 @@ def near_links(prints: DataFrame, limit: int = LIMIT, block: int = BLOCK) -> Dat
         F.sequence(F.lit(0), F.col("n") - 1),
         lambda j: F.least(own, j) * F.col("n") + F.greatest(own, j),
     )
-    tasks = tasks.select("choice", "key", "fp", F.explode(pairs).alias("blocks"))
+    tasks = tasks.select("choice", "key", "fp", "pivots", F.explode(pairs).alias("blocks"))
     return (
         tasks.repartition("choice", "key", "blocks")
         .sortWithinPartitions("choice", "key", "blocks")

@@ -12,8 +12,10 @@ from clickloom.llm.simhash import (
     fingerprint,
     links_within,
     near_links,
+    pivot_distances,
     segments,
     simhash_dedup,
+    with_pivots,
 )
 
 
@@ -107,3 +109,11 @@ def test_empty_table_and_replaced_columns(spark):
     got = simhash_dedup(docs)
     assert got.columns == ["doc_id", "text", "fingerprint", "component_id"]
     assert dict(got.dtypes)["component_id"] == "bigint" and got.count() == 0
+
+
+def test_pivot_table_is_what_the_distances_are(spark):
+    prints = np.array([0, 1, 2**63, 2**64 - 1, 12345678901234567890], np.uint64)
+    signed = [(int(p),) for p in prints.view(np.int64)]
+    rows = with_pivots(spark.createDataFrame(signed, "fp long")).collect()
+    got = {r.fp: list(np.frombuffer(r.pivots, np.int8)) for r in rows}
+    assert got == {f: list(d) for (f,), d in zip(signed, pivot_distances(prints))}
