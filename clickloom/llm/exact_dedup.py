@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import fresh, full_text, join_hot, put, settle, small_batches, written
 
-SLOT_BITS = 27
+# the least and greatest number of filter bits, as powers of two: 128 kB and 128 MB
+LEAST_BITS, MOST_BITS = 20, 30
+# filter bits for each row; two slots of a row then meet others in about one of 70 rows
+ROW_BITS = 16
+
+
+def slot_bits_for(rows: int) -> int:
+    """Bits of the filter for ``rows`` rows, as a power of two, between the two bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, (ROW_BITS * rows - 1).bit_length()))
 
 
 def _slots(text: Column, slot_bits: int) -> tuple[Column, Column]:
@@ -26,7 +34,7 @@ def _slots(text: Column, slot_bits: int) -> tuple[Column, Column]:
     return first.bitwiseAND(mask), F.xxhash64(first, F.lit(1)).bitwiseAND(mask)
 
 
-def repeated_slots(docs: DataFrame, text: Column, slot_bits: int = SLOT_BITS) -> np.ndarray:
+def repeated_slots(docs: DataFrame, text: Column, slot_bits: int) -> np.ndarray:
     """Bits, in 64-bit words, of the hash slots that more than one row falls into.
 
     What reaches the driver has at most ``2 ** slot_bits / 64`` words, whatever the input.
@@ -51,8 +59,13 @@ def repeated_slots(docs: DataFrame, text: Column, slot_bits: int = SLOT_BITS) ->
     return words
 
 
-def may_repeat(docs: DataFrame, text: Column, slot_bits: int = SLOT_BITS) -> Column:
-    """True for every row whose text occurs again, and for few others."""
+def may_repeat(docs: DataFrame, text: Column, slot_bits: int | None = None) -> Column:
+    """True for every row whose text occurs again, and for few others.
+
+    Without ``slot_bits`` the rows are counted and :func:`slot_bits_for` sizes the filter.
+    """
+    if slot_bits is None:
+        slot_bits = slot_bits_for(docs.count())
     held = docs.sparkSession.sparkContext.broadcast(repeated_slots(docs, text, slot_bits))
 
     @F.pandas_udf("boolean")
@@ -71,7 +84,7 @@ def exact_dedup(
     text: str = "text",
     id_col: str = "doc_id",
     normal: Callable[[Column], Column] | None = None,
-    slot_bits: int = SLOT_BITS,
+    slot_bits: int | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -81,9 +94,10 @@ def exact_dedup(
     kept. An empty table gives an empty table. Columns of ``docs`` named like a result
     are replaced, others stay.
 
-    The filter has ``2 ** slot_bits`` bits, 16 MB by default. It tells rows apart well up
-    to about a sixteenth as many rows; beyond, ever more rows shuffle, up to all of them,
-    and the result is the same. Raise it to 32 or 33 for billions of rows.
+    The filter has ``2 ** slot_bits`` bits, without ``slot_bits`` about 16 for each row, but
+    128 MB at most. That tells rows apart well up to some 67 million of them; beyond, ever
+    more rows shuffle, up to all of them, and the result is the same. ``slot_bits`` of 33,
+    1 GB held by the driver and each Python worker, serve half a billion rows.
     """
     value = full_text(text)
     value = normal(value) if normal else value

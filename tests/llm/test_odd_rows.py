@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import BATCH_BYTES, byte_chunks, join_hot, small_batches
-from clickloom.llm.exact_dedup import exact_dedup, may_repeat
+from clickloom.llm.exact_dedup import exact_dedup, may_repeat, slot_bits_for
 from clickloom.llm.license_scan import SENTENCES, scan_licences
 from clickloom.llm.line_dedup import dedup_lines
 from clickloom.llm.warc import read_archive, write_archive, write_tables
@@ -23,7 +23,7 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("slot_bits", [6, 27])
+@pytest.mark.parametrize("slot_bits", [6, 27, None])
 def test_exact_dedup(spark, slot_bits):
     long = "x" * 300_000
     rows = [
@@ -56,6 +56,12 @@ def test_exact_dedup(spark, slot_bits):
         assert {r.keep_id for r in same} == {one.doc_id}
 
 
+def test_filter_grows_with_the_rows_up_to_its_bound():
+    assert [slot_bits_for(n) for n in (0, 1, 2**16, 2**16 + 1, 2**23, 2**26, 10**12)] == [
+        20, 20, 20, 21, 27, 30, 30
+    ]
+
+
 def test_exact_dedup_normalised_and_empty(spark):
     docs = spark.createDataFrame([(1, "A b"), (2, "a B")], "doc_id long, text string")
     assert {r.keep_id for r in exact_dedup(docs, normal=F.lower).collect()} == {2}
