@@ -221,7 +221,8 @@ def identify_languages(
 
     ``score`` is the softmax share of the predicted label. A text that is null, empty or
     has no letter gets ``und`` and score 0, as does every text if there is no model. The
-    whole text counts, whatever its length. Rows that repeat each other get equal results.
+    whole text counts, whatever its length. Of labels of equal share the one that is first by
+    name counts. Rows that repeat each other get equal results.
     An empty table gives an empty table. Columns named like a result are replaced.
     """
     if model is None:
@@ -238,6 +239,8 @@ def identify_languages(
             [pa.array(names, pa.string()), pa.array(share)], ["lang_pred", "score"]
         )
 
+    # a filter on the result must not make the prediction a second time below a projection
+    predict = predict.asNondeterministic()
     value = full_text(text)
     letters = value.rlike(r"\p{L}")
     found = small_batches(docs).withColumn(done, predict(value))

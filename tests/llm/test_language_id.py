@@ -127,3 +127,14 @@ def test_one_label_is_enough(spark):
     model = train(docs)
     assert isinstance(model, LanguageModel)
     assert identify_languages(docs, model).first().lang_pred == "en"
+
+
+def test_a_filter_on_the_score_predicts_once(spark, model, tmp_path):
+    spark.createDataFrame([(1, "la le"), (2, None)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/docs"
+    )
+    found = identify_languages(spark.read.parquet(f"{tmp_path}/docs"), model)
+    kept = found.where("lang_pred <> 'und' AND score > 0.1")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert [r.doc_id for r in kept.collect()] == [1]
