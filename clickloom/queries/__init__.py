@@ -3,7 +3,7 @@
 A query takes (spark, folder of Parquet tables) and returns a DataFrame.
 """
 
-from clickloom.queries import ads, categories, functions, pages, sampling, sessions, streams
+from clickloom.queries import ads, categories, functions, layout, pages, sampling, sessions, streams
 from clickloom.queries.registry import QUERIES, SQL
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "ads",
     "categories",
     "functions",
+    "layout",
     "pages",
     "sampling",
     "sessions",

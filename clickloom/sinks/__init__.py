@@ -1,4 +1,4 @@
-"""Writers: appended result tables, and tables of running totals."""
+"""Writers: appended result tables, tables of running totals, actions stored by session."""
 
 from clickloom.sinks.append import (
     ResultWriter,
@@ -8,15 +8,19 @@ from clickloom.sinks.append import (
     parquet_results,
     replace_task,
 )
+from clickloom.sinks.layout import StoredActions, store_by_session, stored_actions
 from clickloom.sinks.totals import CROWDED, TotalsTable
 
 __all__ = [
     "CROWDED",
     "ResultWriter",
+    "StoredActions",
     "TotalsTable",
     "append_jdbc",
     "append_table",
     "jdbc_results",
     "parquet_results",
     "replace_task",
+    "store_by_session",
+    "stored_actions",
 ]
